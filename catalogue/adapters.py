@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
 from starmart.operators import facts, staging
-from starmart.plans.kpis import Star
 from starmart.sources import feeds, relational
 
 # Region codes given to nations 0..24: two repeat with another label, some are padded or unusable.
@@ -38,12 +37,12 @@ class Tables:
             text("concat(l_orderkey, '-', l_linenumber)").alias("id_consultation"),
             text("l_orderkey div 10").alias("id_patient"),
             F.col("l_shipdate").cast("date").alias("date_consultation"),
-            DIAGNOSIS.alias("diagnostic"), ESTABLISHMENT.alias("id_etablissement"),
+            F.expr(DIAGNOSIS).alias("diagnostic"), F.expr(ESTABLISHMENT).alias("id_etablissement"),
             F.lit(0).cast("decimal(12,2)").alias("montant"))
 
     def patient(self) -> DataFrame:
         return self.table("customer").select(
-            text("c_custkey").alias("id_patient"), SEX.alias("sexe"), AGE.alias("age"))
+            text("c_custkey").alias("id_patient"), F.expr(SEX).alias("sexe"), F.expr(AGE).alias("age"))
 
     def consultations(self) -> DataFrame:
         """Staged consultations with sex and age."""
@@ -53,7 +52,7 @@ class Tables:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("Num_consultation"),
             F.expr("l_orderkey div 10").alias("Id_patient"),
-            F.col("l_shipdate").cast("date").alias("Date"), DIAGNOSIS.alias("Code_diag"),
+            F.col("l_shipdate").cast("date").alias("Date"), F.expr(DIAGNOSIS).alias("Code_diag"),
             F.col("l_suppkey").alias("Id_prof_sante"))
 
     def raw_room(self) -> DataFrame:
@@ -67,12 +66,12 @@ class Tables:
 
     def raw_patient(self) -> DataFrame:
         return self.table("customer").select(
-            F.col("c_custkey").alias("Id_patient"), SEX.alias("Sexe"), AGE.alias("Age"),
+            F.col("c_custkey").alias("Id_patient"), F.expr(SEX).alias("Sexe"), F.expr(AGE).alias("Age"),
             F.col("c_mktsegment").alias("Ville"), F.lit("FRANCE").alias("Pays"))
 
     def raw_practitioner(self) -> DataFrame:
         return self.table("part").select(
-            PRACTITIONER.alias("Identifiant"), LAST_NAME.alias("Nom"), FIRST_NAME.alias("Prenom"),
+            F.expr(PRACTITIONER).alias("Identifiant"), F.expr(LAST_NAME).alias("Nom"), F.expr(FIRST_NAME).alias("Prenom"),
             F.col("p_type").alias("Profession"), F.col("p_size").alias("Code_specialite"))
 
     # --- text feeds ---------------------------------------------------------------------------
@@ -86,8 +85,8 @@ class Tables:
             .alias("id_patient"),
             F.expr(f"CASE WHEN l_partkey % 307 = 3 THEN '2019-02-30' ELSE {day} END")
             .alias("date_consultation"),
-            DIAGNOSIS.alias("diagnostic"),
-            F.when(F.expr("l_partkey % 503 = 7"), None).otherwise(ESTABLISHMENT)
+            F.expr(DIAGNOSIS).alias("diagnostic"),
+            F.when(F.expr("l_partkey % 503 = 7"), None).otherwise(F.expr(ESTABLISHMENT))
             .alias("id_etablissement"),
             F.expr("CASE WHEN l_partkey % 601 = 9 THEN 'n/a' ELSE '0.00' END").alias("montant"),
             F.lit("F").alias("sexe"),
@@ -140,8 +139,8 @@ class Tables:
                    "ELSE concat(11 + s_suppkey % 80, '000') END").alias("postal"))
 
     def practitioner_source(self) -> DataFrame:
-        return self.table("part").select(PRACTITIONER.alias("id_professionnel"),
-                                         LAST_NAME.alias("nom"), FIRST_NAME.alias("prenom"))
+        return self.table("part").select(F.expr(PRACTITIONER).alias("id_professionnel"),
+                                         F.expr(LAST_NAME).alias("nom"), F.expr(FIRST_NAME).alias("prenom"))
 
     def geography_text(self) -> DataFrame:
         codes = F.array(*[F.lit(c) for c in NATION_CODES])
@@ -242,7 +241,7 @@ class Tables:
         source = self.table("lineitem").select(
             text("l_orderkey div 10").alias("id_patient"),
             F.col("l_shipdate").cast("date").alias("date_consultation"),
-            DIAGNOSIS.alias("diagnostic"), ESTABLISHMENT.alias("id_etablissement"),
+            F.expr(DIAGNOSIS).alias("diagnostic"), F.expr(ESTABLISHMENT).alias("id_etablissement"),
             "l_partkey", "l_quantity")
         return facts.consultation_fact(source, practitioner=F.col("l_partkey").cast("string"),
                                        duration=F.col("l_quantity").cast("int"))
@@ -256,30 +255,45 @@ class Tables:
     def fact_stays(self, count_days: bool = False) -> DataFrame:
         return facts.hospitalisation_fact(self.stay_text(), self.dim_calendar(), count_days)
 
-    def star(self) -> Star:
-        return Star(patient=self.dim_patient(), geography=self.dim_geography(),
-                    establishment=self.dim_establishment(), diagnosis=self.dim_diagnosis(),
-                    practitioner=self.dim_practitioner(), consultation=self.fact_consultation(),
-                    death=self.fact_deaths(), satisfaction=self.fact_satisfaction(),
-                    hospitalisation=self.fact_stays())
+    def star(self) -> "LazyStar":
+        return LazyStar(self)
+
+
+class LazyStar:
+    """The star schema of a scale; a table is planned only when a KPI asks for it."""
+
+    def __init__(self, tables: Tables):
+        self._builders = {
+            "patient": tables.dim_patient, "geography": tables.dim_geography,
+            "establishment": tables.dim_establishment, "diagnosis": tables.dim_diagnosis,
+            "practitioner": tables.dim_practitioner, "consultation": tables.fact_consultation,
+            "death": tables.fact_deaths, "satisfaction": tables.fact_satisfaction,
+            "hospitalisation": tables.fact_stays}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self._builders:
+            raise AttributeError(name)
+        table = self._builders[name]()
+        setattr(self, name, table)
+        return table
 
 
 def text(expression: str) -> Column:
     return F.expr(expression).cast("string")
 
 
-DIAGNOSIS = F.expr(
+DIAGNOSIS = (
     "CASE l_partkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '   ' "
     "WHEN 2 THEN concat('  D', l_partkey % 150, ' ') ELSE concat('D', l_partkey % 150) END")
-ESTABLISHMENT = F.expr(
+ESTABLISHMENT = (
     "CASE l_suppkey % 4 WHEN 0 THEN concat('000', l_suppkey) WHEN 1 THEN "
     "concat(' ', l_suppkey, ' ') ELSE string(l_suppkey) END")
-SEX = F.expr("CASE WHEN c_custkey % 30 = 2 THEN 'Non renseigné' WHEN c_custkey % 3 = 0 THEN 'F' "
+SEX = ("CASE WHEN c_custkey % 30 = 2 THEN 'Non renseigné' WHEN c_custkey % 3 = 0 THEN 'F' "
              "WHEN c_custkey % 3 = 1 THEN 'M' END")
-AGE = F.expr("CASE WHEN c_custkey % 17 <> 0 THEN int(c_custkey % 95) END")
-PRACTITIONER = F.expr(
+AGE = ("CASE WHEN c_custkey % 17 <> 0 THEN int(c_custkey % 95) END")
+PRACTITIONER = (
     "CASE WHEN p_partkey % 50 = 7 THEN '  ' WHEN p_partkey % 60 = 8 THEN NULL "
     "WHEN p_partkey % 10 = 9 THEN concat(' ', p_partkey - 1) ELSE string(p_partkey) END")
-LAST_NAME = F.expr("CASE WHEN p_partkey % 7 = 3 THEN NULL ELSE p_name END")
-FIRST_NAME = F.expr("CASE WHEN p_partkey % 5 = 3 OR p_partkey % 14 = 10 THEN NULL "
+LAST_NAME = ("CASE WHEN p_partkey % 7 = 3 THEN NULL ELSE p_name END")
+FIRST_NAME = ("CASE WHEN p_partkey % 5 = 3 OR p_partkey % 14 = 10 THEN NULL "
                     "ELSE p_brand END")

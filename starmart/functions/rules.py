@@ -36,13 +36,19 @@ def digits_only(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
+def has_text(c: Column) -> Column:
+    """True for text with any non-space character, False for blank text and NULL."""
+    return F.coalesce(c.rlike(r"\S"), F.lit(False))
+
+
 def _without_leading_zeros(c: Column) -> Column:
-    return F.nullif(F.regexp_replace(c, "^0+", ""), F.lit(""))
+    """Leading zeros go, an empty text is '0'. Names its input once, so nothing is evaluated twice."""
+    return F.regexp_replace(F.concat(F.lit("0"), c), "(?s)^0+(?=.)", "")
 
 
 def establishment_id(c: Column) -> Column:
     """SQL rule: spaces and leading zeros go; nothing left, or NULL, is '0'."""
-    return F.coalesce(_without_leading_zeros(F.trim(c.cast("string"))), F.lit("0"))
+    return _without_leading_zeros(F.coalesce(F.trim(c.cast("string")), F.lit("")))
 
 
 def establishment_id_from_file(c: Column, no_digit_as_zero: bool = False) -> Column:
@@ -50,19 +56,14 @@ def establishment_id_from_file(c: Column, no_digit_as_zero: bool = False) -> Col
 
     A text without digits is NULL, or '0' when ``no_digit_as_zero``; blank text is always NULL.
     """
-    kept = digits_only(c)
-    conformed = F.coalesce(_without_leading_zeros(kept), F.lit("0"))
-    usable = stripped_or_null(c).isNotNull() if no_digit_as_zero else kept != ""
-    return F.when(usable, conformed)
+    usable = c.rlike(r"\S" if no_digit_as_zero else "[0-9]")
+    return F.when(usable, _without_leading_zeros(digits_only(c)))
 
 
 def department_key(place: Column) -> Column:
-    """The department of a place code: three digits where such a code exists, else two."""
-    digits = digits_only(place)
-    three = F.substring(digits, 1, 3)
+    """The department of a place code: three digits where such a code exists, else two, else ''."""
     overseas = [code for code in fixed.DEPARTMENT_REGION if len(code) == 3]
-    return F.when(F.length(digits) >= 2,
-                  F.when(three.isin(overseas), three).otherwise(F.substring(digits, 1, 2)))
+    return F.regexp_extract(digits_only(place), f"^({'|'.join(overseas)}|[0-9]{{2}})", 1)
 
 
 def region_name_key(name: Column) -> Column:
@@ -72,14 +73,14 @@ def region_name_key(name: Column) -> Column:
 
 
 def two_digit_code(c: Column) -> Column:
-    digits = digits_only(c)
-    return F.when(F.length(digits) >= 2, F.substring(digits, 1, 2))
+    return F.nullif(F.regexp_extract(digits_only(c), "^[0-9]{2}", 0), F.lit(""))
 
 
 def decimal_comma(c: Column, strict: bool = False) -> Column:
-    """Number with a decimal comma or point; not a number is NULL, or an error when strict."""
-    text = F.replace(stripped_or_null(c), F.lit(","), F.lit("."))
-    return text.cast("decimal(10,4)") if strict else text.try_cast("decimal(10,4)")
+    """Number with a decimal comma or point; blank is NULL, any other text is NULL or, strictly, an error."""
+    if strict:
+        return F.replace(stripped_or_null(c), F.lit(","), F.lit(".")).cast("decimal(10,4)")
+    return F.replace(c, F.lit(","), F.lit(".")).try_cast("decimal(10,4)")
 
 
 def date_text(c: Column) -> Column:

@@ -43,10 +43,9 @@ def deaths_of_raw_rows(raw: DataFrame, day: str, place: str) -> DataFrame:
     region of the few counted rows instead of every death."""
     counted = (raw.select(rules.date_text(F.col(day)).alias("date_deces"),
                           rules.department_key(F.col(place)).alias("_department"))
-               .filter((F.length("date_deces") == 10) & F.col("_department").isNotNull())
+               .filter((F.length("date_deces") == 10) & (F.col("_department") != ""))
                .groupBy("date_deces", "_department").agg(F.count(F.lit(1)).alias("_n")))
-    return (add_region_of_department(counted, "_department", "code_region")
-            .filter(F.col("code_region").isNotNull())
+    return (add_region_of_department(counted, "_department", "code_region", how="inner")
             .groupBy("date_deces", "code_region").agg(F.sum("_n").alias("nb_deces")))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from starmart.sources.delimited import write_bronze
+
 EXPORTED = ["dim_temps", "dim_patient", "dim_geographie", "dim_etablissement", "dim_diagnostic",
             "dim_professionnel", "fait_consultation", "fait_deces", "fait_satisfaction"]
 TEXT_DIMENSIONS = ["dim_temps", "dim_patient", "dim_geographie", "dim_etablissement",
@@ -16,8 +18,7 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> list[str]:
     """Write each exported gold table as CSV parts with a header."""
     names = [n for n in EXPORTED if n in tables]
     for name in names:
-        (tables[name].write.mode("overwrite").option("header", True).option("escape", '"')
-         .csv(f"{folder}/{name}"))
+        write_bronze(tables[name], f"{folder}/{name}")
     return names
 
 

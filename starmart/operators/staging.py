@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,32 +17,40 @@ from starmart.sources.delimited import first_alias, header_map
 
 @dataclass
 class Loaded:
-    accepted: DataFrame
-    rejected: DataFrame
+    """A load: source rows, the target columns, and for each reason of rejection its condition.
 
+    Conditions are never NULL.
+    """
 
-class LoadError(ValueError):
-    """A load or an extract that has no usable row, or a bad row in strict mode."""
+    source: DataFrame
+    columns: list[Column]
+    reasons: list[tuple[Column, str]]
 
+    @property
+    def accepted(self) -> DataFrame:
+        return self.source.filter(~self._bad()).select(*self.columns)
 
-def split(df: DataFrame, columns: list[Column], reasons: list[tuple[Column, str]]) -> Loaded:
-    """Rows without a reason become ``columns``; the others keep their source text."""
-    reason = F.concat_ws(",", *[F.when(bad, F.lit(text)) for bad, text in reasons])
-    tagged = df.withColumn("_reason", reason)
-    return Loaded(
-        tagged.filter(F.col("_reason") == "").select(*columns),
-        tagged.filter(F.col("_reason") != "").select(*df.columns, F.col("_reason").alias("reason")),
-    )
+    @property
+    def rejected(self) -> DataFrame:
+        """The rejected source rows with every reason that applies."""
+        reason = F.concat_ws(",", *[F.when(bad, F.lit(text)) for bad, text in self.reasons])
+        return self.source.filter(self._bad()).withColumn("reason", reason)
 
+    def counted(self, watch: Observation) -> Loaded:
+        """Count read and rejected rows while the accepted ones are written, in the same pass."""
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(self._bad()).alias("rejected")]
+        return Loaded(self.source.observe(watch, *counts), self.columns, self.reasons)
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows of ``df`` while something else consumes it."""
-    watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+    def _bad(self) -> Column:
+        return reduce(lambda a, b: a | b, [bad for bad, _ in self.reasons])
+
+
+class LoadError(ValueError):
+    """A load or an extract that has no usable row, or a bad row in strict mode."""
 
 
 def _unreadable(text: Column, value: Column) -> Column:
-    return rules.stripped_or_null(text).isNotNull() & value.isNull()
+    return rules.has_text(text) & value.isNull()
 
 
 def load_consultations(raw: DataFrame, with_loaded_at: bool = False) -> Loaded:
@@ -53,7 +62,7 @@ def load_consultations(raw: DataFrame, with_loaded_at: bool = False) -> Loaded:
                F.col("sexe"), age.alias("age")]
     if with_loaded_at:
         columns.append(F.current_timestamp().alias("loaded_at"))
-    return split(raw, columns, [
+    return Loaded(raw, columns, [
         (F.col("id_patient").isNull(), "id_patient"),
         (day.isNull(), "date_consultation"),
         (F.col("id_etablissement").isNull(), "id_etablissement"),
@@ -84,9 +93,9 @@ def load_geography(raw: DataFrame, number_rows_by: list[str] | None = None) -> L
 
     country = (text("country") if first_alias(headers, aliases["country"])
                else F.lit(fixed.DEFAULT_COUNTRY))
-    return split(raw, [id_value.alias("id_geo_src"), text("code").alias("code_region_src"),
+    return Loaded(raw, [id_value.alias("id_geo_src"), text("code").alias("code_region_src"),
                        text("label").alias("libelle_region_src"), country.alias("pays_src")],
-                 [(text("code").isNull(), "code_region"), (id_value.isNull(), "id_geo")])
+                  [(text("code").isNull(), "code_region"), (id_value.isNull(), "id_geo")])
 
 
 def load_deaths(bronze: DataFrame) -> Loaded:
@@ -97,43 +106,43 @@ def load_deaths(bronze: DataFrame) -> Loaded:
 def load_deaths_counts(counted: DataFrame) -> Loaded:
     """Counted deaths; a ten-character text that is no calendar date is rejected."""
     day = rules.text_date(F.col("date_deces"))
-    return split(counted, [day.alias("date_deces_src"), F.col("code_region").alias("code_region_src"),
+    return Loaded(counted, [day.alias("date_deces_src"), F.col("code_region").alias("code_region_src"),
                            F.col("nb_deces").cast("int").alias("nb_deces_src")],
                  [(day.isNull(), "date_deces")])
 
 
 def load_satisfaction(bronze: DataFrame, strict: bool = False) -> Loaded:
     headers = header_map(bronze.columns)
-    null = F.lit(None).cast("string")
 
-    def text(name: str) -> Column:
-        found = first_alias(headers, fixed.SURVEY_STAGING_ALIASES[name])
-        return rules.stripped_or_null(F.col(found).cast("string")) if found else null
+    def found(name: str) -> Column:
+        column = first_alias(headers, fixed.SURVEY_STAGING_ALIASES[name])
+        return (F.col(column) if column else F.lit(None)).cast("string")
 
-    day = rules.text_date(text("date"))
-    score = rules.decimal_comma(text("score"), strict=strict)
-    return split(bronze, [day.alias("date_mesure_src"), text("establishment").alias("finess_src"),
-                          text("region").alias("code_region_src"), score.alias("score_global_src")],
-                 [(day.isNull(), "date"), (text("establishment").isNull(), "finess"),
-                  (text("region").isNull(), "code_region"), (score.isNull(), "score_global")])
+    day = rules.text_date(found("date"))
+    score = rules.decimal_comma(found("score"), strict=strict)
+    columns = [day.alias("date_mesure_src"), rules.strip(found("establishment")).alias("finess_src"),
+               rules.strip(found("region")).alias("code_region_src"),
+               score.alias("score_global_src")]
+    return Loaded(bronze, columns, [
+        (day.isNull(), "date"), (~rules.has_text(found("establishment")), "finess"),
+        (~rules.has_text(found("region")), "code_region"), (score.isNull(), "score_global")])
 
 
 def load_establishments(bronze: DataFrame) -> Loaded:
-    return split(bronze, [F.col("finess"), F.col("nom"), F.col("code_region")],
+    return Loaded(bronze, [F.col("finess"), F.col("nom"), F.col("code_region")],
                  [(F.col("finess").isNull(), "finess")])
 
 
 def load_practitioners(bronze: DataFrame) -> Loaded:
-    return split(bronze, [F.col("id_prof_source"), F.col("nom_source")],
+    return Loaded(bronze, [F.col("id_prof_source"), F.col("nom_source")],
                  [(F.col("id_prof_source").isNull(), "id_prof_source")])
 
 
-def accepted_or_raise(loaded: Loaded, table: str) -> DataFrame:
+def raise_on_reject(loaded: Loaded, watch: Observation, table: str) -> None:
     """Strict load: one rejected row fails the whole load, as a bulk copy would."""
-    bad = loaded.rejected.head(1)
-    if bad:
-        raise LoadError(f"{table}: rejected row ({bad[0]['reason']})")
-    return loaded.accepted
+    if watch.get["rejected"]:
+        example = loaded.rejected.head(1)[0]
+        raise LoadError(f"{table}: {watch.get['rejected']} rejected rows ({example['reason']})")
 
 
 def require_rows(df: DataFrame, table: str) -> DataFrame:

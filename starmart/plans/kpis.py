@@ -98,7 +98,8 @@ def _rescored(df: DataFrame, *keys: str) -> DataFrame:
                                  F.sum("nb_mesures").alias("nb_mesures"))
 
 
-_MEAN_SCORE = mean(F.col("_units"), F.col("_scored"), SCORE_UNITS).alias("score_moyen")
+def _mean_score() -> Column:
+    return mean(F.col("_units"), F.col("_scored"), SCORE_UNITS).alias("score_moyen")
 
 
 def _satisfaction_places(star: Star, *time: str) -> DataFrame:
@@ -111,7 +112,7 @@ def _satisfaction_places(star: Star, *time: str) -> DataFrame:
 def satisfaction_by_day(star: Star) -> DataFrame:
     rows = _satisfaction_places(star, "annee", "date_complete")
     return rows.select("finess", "etablissement", "code_region", "libelle_region", "annee",
-                       "date_complete", _MEAN_SCORE, "nb_mesures")
+                       "date_complete", _mean_score(), "nb_mesures")
 
 
 def hospitalisations_detail(star: Star) -> DataFrame:
@@ -232,17 +233,20 @@ def satisfaction_by_region(star: Star) -> DataFrame:
 # --- large-volume KPIs ------------------------------------------------------------------------
 
 def consultations_volume(star: Star) -> DataFrame:
-    """Totals and exact distinct patients. A patient is first one row per group, then counted."""
-    per_patient = (with_calendar(star.consultation)
-                   .groupBy("finess", "annee", "code_diag", "id_patient")
+    """Totals and exact distinct patients. A patient is first one row per group, then counted.
+
+    Diagnoses come first, since several unknown codes make one group.
+    """
+    per_patient = (_with_diagnosis(with_calendar(star.consultation), star)
+                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
                    .agg(_total("nb_consultations"), F.sum("duree_consultation").alias("_duration"),
                         F.count("duree_consultation").alias("_timed")))
     rows = (per_patient.join(star.patient.select("id_patient", "sexe"), "id_patient")
-            .groupBy("finess", "annee", "code_diag", "sexe")
+            .groupBy("finess", "annee", "code_diag", "diagnostic", "sexe")
             .agg(_total("nb_consultations"), F.sum("_duration").alias("_duration"),
                  F.sum("_timed").alias("_timed"),
                  F.count(F.lit(1)).alias("nb_patients_distincts")))
-    return (_with_diagnosis(rows.join(_places(star), "finess"), star)
+    return (rows.join(_places(star), "finess")
             .select("finess", "etablissement", "libelle_region", "annee", "code_diag",
                     "diagnostic", "sexe", "nb_consultations",
                     mean(F.col("_duration"), F.col("_timed")).alias("duree_moy_min"),
@@ -257,18 +261,18 @@ def deaths_volume(star: Star) -> DataFrame:
 
 def satisfaction_volume(star: Star) -> DataFrame:
     return _satisfaction_places(star, "annee").select(
-        "finess", "etablissement", "code_region", "libelle_region", "annee", _MEAN_SCORE,
+        "finess", "etablissement", "code_region", "libelle_region", "annee", _mean_score(),
         "score_min", "score_max", "nb_mesures")
 
 
 def hospitalisations_volume(star: Star) -> DataFrame:
-    per_patient = (with_calendar(star.hospitalisation)
-                   .groupBy("finess", "annee", "code_diag", "id_patient")
+    per_patient = (_with_diagnosis(with_calendar(star.hospitalisation), star)
+                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
                    .agg(_total("nb_hospitalisations")))
     rows = (per_patient.join(star.patient.select("id_patient"), "id_patient", "left_semi")
-            .groupBy("finess", "annee", "code_diag")
+            .groupBy("finess", "annee", "code_diag", "diagnostic")
             .agg(_total("nb_hospitalisations"), F.count(F.lit(1)).alias("nb_patients_distincts")))
-    return (_with_diagnosis(rows.join(_places(star), "finess"), star)
+    return (rows.join(_places(star), "finess")
             .select("finess", "etablissement", "libelle_region", "annee", "code_diag",
                     "diagnostic", "nb_hospitalisations", "nb_patients_distincts"))
 
@@ -383,7 +387,7 @@ def drill_consultations_satisfaction(star: Star) -> DataFrame:
     """Consultations and satisfaction side by side per establishment."""
     known = star.establishment.select("finess")
     left = _sum_as(star.consultation, "nb_consultations", "nb_consultations", "finess")
-    right = _scores(star.satisfaction, "finess").select("finess", _MEAN_SCORE, "nb_mesures")
+    right = _scores(star.satisfaction, "finess").select("finess", _mean_score(), "nb_mesures")
     return (left.join(known, "finess", "left_semi")
             .join(right.join(known, "finess", "left_semi"), "finess", "full_outer"))
 
@@ -397,28 +401,29 @@ def drill_satisfaction_deaths(star: Star) -> DataFrame:
     return left.join(right, ["code_region", "annee"], "full_outer")
 
 
-# Presentation order of each dashboard KPI, applied on demand by ``presented``.
+# Presentation order of each dashboard KPI, applied on demand by ``presented`` ('-' is descending).
 ORDER = {
-    "consultations_by_establishment": [_down("annee"), _down("nb_consultations")],
-    "consultations_by_diagnosis": [_down("annee"), _down("nb_consultations")],
-    "hospitalisations_by_quarter": [_up("annee"), _up("trimestre")],
-    "hospitalisations_by_diagnosis": [_down("annee"), _down("nb_hospitalisations")],
-    "demographics": [_down("annee"), _down("nb_consultations")],
-    "consultations_by_practitioner": [_down("nb_consultations")],
-    "deaths_by_region": [_down("annee"), _down("nb_deces")],
-    "satisfaction_by_region": [_down("annee"), _down("satisfaction_moyenne")],
-    "consultations_volume": [_down("nb_consultations")],
-    "deaths_volume": [_down("annee"), _down("nb_deces")],
-    "satisfaction_volume": [_down("annee"), _down("score_moyen")],
-    "hospitalisations_volume": [_down("nb_hospitalisations")],
-    "top_diagnosis_series": [_up("annee"), _down("total")],
-    "hospitalisations_by_year": [_up("annee")],
-    "sex_age_totals": [_down("total")],
-    "deaths_of_year": [_down("total_deces")],
-    "satisfaction_of_year": [_down("satisfaction_moyenne")],
+    "consultations_by_establishment": ["-annee", "-nb_consultations"],
+    "consultations_by_diagnosis": ["-annee", "-nb_consultations"],
+    "hospitalisations_by_quarter": ["annee", "trimestre"],
+    "hospitalisations_by_diagnosis": ["-annee", "-nb_hospitalisations"],
+    "demographics": ["-annee", "-nb_consultations"],
+    "consultations_by_practitioner": ["-nb_consultations"],
+    "deaths_by_region": ["-annee", "-nb_deces"],
+    "satisfaction_by_region": ["-annee", "-satisfaction_moyenne"],
+    "consultations_volume": ["-nb_consultations"],
+    "deaths_volume": ["-annee", "-nb_deces"],
+    "satisfaction_volume": ["-annee", "-score_moyen"],
+    "hospitalisations_volume": ["-nb_hospitalisations"],
+    "top_diagnosis_series": ["annee", "-total"],
+    "hospitalisations_by_year": ["annee"],
+    "sex_age_totals": ["-total"],
+    "deaths_of_year": ["-total_deces"],
+    "satisfaction_of_year": ["-satisfaction_moyenne"],
 }
 
 
 def presented(star: Star, name: str) -> DataFrame:
     """A KPI by name, in the order its dashboard shows it."""
-    return globals()[name](star).orderBy(*ORDER[name])
+    order = [_down(c[1:]) if c.startswith("-") else _up(c) for c in ORDER[name]]
+    return globals()[name](star).orderBy(*order)

@@ -7,10 +7,10 @@ the published one untouched.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
@@ -125,8 +125,8 @@ def _stage_extended(run: Run, sources: Sources) -> None:
         run.write(f"rejects_{table}", loaded.rejected)
 
 
-def build(run: Run, sources: Sources, mode: str = STANDARD) -> None:
-    """Write every table of a run.
+def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
+    """Write every table of a run; returns the consultations read.
 
     A standard run empties the facts of the other flows, as truncating their shared dimensions
     would; geography and practitioners are carried over from the published run.
@@ -134,7 +134,9 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> None:
     spark = run.spark
     extended = mode == EXTENDED
     loaded = staging.load_consultations(sources.consultations, with_loaded_at=True)
-    stg = run.write("stg_consultations_raw", staging.accepted_or_raise(loaded, "consultations"))
+    watch = Observation(f"consultations_{run.run_id}")
+    stg = run.write("stg_consultations_raw", loaded.counted(watch).accepted)
+    staging.raise_on_reject(loaded, watch, "consultations")
 
     days = dims.calendar(stg, "date_consultation")
     establishments = dims.establishments_of_consultations(stg)
@@ -177,6 +179,7 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> None:
             ["id_patient", "code_diag"], "id_fait_hospitalisation"))
     else:
         run.write("fait_hospitalisation", _empty(spark, STAY_SCHEMA))
+    return watch.get["rows"]
 
 
 def checks(run: Run, mode: str) -> DataFrame:
@@ -204,15 +207,14 @@ def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDA
     run = Run(spark, root, max(last + 1, int(started.timestamp() * 1000)))
     entry = {"run_id": run.run_id, "job_name": f"rebuild_{mode}", "started_at": started}
     try:
-        read, watch = staging.observed(sources.consultations, f"read_{run.run_id}")
-        build(run, replace(sources, consultations=read), mode)
+        rows_read = build(run, sources, mode)
         checked = checks(run, mode).persist()
         quality.log_quality(checked, f"{root}/audit/data_quality_log", run.run_id)
         quality.gate(checked)
         checked.unpersist()
         sinks.publish(spark, root, run.run_id, mode)
         written = run.read("fait_consultation").count()
-        entry.update(status="success", rows_read=watch.get["rows"], rows_written=written)
+        entry.update(status="success", rows_read=rows_read, rows_written=written)
     except Exception as error:
         entry.update(status="failed", message=str(error)[:1000])
         raise

@@ -32,8 +32,7 @@ def death_rows(raw: DataFrame) -> DataFrame:
     """One row per death with a ten-character date and a known region."""
     dated = (raw.select(rules.date_text(F.col("date")).alias("date_deces"), "place")
              .filter(F.length("date_deces") == 10))
-    return (add_region_of_place(dated, "place")
-            .filter(F.col("code_region").isNotNull())
+    return (add_region_of_place(dated, "place", how="inner")
             .select("date_deces", F.lit(BRONZE_DEATH_PATIENT).alias("id_patient"), "code_region",
                     F.lit(1).alias("nb_deces")))
 
@@ -76,8 +75,8 @@ def establishment_rows(raw: DataFrame, postal_as: str = "region") -> DataFrame:
     """
     identity = F.coalesce(rules.stripped_or_null(F.col("id")),
                           rules.stripped_or_null(F.col("alternate_id")))
-    rows = raw.select(
-        rules.establishment_id_from_file(identity).alias("finess"),
+    rows = raw.withColumn("_identity", identity).select(
+        rules.establishment_id_from_file(F.col("_identity")).alias("finess"),
         F.coalesce(rules.strip(F.col("name")), F.lit("")).alias("nom"),
         rules.stripped_or_null(F.col("region")).alias("_region"), "postal")
     if postal_as == "department":
