@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from starmart.session import path_exists
 from starmart.sources.delimited import write_bronze
 
 EXPORTED = ["dim_temps", "dim_patient", "dim_geographie", "dim_etablissement", "dim_diagnostic",
@@ -73,8 +73,8 @@ def publish(spark: SparkSession, root: str, run_id: int, mode: str) -> None:
 
 
 def current_run(spark: SparkSession, root: str) -> int | None:
-    try:
-        published = spark.read.schema("run_id bigint, mode string").parquet(f"{root}/published")
-    except AnalysisException:
+    folder = f"{root}/published"
+    if not path_exists(spark, folder):
         return None
+    published = spark.read.schema("run_id bigint, mode string").parquet(folder)
     return published.agg(F.max("run_id")).head()[0]

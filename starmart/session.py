@@ -46,6 +46,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "starmart", f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
