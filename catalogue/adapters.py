@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
 from starmart.operators import facts, staging
+from starmart.session import empty_table
 from starmart.sources import feeds, relational
 
 # Region codes given to nations 0..24: two repeat with another label, some are padded or unusable.
@@ -20,17 +21,30 @@ SURVEY_REGIONS = ["Rhône-Alpes", "ILE DE FRANCE", "Provence-Alpes-Côte d'Azur"
                   "Midi-Pyrénées", "La Réunion", "Franche-Comté"]
 
 
+def once(build):
+    """Build a table of a ``Tables`` object on first use and hand out the same plan afterwards."""
+    def table(self, *args):
+        key = (build.__name__, *args)
+        if key not in self.built:
+            self.built[key] = build(self, *args)
+        return self.built[key]
+    return table
+
+
 class Tables:
     """The driver's tables of one scale, and the sources derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.built: dict[tuple, DataFrame] = {}
 
+    @once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # --- relational sources -------------------------------------------------------------------
 
+    @once
     def consultation(self) -> DataFrame:
         """Consultations as the operational view gives them (dates typed, ids as text)."""
         return self.table("lineitem").select(
@@ -40,14 +54,17 @@ class Tables:
             F.expr(DIAGNOSIS).alias("diagnostic"), F.expr(ESTABLISHMENT).alias("id_etablissement"),
             F.lit(0).cast("decimal(12,2)").alias("montant"))
 
+    @once
     def patient(self) -> DataFrame:
         return self.table("customer").select(
             text("c_custkey").alias("id_patient"), F.expr(SEX).alias("sexe"), F.expr(AGE).alias("age"))
 
+    @once
     def consultations(self) -> DataFrame:
         """Staged consultations with sex and age."""
         return relational.consultations(self.consultation(), self.patient())
 
+    @once
     def raw_consultation(self) -> DataFrame:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("Num_consultation"),
@@ -55,6 +72,7 @@ class Tables:
             F.col("l_shipdate").cast("date").alias("Date"), F.expr(DIAGNOSIS).alias("Code_diag"),
             F.col("l_suppkey").alias("Id_prof_sante"))
 
+    @once
     def raw_room(self) -> DataFrame:
         """A room for every settled order; some rooms have no number."""
         return self.table("orders").filter("o_orderstatus = 'F'").select(
@@ -64,11 +82,13 @@ class Tables:
             F.expr("o_orderkey % 7").alias("Code_bloc"), F.expr("o_orderkey % 4")
             .alias("Num_etage"), F.expr("o_orderkey % 90").alias("Num_salle"))
 
+    @once
     def raw_patient(self) -> DataFrame:
         return self.table("customer").select(
             F.col("c_custkey").alias("Id_patient"), F.expr(SEX).alias("Sexe"), F.expr(AGE).alias("Age"),
             F.col("c_mktsegment").alias("Ville"), F.lit("FRANCE").alias("Pays"))
 
+    @once
     def raw_practitioner(self) -> DataFrame:
         return self.table("part").select(
             F.expr(PRACTITIONER).alias("Identifiant"), F.expr(LAST_NAME).alias("Nom"), F.expr(FIRST_NAME).alias("Prenom"),
@@ -76,6 +96,7 @@ class Tables:
 
     # --- text feeds ---------------------------------------------------------------------------
 
+    @once
     def consultation_text(self) -> DataFrame:
         """The consultation extract as text, with a few rows no load can accept."""
         day = "date_format(l_shipdate, 'yyyy-MM-dd')"
@@ -93,6 +114,7 @@ class Tables:
             F.expr("CASE l_linenumber WHEN 1 THEN ' ' WHEN 2 THEN NULL "
                    "ELSE string(l_suppkey % 95) END").alias("age"))
 
+    @once
     def death_text(self) -> DataFrame:
         day = "date_format(l_shipdate, 'yyyy-MM-dd')"
         return self.table("lineitem").select(
@@ -103,6 +125,7 @@ class Tables:
                    " WHEN 3 THEN NULL WHEN 4 THEN ' 69001 ' "
                    "ELSE concat(lpad(1 + l_suppkey % 95, 2, '0'), '001') END").alias("place"))
 
+    @once
     def survey_text(self) -> DataFrame:
         names = F.array(*[F.lit(n) for n in SURVEY_REGIONS])
         name = F.element_at(names, F.expr("int(user_id % 7) + 1"))
@@ -123,6 +146,7 @@ class Tables:
             F.expr("CASE WHEN event_id % 2 = 0 THEN 'enquete.csv' ELSE "
                    "concat('enquete_20', 17 + event_id % 5, '_hebdo.csv') END").alias("file_name"))
 
+    @once
     def establishment_text(self) -> DataFrame:
         key = "(CASE WHEN s_suppkey % 10 = 9 THEN s_suppkey - 1 ELSE s_suppkey END)"
         return self.table("supplier").select(
@@ -138,10 +162,12 @@ class Tables:
             F.expr("CASE WHEN s_suppkey % 9 = 0 THEN 'x' "
                    "ELSE concat(11 + s_suppkey % 80, '000') END").alias("postal"))
 
+    @once
     def practitioner_source(self) -> DataFrame:
         return self.table("part").select(F.expr(PRACTITIONER).alias("id_professionnel"),
                                          F.expr(LAST_NAME).alias("nom"), F.expr(FIRST_NAME).alias("prenom"))
 
+    @once
     def geography_text(self) -> DataFrame:
         codes = F.array(*[F.lit(c) for c in NATION_CODES])
         # region has 5 rows in every scale
@@ -154,6 +180,7 @@ class Tables:
             F.expr("CASE n_nationkey % 4 WHEN 1 THEN NULL WHEN 2 THEN ' ' ELSE r_name END")
             .alias("country"))
 
+    @once
     def stay_text(self) -> DataFrame:
         return self.table("orders").select(
             text("o_custkey").alias("id_patient"),
@@ -166,6 +193,7 @@ class Tables:
                    "ELSE string(o_orderkey % 20) END").alias("jours"),
             F.expr("lpad(o_orderkey % 110, 6, '0')").alias("finess"))
 
+    @once
     def patient_file(self) -> DataFrame:
         """The patient file of the text flow, with ids and sexes as people type them."""
         return self.table("customer").select(
@@ -179,29 +207,37 @@ class Tables:
 
     # --- bronze and staging -------------------------------------------------------------------
 
+    @once
     def bronze_deaths(self) -> DataFrame:
         return feeds.death_rows(self.death_text())
 
+    @once
     def bronze_surveys(self) -> DataFrame:
         return feeds.survey_rows(self.survey_text())
 
+    @once
     def bronze_establishments(self) -> DataFrame:
         return feeds.establishment_rows(self.establishment_text())
 
+    @once
     def bronze_practitioners(self) -> DataFrame:
         return feeds.practitioner_rows(self.practitioner_source())
 
+    @once
     def bronze_geography(self) -> DataFrame:
         return feeds.geography_rows(self.geography_text())
 
+    @once
     def staged_deaths(self) -> DataFrame:
         """Straight from the raw feed, counted before the region lookup."""
         counted = facts.deaths_of_raw_rows(self.death_text(), "date", "place")
         return staging.load_deaths_counts(counted).accepted
 
+    @once
     def staged_surveys(self) -> DataFrame:
         return staging.load_satisfaction(self.bronze_surveys()).accepted
 
+    @once
     def staged_geography(self) -> DataFrame:
         return self.bronze_geography().select(
             F.col("code_region").alias("code_region_src"),
@@ -209,33 +245,40 @@ class Tables:
 
     # --- gold ---------------------------------------------------------------------------------
 
+    @once
     def dim_geography(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], dims.GEOGRAPHY_SCHEMA)
+        empty = empty_table(self.spark, dims.GEOGRAPHY_SCHEMA)
         return dims.merge_geography(empty, self.staged_geography(), two_digit_codes=True)
 
+    @once
     def dim_patient(self) -> DataFrame:
         """Patients of the consultations: ids are made distinct before the patient join."""
         seen = self.consultation().select("id_patient").distinct()
         return dims.patients(seen.join(self.patient(), "id_patient", "left"))
 
+    @once
     def dim_diagnosis(self) -> DataFrame:
         return dims.diagnoses(self.consultation())
 
+    @once
     def dim_establishment(self) -> DataFrame:
         geo = self.dim_geography()
         seeds = dims.establishments_of_consultations(self.consultation())
         merged = dims.merge_establishments(seeds, self.bronze_establishments(), geo)
         return dims.merge_surveyed_establishments(merged, self.staged_surveys(), geo)
 
+    @once
     def dim_practitioner(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], dims.PRACTITIONER_SCHEMA)
+        empty = empty_table(self.spark, dims.PRACTITIONER_SCHEMA)
         return dims.merge_practitioners(empty, self.bronze_practitioners())
 
+    @once
     def dim_calendar(self) -> DataFrame:
         days = dims.calendar(self.consultation(), "date_consultation")
         days = dims.merge_calendar(days, dims.calendar(self.staged_deaths(), "date_deces_src"))
         return dims.merge_calendar(days, dims.calendar(self.staged_surveys(), "date_mesure_src"))
 
+    @once
     def fact_consultation(self) -> DataFrame:
         """The fact with practitioner and duration filled in, so that their KPIs have values."""
         source = self.table("lineitem").select(
@@ -246,12 +289,15 @@ class Tables:
         return facts.consultation_fact(source, practitioner=F.col("l_partkey").cast("string"),
                                        duration=F.col("l_quantity").cast("int"))
 
+    @once
     def fact_deaths(self) -> DataFrame:
         return facts.deaths_fact(self.staged_deaths(), self.dim_geography())
 
+    @once
     def fact_satisfaction(self) -> DataFrame:
         return facts.satisfaction_fact(self.staged_surveys(), self.dim_geography())
 
+    @once
     def fact_stays(self, count_days: bool = False) -> DataFrame:
         return facts.hospitalisation_fact(self.stay_text(), self.dim_calendar(), count_days)
 

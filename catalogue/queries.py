@@ -15,7 +15,7 @@ from starmart.operators import facts, keyed, lookups, quality, sinks, staging
 from starmart.operators.ids import dense_ids
 from starmart.plans import kpis
 from starmart.plans import rebuild as mart
-from starmart.session import new_folder
+from starmart.session import empty_table, new_folder
 from starmart.sources import delimited, feeds, relational
 
 from catalogue.adapters import Tables
@@ -459,7 +459,7 @@ def _current_geography(t: Tables) -> DataFrame:
     found = feeds.geography_from_facts(t.bronze_deaths(), t.bronze_surveys()).select(
         F.col("code_region").alias("code_region_src"),
         F.col("libelle_region").alias("libelle_region_src"), F.col("pays").alias("pays_src"))
-    empty = t.spark.createDataFrame([], dims.GEOGRAPHY_SCHEMA)
+    empty = empty_table(t.spark, dims.GEOGRAPHY_SCHEMA)
     return dims.merge_geography(empty, found, two_digit_codes=True)
 
 

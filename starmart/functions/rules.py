@@ -88,7 +88,8 @@ def date_text(c: Column) -> Column:
 
 
 def text_date(c: Column) -> Column:
-    return F.try_to_date(date_text(c), "yyyy-MM-dd")
+    """The day a text begins with; NULL for anything that is no calendar day."""
+    return F.regexp_extract(c, r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).try_cast("date")
 
 
 def day_first_date(c: Column) -> Column:

@@ -52,13 +52,14 @@ def deaths_of_raw_rows(raw: DataFrame, day: str, place: str) -> DataFrame:
 def deaths_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
     """Deaths per day and geography; regions without a geography row drop out.
 
-    The staged rows are summed per code before the join.
+    The staged rows are summed per code before the join; an id belongs to one code, so that is
+    the sum per id too.
     """
     per_code = (staged.groupBy(rules.calendar_key(F.col("date_deces_src")).alias("id_temps"),
                                F.trim("code_region_src").alias("code_region"))
                 .agg(F.sum(F.coalesce("nb_deces_src", F.lit(1))).alias("_n")))
     return (per_code.join(geography.select("code_region", "id_geo"), "code_region")
-            .groupBy("id_temps", "id_geo").agg(F.sum("_n").cast("bigint").alias("nb_deces")))
+            .select("id_temps", "id_geo", F.col("_n").cast("bigint").alias("nb_deces")))
 
 
 def satisfaction_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
@@ -96,16 +97,16 @@ def attach_diagnosis(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
             .drop("_known"))
 
 
-def with_calendar(fact: DataFrame) -> DataFrame:
+def with_calendar(fact: DataFrame, day_may_lack: bool = False) -> DataFrame:
     """Day attributes of a fact, read off its yyyymmdd key.
 
     Every day key of a published fact is in the calendar (the integrity check sees to it), and
     the attributes are functions of the key. So this equals the inner join with the calendar
-    without its scan and join; a NULL day key drops out, as it does there.
+    without its scan and join. Only stays may lack a day key; those rows drop out, as they do there.
     """
     key = F.col("id_temps")
+    rows = fact.filter(key.isNotNull()) if day_may_lack else fact
     year, month = F.floor(key / 10000).cast("int"), F.floor(key % 10000 / 100).cast("int")
-    return (fact.filter(key.isNotNull())
-            .withColumn("annee", year)
+    return (rows.withColumn("annee", year)
             .withColumn("trimestre", F.ceil(month / 3).cast("int"))
             .withColumn("date_complete", F.make_date(year, month, key % 100)))

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from starmart.functions import fixed_values as fixed
 from starmart.functions import rules
+from starmart.session import inline_table
 
 
 def department_regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.DEPARTMENT_REGION.items()),
-                                 "_dep_code string, _region string")
+    return inline_table(spark, list(fixed.DEPARTMENT_REGION.items()), ["_dep_code", "_region"])
 
 
 def region_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.REGION_NAME_CODE.items()),
-                                 "_name_key string, _region string")
+    return inline_table(spark, list(fixed.REGION_NAME_CODE.items()), ["_name_key", "_region"])
 
 
 def add_region_of_department(df: DataFrame, department: str, out: str,

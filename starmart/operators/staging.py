@@ -105,7 +105,9 @@ def load_deaths(bronze: DataFrame) -> Loaded:
 
 def load_deaths_counts(counted: DataFrame) -> Loaded:
     """Counted deaths; a ten-character text that is no calendar date is rejected."""
-    day = rules.text_date(F.col("date_deces"))
+    # The count is always positive. Naming it keeps the parsing above the aggregation: once per
+    # day and region instead of once per death.
+    day = F.when(F.col("nb_deces") > 0, rules.text_date(F.col("date_deces")))
     return Loaded(counted, [day.alias("date_deces_src"), F.col("code_region").alias("code_region_src"),
                            F.col("nb_deces").cast("int").alias("nb_deces_src")],
                  [(day.isNull(), "date_deces")])

@@ -116,7 +116,7 @@ def satisfaction_by_day(star: Star) -> DataFrame:
 
 
 def hospitalisations_detail(star: Star) -> DataFrame:
-    rows = (with_calendar(star.hospitalisation)
+    rows = (with_calendar(star.hospitalisation, day_may_lack=True)
             .groupBy("finess", "code_diag", "annee", "date_complete")
             .agg(_total("nb_hospitalisations")))
     labelled = _with_diagnosis(rows.join(_places(star), "finess"), star)
@@ -146,7 +146,7 @@ def consultations_by_establishment(star: Star) -> DataFrame:
 
 
 def _by_diagnosis(fact: DataFrame, star: Star, measure: str) -> DataFrame:
-    rows = (with_calendar(fact.filter(F.col("code_diag").isNotNull()))
+    rows = (with_calendar(fact.filter(F.col("code_diag").isNotNull()), day_may_lack=True)
             .groupBy("code_diag", "annee", "trimestre").agg(_total(measure)))
     return (rows.join(_diagnoses(star), F.col("code_diag") == F.col("code_dim"), "left")
             .groupBy("code_diag", "diagnostic", "annee", "trimestre").agg(_total(measure))
@@ -159,7 +159,7 @@ def consultations_by_diagnosis(star: Star) -> DataFrame:
 
 
 def hospitalisations_by_quarter(star: Star) -> DataFrame:
-    return (with_calendar(star.hospitalisation).groupBy("annee", "trimestre")
+    return (with_calendar(star.hospitalisation, day_may_lack=True).groupBy("annee", "trimestre")
             .agg(_total("nb_hospitalisations")))
 
 
@@ -266,7 +266,7 @@ def satisfaction_volume(star: Star) -> DataFrame:
 
 
 def hospitalisations_volume(star: Star) -> DataFrame:
-    per_patient = (_with_diagnosis(with_calendar(star.hospitalisation), star)
+    per_patient = (_with_diagnosis(with_calendar(star.hospitalisation, day_may_lack=True), star)
                    .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
                    .agg(_total("nb_hospitalisations")))
     rows = (per_patient.join(star.patient.select("id_patient"), "id_patient", "left_semi")

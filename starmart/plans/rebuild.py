@@ -17,6 +17,7 @@ from starmart.operators import dimensions as dims
 from starmart.operators import facts, quality, sinks, staging
 from starmart.operators.ids import dense_ids
 from starmart.plans.kpis import Star
+from starmart.session import empty_table
 
 STANDARD, EXTENDED = "standard", "extended"
 
@@ -97,13 +98,9 @@ def published_run(spark: SparkSession, root: str) -> Run | None:
     return None if run_id is None else Run(spark, root, run_id)
 
 
-def _empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def _previous(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     run = published_run(spark, root)
-    return run.read(table) if run else _empty(spark, schema)
+    return run.read(table) if run else empty_table(spark, schema)
 
 
 def _number(df: DataFrame, order: list[str], id_name: str, is_plain_scan: bool = False) -> DataFrame:
@@ -171,14 +168,14 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
             facts.satisfaction_fact(surveys, geo), ["id_temps", "finess", "id_geo"],
             "id_fait_satisfaction"))
     else:
-        run.write("fait_deces", _empty(spark, DEATH_SCHEMA))
-        run.write("fait_satisfaction", _empty(spark, SATISFACTION_SCHEMA))
+        run.write("fait_deces", empty_table(spark, DEATH_SCHEMA))
+        run.write("fait_satisfaction", empty_table(spark, SATISFACTION_SCHEMA))
     if extended and sources.hospitalisations is not None:
         run.write("fait_hospitalisation", _number(
             facts.hospitalisation_fact(sources.hospitalisations, days),
             ["id_patient", "code_diag"], "id_fait_hospitalisation"))
     else:
-        run.write("fait_hospitalisation", _empty(spark, STAY_SCHEMA))
+        run.write("fait_hospitalisation", empty_table(spark, STAY_SCHEMA))
     return watch.get["rows"]
 
 

@@ -46,6 +46,20 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "starmart", f"{label}-{uuid.uuid4().hex}")
 
 
+def inline_table(spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]) -> DataFrame:
+    """A few text rows as part of the plan itself, so their size is known and no job makes them."""
+    quote = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    values = ", ".join("(" + ", ".join(quote(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, known as such to the optimizer: joins and unions with it fold away."""
+    fields = [field.split() for field in schema.split(", ")]
+    columns = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {columns} WHERE false")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
