@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
 from starmart.operators import facts, staging
-from starmart.session import empty_table
+from starmart.session import empty_table, tuned
 from starmart.sources import feeds, relational
 
 # Region codes given to nations 0..24: two repeat with another label, some are padded or unusable.
@@ -35,7 +35,7 @@ class Tables:
     """The driver's tables of one scale, and the sources derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tuned(spark), sf_dir
         self.built: dict[tuple, DataFrame] = {}
 
     @once
@@ -99,7 +99,7 @@ class Tables:
     @once
     def consultation_text(self) -> DataFrame:
         """The consultation extract as text, with a few rows no load can accept."""
-        day = "date_format(l_shipdate, 'yyyy-MM-dd')"
+        day = "string(date(l_shipdate))"
         return self.table("lineitem").select(
             text("concat(l_orderkey, '-', l_linenumber)").alias("id_consultation"),
             F.expr("CASE WHEN l_partkey % 401 = 5 THEN NULL ELSE string(l_orderkey div 10) END")
@@ -116,7 +116,7 @@ class Tables:
 
     @once
     def death_text(self) -> DataFrame:
-        day = "date_format(l_shipdate, 'yyyy-MM-dd')"
+        day = "string(date(l_shipdate))"
         return self.table("lineitem").select(
             F.expr(f"CASE l_partkey % 40 WHEN 0 THEN NULL WHEN 1 THEN '1999-01' "
                    f"WHEN 2 THEN '2019-00-00' WHEN 3 THEN concat('  ', {day}, ' 10:00:00') "
@@ -130,16 +130,15 @@ class Tables:
         names = F.array(*[F.lit(n) for n in SURVEY_REGIONS])
         name = F.element_at(names, F.expr("int(user_id % 7) + 1"))
         return self.table("events").select(
-            F.expr("CASE user_id % 5 WHEN 0 THEN concat('000', user_id) WHEN 1 THEN "
-                   "concat('FR', user_id) WHEN 2 THEN concat(' ', user_id, ' ') "
-                   "ELSE string(user_id) END").alias("establishment"),
+            F.expr("concat(CASE user_id % 5 WHEN 0 THEN '000' WHEN 1 THEN 'FR' WHEN 2 THEN ' ' "
+                   "ELSE '' END, user_id, CASE WHEN user_id % 5 = 2 THEN ' ' ELSE '' END)")
+            .alias("establishment"),
             F.when(F.expr("user_id % 3 = 0"), F.expr("CASE WHEN user_id % 2 = 0 THEN ' 84' "
                                                       "ELSE '32' END"))
             .when(F.expr("user_id % 3 = 1"), name).alias("region_code"),
             F.when(F.expr("user_id % 3 = 2"), name).alias("region_name"),
-            F.expr("CASE WHEN event_id % 13 = 0 THEN NULL ELSE date_format("
-                   "date_sub(date(ts), int(365 * (event_id % 6))), 'yyyy-MM-dd') || ' 08:00' END")
-            .alias("date"),
+            F.expr("CASE WHEN event_id % 13 <> 0 THEN concat(date_sub(date(ts), "
+                   "int(365 * (event_id % 6))), ' 08:00') END").alias("date"),
             F.expr("CASE event_id % 17 WHEN 0 THEN NULL WHEN 1 THEN 'abs' "
                    "ELSE replace(string(decimal(value)), '.', ',') END"
                    .replace("decimal(value)", "CAST(value AS DECIMAL(10,2))")).alias("score"),

@@ -1,5 +1,8 @@
 """Conforming rules as native Column expressions.
 
+A rule names its input as few times as it can: filters on a conformed column are pushed to the
+scan with the whole expression inlined, so every extra mention is evaluated again for every row.
+
 Two trims are kept apart on purpose: rules that come from SQL remove spaces only,
 rules that come from files remove every kind of surrounding whitespace.
 """
@@ -20,12 +23,23 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def first_match(c: Column, pattern: str) -> Column:
+    """The first match of a pattern, NULL when there is none."""
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.lit(0))
+
+
 def stripped_or_null(c: Column) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    return first_match(c, r"(?s)\S(?:.*\S)?")
+
+
+def has_text(c: Column) -> Column:
+    """True for text with any non-whitespace character, False for blank text and NULL."""
+    return F.coalesce(c.rlike(r"\S"), F.lit(False))
 
 
 def not_blank(c: Column) -> Column:
-    return blank_to_null(c).isNotNull()
+    """True for text with any character but spaces; a filter on it drops blank text and NULL."""
+    return c.rlike("[^ ]")
 
 
 def blank_default(c: Column, default: str | Column) -> Column:
@@ -36,11 +50,6 @@ def digits_only(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
-def has_text(c: Column) -> Column:
-    """True for text with any non-space character, False for blank text and NULL."""
-    return F.coalesce(c.rlike(r"\S"), F.lit(False))
-
-
 def _without_leading_zeros(c: Column) -> Column:
     """Leading zeros go, an empty text is '0'. Names its input once, so nothing is evaluated twice."""
     return F.regexp_replace(F.concat(F.lit("0"), c), "(?s)^0+(?=.)", "")
@@ -63,7 +72,9 @@ def establishment_id_from_file(c: Column, no_digit_as_zero: bool = False) -> Col
 def department_key(place: Column) -> Column:
     """The department of a place code: three digits where such a code exists, else two, else ''."""
     overseas = [code for code in fixed.DEPARTMENT_REGION if len(code) == 3]
-    return F.regexp_extract(digits_only(place), f"^({'|'.join(overseas)}|[0-9]{{2}})", 1)
+    key = F.regexp_extract(digits_only(place), f"^({'|'.join(overseas)}|[0-9]{{2}})", 1)
+    # Never NULL, so a join on it adds no IS NOT NULL filter that would evaluate the key again.
+    return F.coalesce(key, F.lit(""))
 
 
 def region_name_key(name: Column) -> Column:
@@ -73,7 +84,7 @@ def region_name_key(name: Column) -> Column:
 
 
 def two_digit_code(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(digits_only(c), "^[0-9]{2}", 0), F.lit(""))
+    return first_match(digits_only(c), "^[0-9]{2}")
 
 
 def decimal_comma(c: Column, strict: bool = False) -> Column:
@@ -84,7 +95,8 @@ def decimal_comma(c: Column, strict: bool = False) -> Column:
 
 
 def date_text(c: Column) -> Column:
-    return F.substring(strip(c), 1, 10)
+    """The first ten characters of the stripped text; NULL for blank text."""
+    return F.substring(stripped_or_null(c), 1, 10)
 
 
 def text_date(c: Column) -> Column:

@@ -41,10 +41,12 @@ def deaths_by_day_and_region(bronze: DataFrame) -> DataFrame:
 def deaths_of_raw_rows(raw: DataFrame, day: str, place: str) -> DataFrame:
     """Scan to pre-aggregate in one pass: count per date text and department, then look up the
     region of the few counted rows instead of every death."""
+    # The length test names the count to stay above the aggregation: below it, every row's date
+    # would be cut out twice.
     counted = (raw.select(rules.date_text(F.col(day)).alias("date_deces"),
                           rules.department_key(F.col(place)).alias("_department"))
-               .filter((F.length("date_deces") == 10) & (F.col("_department") != ""))
-               .groupBy("date_deces", "_department").agg(F.count(F.lit(1)).alias("_n")))
+               .groupBy("date_deces", "_department").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.when(F.col("_n") > 0, F.length("date_deces") == 10)))
     return (add_region_of_department(counted, "_department", "code_region", how="inner")
             .groupBy("date_deces", "code_region").agg(F.sum("_n").alias("nb_deces")))
 

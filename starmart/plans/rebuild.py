@@ -118,8 +118,10 @@ def _stage_extended(run: Run, sources: Sources) -> None:
         "stg_professionnels_raw": staging.load_practitioners(sources.practitioners),
     }
     for table, loaded in loads.items():
-        run.write(table, loaded.accepted)
-        run.write(f"rejects_{table}", loaded.rejected)
+        watch = Observation(f"{table}_{run.run_id}")
+        run.write(table, loaded.counted(watch).accepted)
+        if watch.get["rejected"]:  # a second pass over the feed only where there is something to keep
+            run.write(f"rejects_{table}", loaded.rejected)
 
 
 def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:

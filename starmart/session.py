@@ -13,6 +13,17 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
 
 
+# Generated methods above this size are not compiled by the JVM and run interpreted; Spark then
+# does better with smaller methods and no whole-stage code for that stage.
+HUGE_METHOD_BYTES = "8000"
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Settings of the mart that a running session may take."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_BYTES)
+    return spark
+
+
 def build_session(app_name: str = "starmart", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A session with adaptive execution on; a cluster keeps its own master and sizes."""
@@ -27,7 +38,7 @@ def build_session(app_name: str = "starmart", master: str | None = None,
         builder = builder.master(master)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tuned(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

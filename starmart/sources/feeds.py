@@ -30,8 +30,9 @@ def read_deaths(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def death_rows(raw: DataFrame) -> DataFrame:
     """One row per death with a ten-character date and a known region."""
-    dated = (raw.select(rules.date_text(F.col("date")).alias("date_deces"), "place")
-             .filter(F.length("date_deces") == 10))
+    ten_characters = F.col("date").rlike(r"(?s)^\s*\S.{8,}\S")
+    dated = (raw.filter(ten_characters)
+             .select(rules.date_text(F.col("date")).alias("date_deces"), "place"))
     return (add_region_of_place(dated, "place", how="inner")
             .select("date_deces", F.lit(BRONZE_DEATH_PATIENT).alias("id_patient"), "code_region",
                     F.lit(1).alias("nb_deces")))
@@ -47,11 +48,11 @@ def survey_rows(raw: DataFrame) -> DataFrame:
 
     A missing date is the first of January of the year in the file name, else of the default year.
     """
-    base = F.regexp_extract("file_name", r"([^/]*)(/part-[^/]*)?$", 1)
-    year = F.regexp_extract(base, r"(20\d{2})", 1)
-    year = F.when(year == "", fixed.DEFAULT_SURVEY_YEAR).otherwise(year)
-    day = F.coalesce(F.substring(rules.stripped_or_null(F.col("date")), 1, 10),
-                     F.concat(year, F.lit("-01-01")))
+    # The last part of the path is the file, or the folder of its part files.
+    year = rules.first_match(F.col("file_name"), r"20[0-9]{2}(?=[^/]*(?:/part-[^/]*)?$)")
+    day = F.coalesce(rules.date_text(F.col("date")),
+                     F.concat(F.coalesce(year, F.lit(fixed.DEFAULT_SURVEY_YEAR)),
+                              F.lit("-01-01")))
     rows = raw.select(
         day.alias("date_satisfaction"),
         rules.establishment_id_from_file(F.col("establishment"), no_digit_as_zero=True)
