@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalogue.adapters import Tables  # noqa: E402
-from catalogue.queries import _sources, registered  # noqa: E402
+from catalogue.queries import mart_sources, registered  # noqa: E402
 from starmart.plans import kpis  # noqa: E402
 from starmart.plans import rebuild as mart  # noqa: E402
 from starmart.session import build_session, new_folder  # noqa: E402
@@ -56,7 +56,7 @@ def main() -> None:
 
     root, tables = new_folder(spark, "mart"), Tables(spark, sf_dir)
     start = time.perf_counter()
-    mart.rebuild(spark, _sources(tables), root, mart.EXTENDED)
+    mart.rebuild(spark, mart_sources(tables), root, mart.EXTENDED)
     seconds["rebuild_extended"] = round(time.perf_counter() - start, 3)
     star = mart.published_run(spark, root).star()
     for name in OVER_MART:

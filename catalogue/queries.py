@@ -547,7 +547,7 @@ def f06_dense_ids(t: Tables) -> DataFrame:
                      "id_fait_consultation", is_plain_scan=True)
 
 
-def _sources(t: Tables) -> mart.Sources:
+def mart_sources(t: Tables) -> mart.Sources:
     return mart.Sources(
         consultations=t.consultations().withColumn("date_consultation",
                                                    F.col("date_consultation").cast("string"))
@@ -566,7 +566,7 @@ _REBUILT = ["dim_temps", "dim_patient", "dim_geographie", "dim_etablissement", "
 def _rebuilt_counts(t: Tables, modes: list[str]) -> DataFrame:
     root = new_folder(t.spark, "mart")
     for mode in modes:
-        mart.rebuild(t.spark, _sources(t), root, mode)
+        mart.rebuild(t.spark, mart_sources(t), root, mode)
     run = mart.published_run(t.spark, root)
     return quality.row_counts({name: run.read(name) for name in _REBUILT})
 
@@ -698,7 +698,7 @@ def h06_run_log(t: Tables) -> DataFrame:
     """Two rebuilds leave two log rows with rows read and written."""
     root = new_folder(t.spark, "mart")
     for _ in range(2):
-        mart.rebuild(t.spark, _sources(t), root, mart.STANDARD)
+        mart.rebuild(t.spark, mart_sources(t), root, mart.STANDARD)
     log = t.spark.read.schema(quality.RUN_LOG_SCHEMA).parquet(f"{root}/audit/etl_run_log")
     return log.select("job_name", "status", "rows_read", "rows_written")
 
@@ -706,7 +706,7 @@ def h06_run_log(t: Tables) -> DataFrame:
 @query
 def h07_quality_log(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "mart")
-    mart.rebuild(t.spark, _sources(t), root, mart.EXTENDED)
+    mart.rebuild(t.spark, mart_sources(t), root, mart.EXTENDED)
     log = t.spark.read.parquet(f"{root}/audit/data_quality_log")
     return (log.filter(F.col("check_name") == "min_rows")
             .select("check_name", "table_name", "metric_name", "metric_value", "threshold_value",

@@ -71,16 +71,21 @@ class Run:
 
     def __init__(self, spark: SparkSession, root: str, run_id: int):
         self.spark, self.root, self.run_id = spark, root, run_id
+        self.schemas = {}  # of tables written by this object; an empty table has no file to tell
 
     def path(self, table: str) -> str:
         return f"{self.root}/run={self.run_id}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        reader = self.spark.read
+        if table in self.schemas:
+            reader = reader.schema(self.schemas[table])
+        return reader.parquet(self.path(table))
 
     def write(self, table: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         writer = df.write.mode("overwrite")
         (writer.partitionBy(partition) if partition else writer).parquet(self.path(table))
+        self.schemas[table] = df.schema
         return self.read(table)
 
     def star(self) -> Star:
@@ -109,10 +114,12 @@ def _number(df: DataFrame, order: list[str], id_name: str, is_plain_scan: bool =
 
 
 def _stage_extended(run: Run, sources: Sources) -> None:
+    # Deaths are the largest feed: counted in one pass, then split into accepted and rejected.
+    deaths = run.write("bronze_deces_par_jour", facts.deaths_by_day_and_region(sources.deaths))
     loads = {
         "stg_geographie_raw": staging.load_geography(
             sources.geography, ["code_region", "libelle_region", "pays"]),
-        "stg_deces_raw": staging.load_deaths(sources.deaths),
+        "stg_deces_raw": staging.load_deaths_counts(deaths),
         "stg_satisfaction_raw": staging.load_satisfaction(sources.surveys),
         "stg_etablissements_raw": staging.load_establishments(sources.establishments),
         "stg_professionnels_raw": staging.load_practitioners(sources.practitioners),
