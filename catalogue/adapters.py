@@ -23,10 +23,10 @@ SURVEY_REGIONS = ["Rhône-Alpes", "ILE DE FRANCE", "Provence-Alpes-Côte d'Azur"
 
 def once(build):
     """Build a table of a ``Tables`` object on first use and hand out the same plan afterwards."""
-    def table(self, *args):
-        key = (build.__name__, *args)
+    def table(self, *args, **options):
+        key = (build.__name__, *args, *options.items())
         if key not in self.built:
-            self.built[key] = build(self, *args)
+            self.built[key] = build(self, *args, **options)
         return self.built[key]
     return table
 
