@@ -75,14 +75,13 @@ def add_new_regions(current: DataFrame, regions: DataFrame,
     one window may number. Otherwise the rows are numbered in parallel.
     """
     new = absent_rows(current, regions, F.col("code_region"), F.col("code_region"))
-    highest = current.agg(F.coalesce(F.max("id_geo"), F.lit(0)).alias("_base"))
+    highest = current.agg(F.coalesce(F.max("id_geo"), F.lit(0))).scalar()
     if two_digit_codes:
         numbered = new.withColumn("_n", F.row_number().over(Window.orderBy("code_region")))
     else:
         numbered = dense_ids(new, ["code_region"], "_n")
-    added = (numbered.crossJoin(F.broadcast(highest))  # one row
-             .select((F.col("_base") + F.col("_n")).cast("int").alias("id_geo"),
-                     "code_region", "libelle_region", "pays"))
+    added = numbered.select((highest + F.col("_n")).cast("int").alias("id_geo"),
+                            "code_region", "libelle_region", "pays")
     return current.unionByName(added)
 
 
@@ -96,9 +95,18 @@ def merge_geography(current: DataFrame, staged: DataFrame,
     return update_regions(add_new_regions(current, regions, two_digit_codes), regions)
 
 
+def region_ids(geography: DataFrame, code: str = "code_region") -> DataFrame:
+    """Region code -> geography id, to be broadcast.
+
+    Regions enter the mart through the two-digit rule and keep one row per code: at most 100 rows.
+    Shuffling a fact on so few codes would put a region's whole share into one task.
+    """
+    return F.broadcast(geography.select(F.col("code_region").alias(code), "id_geo"))
+
+
 def staged_establishments(staged: DataFrame, geography: DataFrame) -> DataFrame:
     """Conformed establishments with their geography id, one row per id."""
-    geo = geography.select(F.col("code_region").alias("_code"), "id_geo")
+    geo = region_ids(geography, "_code")
     rows = (staged.filter(rules.not_blank(F.col("finess")))
             .select(rules.establishment_id(F.col("finess")).alias("finess"),
                     rules.blank_to_null(F.col("nom")).alias("nom"),
@@ -138,7 +146,7 @@ def surveyed_establishments(staged: DataFrame, geography: DataFrame) -> DataFram
     pairs = (staged.filter(rules.not_blank(F.col("finess_src")))
              .select(F.trim("finess_src").alias("finess"),
                      F.trim("code_region_src").alias("code_region")).distinct())
-    rows = pairs.join(geography.select("code_region", "id_geo"), "code_region")
+    rows = pairs.join(region_ids(geography), "code_region")
     return (one_row_per_key(rows.select("finess", "id_geo"), ["finess"], ["id_geo"])
             .select("finess", F.lit(None).cast("string").alias("nom"), "id_geo"))
 

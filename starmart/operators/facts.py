@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import fixed_values as fixed
 from starmart.functions import rules
+from starmart.operators.dimensions import region_ids
 from starmart.operators.lookups import add_region_of_department
 
 CONSULTATION_ORDER = ["id_temps", "id_patient", "finess"]
@@ -60,7 +61,7 @@ def deaths_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
     per_code = (staged.groupBy(rules.calendar_key(F.col("date_deces_src")).alias("id_temps"),
                                F.trim("code_region_src").alias("code_region"))
                 .agg(F.sum(F.coalesce("nb_deces_src", F.lit(1))).alias("_n")))
-    return (per_code.join(geography.select("code_region", "id_geo"), "code_region")
+    return (per_code.join(region_ids(geography), "code_region")
             .select("id_temps", "id_geo", F.col("_n").cast("bigint").alias("nb_deces")))
 
 
@@ -70,8 +71,8 @@ def satisfaction_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
                     F.trim("finess_src").alias("finess"),
                     F.trim("code_region_src").alias("_region"),
                     F.col("score_global_src").cast("double").alias("score_global")))
-    geo = geography.select(F.col("code_region").alias("_region"), "id_geo")
-    return (rows.join(geo, "_region").select("id_temps", "finess", "id_geo", "score_global"))
+    return (rows.join(region_ids(geography, "_region"), "_region")
+            .select("id_temps", "finess", "id_geo", "score_global"))
 
 
 def hospitalisation_fact(raw: DataFrame, calendar: DataFrame,
