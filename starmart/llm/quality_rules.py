@@ -35,12 +35,11 @@ RULES: tuple[Rule, ...] = (
     ("capitals", lambda s: 10 * s["n_capitals"] > 3 * s["n_letters"],
      lambda s: 20 * s["n_capitals"] <= 3 * s["n_letters"]),
     ("exclaims", lambda s: 10 * s["n_exclaims"] > s["n_words"], lambda s: 50 * s["n_exclaims"] <= s["n_words"]),
-    ("repeats", lambda s: 100 * s["n_repeat_words"] > 35 * s["n_words"],
-     lambda s: 100 * s["n_repeat_words"] <= 15 * s["n_words"]),
-    ("lines", lambda s: 10 * s["n_dup_lines"] > 6 * s["n_lines"], lambda s: 10 * s["n_dup_lines"] <= 2 * s["n_lines"]),
+    ("repeats", lambda s: 100 * s["n_repeat_words"] > 40 * s["n_words"],
+     lambda s: 100 * s["n_repeat_words"] <= 35 * s["n_words"]),
+    ("lines", lambda s: 10 * s["n_dup_lines"] > 6 * s["n_lines"], lambda s: 10 * s["n_dup_lines"] <= 5 * s["n_lines"]),
     ("word_length", lambda s: (s["word_chars"] < 2 * s["n_words"]) | (s["word_chars"] > 15 * s["n_words"]),
      lambda s: s["word_chars"].between(3 * s["n_words"], 11 * s["n_words"])),
-    ("length", lambda s: s["n_words"] < 8, lambda s: s["n_words"] >= 80),
 )
 
 
@@ -100,40 +99,60 @@ def base_failed(found: Column) -> Column:
 
 
 class LabelModel:
-    """How often each rule votes -1, 0, 1 on bad and on good documents, and how many are good."""
+    """How often each rule votes -1, 0, 1 on good documents and on each kind of bad ones.
+
+    Bad documents come in kinds that different rules notice, so the rules' votes are not independent
+    given just "bad": class 0 is good, class j is bad in the way of rule j, and within a class votes
+    are independent. A rule's accuracy follows from its votes per class.
+    """
 
     def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> None:
         """patterns: (n, rules) of -1, 0, 1, all different; counts: documents with each.
 
-        The start holds patterns without a bad vote to be good; both classes' votes are smoothed
-        with one document each. No documents: everything is as likely good as bad.
+        The start holds patterns without a bad vote to be good and shares the others among the kinds
+        of the rules that vote bad; each class's votes are smoothed with one document. No documents:
+        all classes are equally likely and votes tell nothing.
         """
         order = np.lexsort(patterns.T[::-1]) if len(patterns) else slice(0)
         patterns, counts = patterns[order], counts[order].astype(float)
-        self.prior, n_rules = 0.5, patterns.shape[1]
-        self.votes = np.full((2, n_rules, 3), 1 / 3)
+        n_rules = patterns.shape[1]
+        self.shares = np.full(1 + n_rules, 1 / (1 + n_rules))
+        self.votes = np.full((1 + n_rules, n_rules, 3), 1 / 3)
         if not counts.sum():
             return
         one_hot = np.stack([patterns == v for v in (-1, 0, 1)], 2).astype(float)
-        good = np.where((patterns < 0).any(1), 0.1, 0.95)
+        bad = (patterns < 0).astype(float)
+        good = np.where(bad.any(1), 0.02, 0.98)
+        kinds = np.where(bad.any(1)[:, None], bad, 1.0)
+        belief = np.column_stack([good, (1 - good)[:, None] * kinds / kinds.sum(1, keepdims=True)])
         for _ in range(rounds):
-            weights = np.stack([counts * (1 - good), counts * good])
-            self.votes = np.einsum("cn,nrv->crv", weights, one_hot) + 1
+            weights = belief.T * counts
+            self.votes = np.einsum("cn,nrv->crv", weights, one_hot) + 1 / 3
             self.votes /= self.votes.sum(2, keepdims=True)
-            self.prior = (weights[1].sum() + 1) / (counts.sum() + 2)
-            log = np.einsum("crv,nrv->cn", np.log(self.votes), one_hot)
-            odds = math.log(self.prior / (1 - self.prior)) + log[1] - log[0]
-            last, good = good, 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-            if np.abs(last - good).max() < 1e-9:
+            self.shares = (weights.sum(1) + 1) / (counts.sum() + 1 + n_rules)
+            log = np.einsum("crv,nrv->nc", np.log(self.votes), one_hot) + np.log(self.shares)
+            last, belief = belief, np.exp(log - log.max(1, keepdims=True))
+            belief /= belief.sum(1, keepdims=True)
+            if np.abs(last - belief).max() < 1e-9:
                 break
 
+    def accuracies(self) -> np.ndarray:
+        """Per rule the probability that a vote which it casts is right."""
+        bad, good = self.votes[1:, :, 0] * self.shares[1:, None], self.votes[0, :, 2] * self.shares[0]
+        cast = (self.votes[:, :, [0, 2]] * self.shares[:, None, None]).sum((0, 2))
+        return (bad.sum(0) + good) / cast
+
     def posterior(self, cast: list[Column]) -> Column:
-        """The probability of good: the log odds are a sum over the rules."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for rule, vote in enumerate(cast):
-            bad, none, good = (float(x) for x in np.log(self.votes[1, rule]) - np.log(self.votes[0, rule]))
-            odds = odds + F.when(vote < 0, bad).when(vote > 0, good).otherwise(none)
-        return 1 / (1 + F.exp(-odds))
+        """The probability of good; each kind's log odds against good are a sum over the rules."""
+        log = np.log(self.votes)
+        against = F.lit(1.0)
+        for kind in range(1, len(self.shares)):
+            odds = F.lit(math.log(self.shares[kind] / self.shares[0]))
+            for rule, vote in enumerate(cast):
+                bad, none, good = (float(x) for x in log[kind, rule] - log[0, rule])
+                odds = odds + F.when(vote < 0, bad).when(vote > 0, good).otherwise(none)
+            against = against + F.exp(odds)
+        return 1 / against
 
 
 def fit(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> LabelModel:
