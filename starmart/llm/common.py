@@ -49,7 +49,7 @@ def fold_crc(id_column: str | Column, modulus: int) -> Column:
 
 def planned_bytes(df: DataFrame) -> int:
     """Spark's own estimate of the input's size, without running anything."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def task_count(df: DataFrame, bytes_each: int) -> int:

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash, token_binary
-from starmart.llm.common import table
+from starmart.llm import (decontaminate, license_scan, line_dedup, mixing, pitman_yor, quality_rules, simhash,
+                          token_binary, toxicity, url_filter)
+from starmart.llm.common import fold_crc, table
 from starmart.session import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +22,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    of = lambda fixed: F.filter("places", lambda p: p["fixed"]) if fixed else F.col("places")
+    names = lambda places: F.array_join(F.array_sort(F.array_distinct(
+        F.transform(places, lambda p: p["label"]))), ",")
+    starts = F.transform(of(True), lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(of(True)).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        names(of(True)).alias("base_labels"), names(of(False)).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"))
+
+
 def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_folder(spark, "tokens")
     token_binary.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), target)
@@ -34,6 +48,25 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (fold_crc("doc_id", 7) == 2).alias("held_out")
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold_crc("doc_id", 3) == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    labelled = url_filter.labels_of(pages, table(spark, sf_dir, "labels"))
+    return url_filter.judge(pages, labelled).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", *[F.col("found")[name].alias(name) for name in quality_rules.SIGNALS[:5]],
@@ -51,7 +84,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op3_token_binary, op4_decontaminate, op8_quality_rules,
-                             op9_simhash, op10_mix)}
+    f.__name__: f for f in (
+        op1_line_dedup, op2_license_scan, op3_token_binary, op4_decontaminate, op5_pitman_yor, op6_toxicity,
+        op7_url_filter,
+        op8_quality_rules, op9_simhash, op10_mix)}
 
 ORACLES: dict[str, str] = {}
