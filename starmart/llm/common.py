@@ -47,15 +47,10 @@ def fold_crc(id_column: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the input's size, without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def task_count(df: DataFrame, bytes_each: int) -> int:
-    """Partitions so that each holds about ``bytes_each``; the session's number at least."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, planned_bytes(df) // bytes_each)
+def text_tasks(docs: DataFrame, bytes_each: int) -> int:
+    """Parts so that each holds about ``bytes_each`` of text; the session's shuffle partitions at least."""
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // bytes_each)
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, label: str) -> DataFrame:

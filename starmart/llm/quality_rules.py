@@ -27,6 +27,7 @@ _SPACES_AND_TAILS = b" \t\n\x0b\x0c\r" + bytes(range(0x80, 0xC0))
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 ROUNDS = 200
+FALSE_ALARMS = 0.01
 
 # Each rule: name, when it votes bad, when it votes good (else it abstains).
 Rule = tuple[str, Callable[..., Column], Callable[..., Column]]
@@ -103,7 +104,8 @@ class LabelModel:
 
     Bad documents come in kinds that different rules notice, so the rules' votes are not independent
     given just "bad": class 0 is good, class j is bad in the way of rule j, and within a class votes
-    are independent. A rule's accuracy follows from its votes per class.
+    are independent. A kind that one rule alone notices looks like that rule's errors, so a rule is held
+    to vote bad on ``FALSE_ALARMS`` of the good documents at most. Accuracies follow from these votes.
     """
 
     def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> None:
@@ -129,6 +131,9 @@ class LabelModel:
             weights = belief.T * counts
             self.votes = np.einsum("cn,nrv->crv", weights, one_hot) + 1 / 3
             self.votes /= self.votes.sum(2, keepdims=True)
+            alarms = self.votes[0, :, 0].copy()
+            self.votes[0] *= ((1 - np.minimum(alarms, FALSE_ALARMS)) / (1 - alarms))[:, None]
+            self.votes[0, :, 0] = np.minimum(alarms, FALSE_ALARMS)
             self.shares = (weights.sum(1) + 1) / (counts.sum() + 1 + n_rules)
             log = np.einsum("crv,nrv->nc", np.log(self.votes), one_hot) + np.log(self.shares)
             last, belief = belief, np.exp(log - log.max(1, keepdims=True))

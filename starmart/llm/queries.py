@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starmart.llm import (decontaminate, license_scan, line_dedup, mixing, pitman_yor, quality_rules, simhash,
                           token_binary, toxicity, url_filter)
 from starmart.llm.common import fold_crc, table
+from starmart.llm.oracles import ORACLES  # noqa: F401
 from starmart.session import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -89,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_url_filter,
         op8_quality_rules, op9_simhash, op10_mix)}
 
-ORACLES: dict[str, str] = {}
+

@@ -124,24 +124,25 @@ def _edges(keyed: DataFrame, radius: int) -> DataFrame:
 
 def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """(a, b): edges that connect all of the different fingerprints ``print`` within the radius."""
-    masks = covering_masks(radius)
-    rows = prints.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])))
+    spark = prints.sparkSession
+    rows = prints.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])))
     edges = None
-    while masks:
+    while True:
         keyed = rows.withColumn("key", F.col("print").bitwiseAND(F.col("mask")))
         sizes = stored(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("held"))
                        .where("held > 1"), "buckets")
         found = keyed.join(sizes, ["mask", "key"])
         small = stored(_edges(found.where(F.col("held") <= bucket), radius), "edges")
         edges = small if edges is None else edges.unionByName(small)
-        if sizes.where(F.col("held") > bucket).isEmpty():
+        crowded = [row["mask"] for row in sizes.where(F.col("held") > bucket).select("mask").distinct().collect()]
+        if not crowded:
             break
-        large = stored(found.where(F.col("held") > bucket).select("print", "mask"), "large-buckets")
-        longer = {m: sorted({m | b for b in blocks_of(m, radius + 1) if b} or {m}) for m in masks}
-        branches = F.create_map(*[x for m, more in longer.items()
-                                  for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(n)) for n in more]))])
-        rows = large.select("print", F.explode(branches[F.col("mask")]).alias("mask")).distinct()
-        masks = sorted({n for more in longer.values() for n in more})
+        # A few masks with r + 1 longer ones each; their number depends on the depth, not on the rows.
+        longer = spark.createDataFrame([(mask, _signed(mask & FULL | block)) for mask in crowded
+                                        for block in blocks_of(mask & FULL, radius + 1)], "mask long, longer long")
+        large = found.where(F.col("held") > bucket).select("print", "mask")
+        rows = stored(large.join(F.broadcast(longer), "mask").select("print", F.col("longer").alias("mask"))
+                      .distinct(), "large-buckets")
     return edges.distinct()
 
 
