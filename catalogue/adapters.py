@@ -247,7 +247,7 @@ class Tables:
     @once
     def dim_geography(self) -> DataFrame:
         empty = empty_table(self.spark, dims.GEOGRAPHY_SCHEMA)
-        return dims.merge_geography(empty, self.staged_geography(), two_digit_codes=True)
+        return dims.merge_geography(empty, self.staged_geography())
 
     @once
     def dim_patient(self) -> DataFrame:

@@ -460,13 +460,12 @@ def _current_geography(t: Tables) -> DataFrame:
         F.col("code_region").alias("code_region_src"),
         F.col("libelle_region").alias("libelle_region_src"), F.col("pays").alias("pays_src"))
     empty = empty_table(t.spark, dims.GEOGRAPHY_SCHEMA)
-    return dims.merge_geography(empty, found, two_digit_codes=True)
+    return dims.merge_geography(empty, found)
 
 
 @query
 def d06_geography_insert(t: Tables) -> DataFrame:
-    return dims.add_new_regions(_current_geography(t), dims.staged_regions(t.staged_geography()),
-                                two_digit_codes=True)
+    return dims.add_new_regions(_current_geography(t), dims.staged_regions(t.staged_geography()))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import fixed_values as fixed
@@ -67,19 +67,11 @@ def staged_regions(staged: DataFrame) -> DataFrame:
     return one_row_per_key(cleaned, ["code_region"], ["libelle_region", "pays"])
 
 
-def add_new_regions(current: DataFrame, regions: DataFrame,
-                    two_digit_codes: bool = False) -> DataFrame:
-    """Append regions not yet present, numbered by code after the largest id in use.
-
-    ``two_digit_codes`` says the codes went through the two-digit rule: at most 100 rows, which
-    one window may number. Otherwise the rows are numbered in parallel.
-    """
+def add_new_regions(current: DataFrame, regions: DataFrame) -> DataFrame:
+    """Append regions not yet present, numbered by code after the largest id in use."""
     new = absent_rows(current, regions, F.col("code_region"), F.col("code_region"))
     highest = current.agg(F.coalesce(F.max("id_geo"), F.lit(0))).scalar()
-    if two_digit_codes:
-        numbered = new.withColumn("_n", F.row_number().over(Window.orderBy("code_region")))
-    else:
-        numbered = dense_ids(new, ["code_region"], "_n")
+    numbered = dense_ids(new, ["code_region"], "_n")
     added = numbered.select((highest + F.col("_n")).cast("int").alias("id_geo"),
                             "code_region", "libelle_region", "pays")
     return current.unionByName(added)
@@ -89,19 +81,15 @@ def update_regions(current: DataFrame, regions: DataFrame) -> DataFrame:
     return change_update(current, regions, "code_region", ["libelle_region", "pays"])
 
 
-def merge_geography(current: DataFrame, staged: DataFrame,
-                    two_digit_codes: bool = False) -> DataFrame:
+def merge_geography(current: DataFrame, staged: DataFrame) -> DataFrame:
     regions = staged_regions(staged)
-    return update_regions(add_new_regions(current, regions, two_digit_codes), regions)
+    return update_regions(add_new_regions(current, regions), regions)
 
 
 def region_ids(geography: DataFrame, code: str = "code_region") -> DataFrame:
-    """Region code -> geography id, to be broadcast.
-
-    Regions enter the mart through the two-digit rule and keep one row per code: at most 100 rows.
-    Shuffling a fact on so few codes would put a region's whole share into one task.
-    """
-    return F.broadcast(geography.select(F.col("code_region").alias(code), "id_geo"))
+    """Region code -> geography id. Spark broadcasts it by its measured size, and splits a code that
+    holds many rows where it shuffles."""
+    return geography.select(F.col("code_region").alias(code), "id_geo")
 
 
 def staged_establishments(staged: DataFrame, geography: DataFrame) -> DataFrame:

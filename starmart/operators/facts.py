@@ -101,15 +101,20 @@ def attach_diagnosis(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
 
 
 def with_calendar(fact: DataFrame, day_may_lack: bool = False) -> DataFrame:
-    """Day attributes of a fact, read off its yyyymmdd key.
+    """Day attributes of a fact, read off its yyyymmdd key; a stored year is kept.
 
     Every day key of a published fact is in the calendar (the integrity check sees to it), and
     the attributes are functions of the key. So this equals the inner join with the calendar
     without its scan and join. Only stays may lack a day key; those rows drop out, as they do there.
+    The stored year is the folder that a filter on ``annee`` prunes.
     """
-    key = F.col("id_temps")
-    rows = fact.filter(key.isNotNull()) if day_may_lack else fact
-    year, month = F.floor(key / 10000).cast("int"), F.floor(key % 10000 / 100).cast("int")
-    return (rows.withColumn("annee", year)
-            .withColumn("trimestre", F.ceil(month / 3).cast("int"))
-            .withColumn("date_complete", F.make_date(year, month, key % 100)))
+    rows = fact.filter(F.col("id_temps").isNotNull()) if day_may_lack else fact
+    month = F.expr("CAST(id_temps div 100 % 100 AS int)")
+    if "annee" not in fact.columns:
+        rows = rows.withColumn("annee", year_of_key())
+    return (rows.withColumn("trimestre", F.expr("CAST((id_temps div 100 % 100 + 2) div 3 AS int)"))
+            .withColumn("date_complete", F.make_date(year_of_key(), month, F.col("id_temps") % 100)))
+
+
+def year_of_key() -> Column:
+    return F.expr("CAST(id_temps div 10000 AS int)")

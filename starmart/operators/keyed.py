@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], values: list[str] | None = None) -> DataFrame:
-    """The smallest row of each key, values compared in order with NULL last."""
+    """The smallest row of each key, values compared in order with NULL last.
+
+    Equal rows are put together by hash first: picking by ``min`` of a struct sorts its input.
+    """
     values = values or [c for c in df.columns if c not in keys]
     if not values:
         return df.select(*keys).distinct()
     ordered = []
     for v in values:
         ordered += [F.col(v).isNull().alias(f"_null_{v}"), F.col(v).alias(v)]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_picked"))
+    picked = df.select(*keys, *values).distinct().groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_picked"))
     return picked.select(*keys, *[F.col("_picked")[v].alias(v) for v in values])
 
 

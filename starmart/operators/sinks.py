@@ -36,7 +36,7 @@ def external_text_table(spark: SparkSession, name: str, schema, location: str) -
 
 def with_year(fact: DataFrame) -> DataFrame:
     """Keep the year in the fact: filters on it prune folders without touching the calendar."""
-    return fact.withColumn("annee", F.floor(F.col("id_temps") / 10000).cast("int"))
+    return fact.withColumn("annee", F.expr("CAST(id_temps div 10000 AS int)"))
 
 
 def write_orc(df: DataFrame, path: str, partition: str | None = None) -> None:

@@ -12,7 +12,7 @@ from starmart.functions import fixed_values as fixed
 from starmart.functions import rules
 from starmart.operators.facts import deaths_by_day_and_region
 from starmart.operators.ids import dense_ids
-from starmart.sources.delimited import first_alias, header_map
+from starmart.sources.delimited import Headers
 
 
 @dataclass
@@ -76,9 +76,9 @@ def load_geography(raw: DataFrame, number_rows_by: list[str] | None = None) -> L
 
     Without an id column rows are numbered from 1 in the order of ``number_rows_by``.
     """
-    headers = header_map(raw.columns)
+    headers = Headers(raw.columns)
     aliases = fixed.GEOGRAPHY_STAGING_ALIASES
-    id_col = first_alias(headers, aliases["id"])
+    id_col = headers.find(aliases["id"])
     if id_col is None:
         order = number_rows_by or raw.columns
         raw = dense_ids(raw, order, "_row_number")
@@ -88,10 +88,10 @@ def load_geography(raw: DataFrame, number_rows_by: list[str] | None = None) -> L
     null = F.lit(None).cast("string")
 
     def text(name: str) -> Column:
-        found = first_alias(headers, aliases[name])
+        found = headers.find(aliases[name])
         return rules.stripped_or_null(F.col(found)) if found else null
 
-    country = (text("country") if first_alias(headers, aliases["country"])
+    country = (text("country") if headers.find(aliases["country"])
                else F.lit(fixed.DEFAULT_COUNTRY))
     return Loaded(raw, [id_value.alias("id_geo_src"), text("code").alias("code_region_src"),
                        text("label").alias("libelle_region_src"), country.alias("pays_src")],
@@ -114,10 +114,10 @@ def load_deaths_counts(counted: DataFrame) -> Loaded:
 
 
 def load_satisfaction(bronze: DataFrame, strict: bool = False) -> Loaded:
-    headers = header_map(bronze.columns)
+    headers = Headers(bronze.columns)
 
     def found(name: str) -> Column:
-        column = first_alias(headers, fixed.SURVEY_STAGING_ALIASES[name])
+        column = headers.find(fixed.SURVEY_STAGING_ALIASES[name])
         return (F.col(column) if column else F.lit(None)).cast("string")
 
     day = rules.text_date(found("date"))

@@ -3,7 +3,7 @@
 Facts are reduced to the join keys before dimensions are joined. That keeps shuffles small and
 takes the weight out of hot keys (an unknown establishment, a default diagnosis). Dimensions carry
 no broadcast hint: Spark broadcasts them when their measured size allows, and shuffles otherwise.
-Only the geography dimension is hinted, it has one row per two-digit code.
+Diagnoses come before the last grouping, since all codes that the dimension lacks make one group.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def _total(column: str) -> Column:
 
 
 def _geo(star: Star) -> DataFrame:
-    return F.broadcast(star.geography.select("id_geo", "code_region", "libelle_region"))
+    return star.geography.select("id_geo", "code_region", "libelle_region")
 
 
 def _places(star: Star) -> DataFrame:
@@ -63,17 +63,23 @@ def _with_diagnosis(df: DataFrame, star: Star) -> DataFrame:
 # --- detail KPIs ------------------------------------------------------------------------------
 
 def consultations_detail(star: Star) -> DataFrame:
-    rows = (with_calendar(star.consultation)
-            .join(star.patient.select("id_patient", "sexe", "age"), "id_patient")
-            .groupBy("finess", "code_diag", "annee", "date_complete", "sexe", "age")
+    """The fact is grouped by its own keys first; patients, places and diagnoses meet those groups."""
+    rows = (star.consultation.groupBy("finess", "code_diag", *_day(star.consultation), "id_patient")
             .agg(_total("nb_consultations"), F.sum("duree_consultation").alias("_duration"),
                  F.count("duree_consultation").alias("_timed")))
-    labelled = _with_diagnosis(rows.join(_places(star), "finess"), star)
-    keys = ["finess", "etablissement", "code_region", "libelle_region", "annee", "date_complete",
-            "code_diag", "diagnostic", "sexe", "age"]
-    return (labelled.groupBy(*keys)
-            .agg(_total("nb_consultations"),
-                 mean(F.sum("_duration"), F.sum("_timed")).alias("duree_moy_min")))
+    known = _with_diagnosis(rows, star).join(star.patient.select("id_patient", "sexe", "age"), "id_patient")
+    summed = (known.groupBy("finess", "code_diag", "diagnostic", *_day(star.consultation), "sexe", "age")
+              .agg(_total("nb_consultations"), F.sum("_duration").alias("_duration"),
+                   F.sum("_timed").alias("_timed")))
+    return (with_calendar(summed).join(_places(star), "finess")
+            .select("finess", "etablissement", "code_region", "libelle_region", "annee", "date_complete",
+                    "code_diag", "diagnostic", "sexe", "age", "nb_consultations",
+                    mean(F.col("_duration"), F.col("_timed")).alias("duree_moy_min")))
+
+
+def _day(fact: DataFrame) -> list[str]:
+    """The day key and, where it is stored, the year that prunes the scan."""
+    return [c for c in ("annee", "id_temps") if c in fact.columns]
 
 
 def deaths_by_day(star: Star) -> DataFrame:
@@ -233,19 +239,19 @@ def satisfaction_by_region(star: Star) -> DataFrame:
 # --- large-volume KPIs ------------------------------------------------------------------------
 
 def consultations_volume(star: Star) -> DataFrame:
-    """Totals and exact distinct patients. A patient is first one row per group, then counted.
+    """Totals and exact distinct patients: one row per patient and group is left before any join.
 
-    Diagnoses come first, since several unknown codes make one group.
+    Several unknown codes make one group, so patients are merged again after the diagnoses.
     """
-    per_patient = (_with_diagnosis(with_calendar(star.consultation), star)
-                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
-                   .agg(_total("nb_consultations"), F.sum("duree_consultation").alias("_duration"),
-                        F.count("duree_consultation").alias("_timed")))
+    measures = [_total("nb_consultations"), F.sum("_duration").alias("_duration"), F.sum("_timed").alias("_timed")]
+    by_code = (with_calendar(star.consultation).groupBy("finess", "annee", "code_diag", "id_patient")
+               .agg(measures[0], F.sum("duree_consultation").alias("_duration"),
+                    F.count("duree_consultation").alias("_timed")))
+    per_patient = (_with_diagnosis(by_code, star)
+                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient").agg(*measures))
     rows = (per_patient.join(star.patient.select("id_patient", "sexe"), "id_patient")
             .groupBy("finess", "annee", "code_diag", "diagnostic", "sexe")
-            .agg(_total("nb_consultations"), F.sum("_duration").alias("_duration"),
-                 F.sum("_timed").alias("_timed"),
-                 F.count(F.lit(1)).alias("nb_patients_distincts")))
+            .agg(*measures, F.count(F.lit(1)).alias("nb_patients_distincts")))
     return (rows.join(_places(star), "finess")
             .select("finess", "etablissement", "libelle_region", "annee", "code_diag",
                     "diagnostic", "sexe", "nb_consultations",
@@ -266,7 +272,9 @@ def satisfaction_volume(star: Star) -> DataFrame:
 
 
 def hospitalisations_volume(star: Star) -> DataFrame:
-    per_patient = (_with_diagnosis(with_calendar(star.hospitalisation, day_may_lack=True), star)
+    by_code = (with_calendar(star.hospitalisation, day_may_lack=True)
+               .groupBy("finess", "annee", "code_diag", "id_patient").agg(_total("nb_hospitalisations")))
+    per_patient = (_with_diagnosis(by_code, star)
                    .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
                    .agg(_total("nb_hospitalisations")))
     rows = (per_patient.join(star.patient.select("id_patient"), "id_patient", "left_semi")

@@ -44,13 +44,19 @@ FOREIGN_KEYS = {
     "fait_deces": {"id_temps": "dim_temps", "id_geo": "dim_geographie"},
     "fait_satisfaction": {"id_temps": "dim_temps", "finess": "dim_etablissement",
                           "id_geo": "dim_geographie"},
+    "fait_hospitalisation": {"id_temps": "dim_temps", "id_patient": "dim_patient",
+                             "finess": "dim_etablissement", "code_diag": "dim_diagnostic"},
 }
 NOT_NULL = {
     "dim_temps": ["id_temps", "date_complete", "annee", "trimestre", "mois", "semaine"],
     "fait_consultation": ["id_temps", "id_patient", "finess", "nb_consultations"],
     "fait_deces": ["id_temps", "id_geo", "nb_deces"],
     "fait_satisfaction": ["id_temps", "finess", "id_geo"],
+    "fait_hospitalisation": ["id_patient", "finess", "nb_hospitalisations"],
 }
+# Tables whose keys may stand for several source rows, of which the smallest was taken.
+COLLAPSED = {"stg_geographie_raw": ["code_region_src"], "stg_etablissements_raw": ["finess"],
+             "stg_professionnels_raw": ["id_prof_source"]}
 
 
 @dataclass
@@ -151,7 +157,7 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
     if extended:
         _stage_extended(run, sources)
         deaths, surveys = run.read("stg_deces_raw"), run.read("stg_satisfaction_raw")
-        geo = dims.merge_geography(geo, run.read("stg_geographie_raw"), two_digit_codes=True)
+        geo = dims.merge_geography(geo, run.read("stg_geographie_raw"))
         practitioners = dims.merge_practitioners(practitioners, run.read("stg_professionnels_raw"))
     geo = run.write("dim_geographie", geo)
     if extended:
@@ -171,18 +177,18 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
     run.write("fait_consultation", _number(fact, facts.CONSULTATION_ORDER, "id_fait_consultation",
                                            is_plain_scan=True), partition="annee")
     if extended:
-        run.write("fait_deces", _number(facts.deaths_fact(deaths, geo), ["id_temps", "id_geo"],
-                                        "id_fait_deces"))
+        run.write("fait_deces", _number(sinks.with_year(facts.deaths_fact(deaths, geo)),
+                                        ["id_temps", "id_geo"], "id_fait_deces"), partition="annee")
         run.write("fait_satisfaction", _number(
-            facts.satisfaction_fact(surveys, geo), ["id_temps", "finess", "id_geo"],
-            "id_fait_satisfaction"))
+            sinks.with_year(facts.satisfaction_fact(surveys, geo)), ["id_temps", "finess", "id_geo"],
+            "id_fait_satisfaction"), partition="annee")
     else:
         run.write("fait_deces", empty_table(spark, DEATH_SCHEMA))
         run.write("fait_satisfaction", empty_table(spark, SATISFACTION_SCHEMA))
     if extended and sources.hospitalisations is not None:
         run.write("fait_hospitalisation", _number(
-            facts.hospitalisation_fact(sources.hospitalisations, days),
-            ["id_patient", "code_diag"], "id_fait_hospitalisation"))
+            sinks.with_year(facts.hospitalisation_fact(sources.hospitalisations, days)),
+            ["id_patient", "code_diag"], "id_fait_hospitalisation"), partition="annee")
     else:
         run.write("fait_hospitalisation", empty_table(spark, STAY_SCHEMA))
     return watch.get["rows"]
@@ -193,7 +199,9 @@ def checks(run: Run, mode: str) -> DataFrame:
     names = STANDARD_TABLES + (EXTENDED_TABLES if mode == EXTENDED else [])
     tables = {name: run.read(name) for name in names}
     parts = [quality.minimum_rows(tables)]
-    for name in names:
+    # Stays come from a source that a run may lack, so they may be empty, but never unsound.
+    tables["fait_hospitalisation"] = run.read("fait_hospitalisation")
+    for name in tables:
         if name in PRIMARY_KEYS:
             parts.append(quality.duplicate_keys(tables[name], name, [PRIMARY_KEYS[name]]))
         if name in NOT_NULL:
@@ -201,6 +209,8 @@ def checks(run: Run, mode: str) -> DataFrame:
         for column, dimension in FOREIGN_KEYS.get(name, {}).items():
             parts.append(quality.orphans(tables[name], name, column, run.read(dimension),
                                          PRIMARY_KEYS[dimension]))
+        if name in COLLAPSED:
+            parts.append(quality.collapsed(tables[name], name, COLLAPSED[name]))
     return quality.union_all(parts)
 
 
@@ -212,19 +222,21 @@ def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDA
     started = datetime.now(timezone.utc)
     run = Run(spark, root, max(last + 1, int(started.timestamp() * 1000)))
     entry = {"run_id": run.run_id, "job_name": f"rebuild_{mode}", "started_at": started}
+    checked = None
     try:
         rows_read = build(run, sources, mode)
         checked = checks(run, mode).persist()
         quality.log_quality(checked, f"{root}/audit/data_quality_log", run.run_id)
         quality.gate(checked)
-        checked.unpersist()
-        sinks.publish(spark, root, run.run_id, mode)
         written = run.read("fait_consultation").count()
         entry.update(status="success", rows_read=rows_read, rows_written=written)
+        sinks.publish(spark, root, run.run_id, mode)
     except Exception as error:
-        entry.update(status="failed", message=str(error)[:1000])
+        entry.update(status="failed", message=str(error))
         raise
     finally:
+        if checked is not None:
+            checked.unpersist()
         entry["ended_at"] = datetime.now(timezone.utc)
         quality.log_run(spark, f"{root}/audit/etl_run_log", entry)
     return run

@@ -42,11 +42,15 @@ def build_session(app_name: str = "starmart", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for cut lineage; a temporary one only where none is named."""
+    """The folder the cluster names for cut lineage. Only a session on this machine alone may do
+    without a name, and gets a temporary folder."""
     global _local_folder
-    named = spark.conf.get(CHECKPOINT_CONF, None)
+    set_by_call = spark.sparkContext._jsc.sc().getCheckpointDir()
+    named = spark.conf.get(CHECKPOINT_CONF, None) or (set_by_call.get() if set_by_call.isDefined() else None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="starmart-")
     return _local_folder

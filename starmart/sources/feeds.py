@@ -6,26 +6,26 @@ rule serves files (``read_layouts``) and any other table of the same shape.
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import fixed_values as fixed
 from starmart.functions import rules
 from starmart.operators.lookups import add_region_code, add_region_of_place
-from starmart.sources.delimited import (first_alias, header_map, layout_of, read_delimited,
-                                        read_layouts)
+from starmart.sources.delimited import plain, read_layouts
+
+log = logging.getLogger(__name__)
 
 BRONZE_DEATH_PATIENT = "UNKNOWN"
 
 
 def read_deaths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Deaths file: only the columns found by alias are read."""
-    for path in paths:
-        headers = header_map(list(layout_of(spark, path, delimiter=",").columns))
-        if first_alias(headers, fixed.DEATH_ALIASES["date"]) is None:
-            raise ValueError(f"no date column in {path}")
-    return read_layouts(spark, paths, fixed.DEATH_ALIASES, delimiter=",")
+    return read_layouts(spark, paths, fixed.DEATH_ALIASES, delimiter=",", required=("date",))
 
 
 def death_rows(raw: DataFrame) -> DataFrame:
@@ -97,16 +97,11 @@ def practitioner_rows(source: DataFrame) -> DataFrame:
     return _usable_practitioners(named)
 
 
-def practitioner_file_rows(spark: SparkSession, path: str) -> DataFrame:
-    raw = read_delimited(spark, path)
-    plain = {c.lower().strip(): c for c in raw.columns}
-    id_col = next((plain[a] for a in fixed.PRACTITIONER_ALIASES["id"] if a in plain), None)
-    name_col = next((plain[a] for a in fixed.PRACTITIONER_ALIASES["name"] if a in plain), None)
-    if id_col is None:
-        raise ValueError(f"no practitioner id column in {path}")
-    name = F.col(f"`{name_col}`") if name_col else F.lit("")
-    return _usable_practitioners(raw.select(F.col(f"`{id_col}`").alias("id_prof_source"),
-                                            name.alias("nom_source")))
+def practitioner_file_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Practitioners of all files; each needs an id column, a name is '' where there is none."""
+    raw = read_layouts(spark, paths, fixed.PRACTITIONER_ALIASES, required=("id",), key=plain)
+    return _usable_practitioners(raw.select(F.col("id").alias("id_prof_source"),
+                                            F.col("name").alias("nom_source")))
 
 
 def _usable_practitioners(df: DataFrame) -> DataFrame:
@@ -117,19 +112,29 @@ def _usable_practitioners(df: DataFrame) -> DataFrame:
 
 
 def practitioners(spark: SparkSession, source, files: list[str]) -> DataFrame:
-    """The relational source; when it fails or is empty, the first file.
+    """The relational source; when it can't be reached or is empty, the files.
 
-    ``source`` is a function that returns the table, so that a failing connection is seen here.
+    ``source`` is a function that returns the table, so that a failing connection is seen here. A
+    query that doesn't fit its table is an error, not a failing source.
     """
+    table = None
     try:
         table = source()
-        if table.head(1):
-            return practitioner_rows(table)
-    except PySparkException:
-        pass
+        if not table.head(1):
+            table = None
+    except AnalysisException as error:
+        if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
+        log.warning("practitioner table missing: %s", error)
+        table = None
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("practitioner source failed: %s", error)
+        table = None
+    if table is not None:
+        return practitioner_rows(table)
     if not files:
         raise ValueError("no practitioner source: neither table nor file")
-    return practitioner_file_rows(spark, sorted(files)[0])
+    return practitioner_file_rows(spark, files)
 
 
 def read_geography(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -33,10 +33,9 @@ def test_geography_numbers_new_codes_after_the_largest_id(spark, rows):
     staged = rows("code_region_src string, libelle_region_src string, pays_src string",
                   (" 93 ", "P", None), ("84", "New", " "), ("11", " ", "X"), ("11", "I", "X"), (" ", "z", "z"))
     expected = [(7, "84", "New", "FRANCE"), (8, "11", "I", "X"), (9, "93", "P", "FRANCE")]
-    for bounded in (True, False):
-        merged = dims.merge_geography(cur, staged, two_digit_codes=bounded)
-        assert values(merged) == expected
-    again = dims.merge_geography(merged, staged, two_digit_codes=True)
+    merged = dims.merge_geography(cur, staged)
+    assert values(merged) == expected
+    again = dims.merge_geography(merged, staged)
     assert values(again) == expected
 
 

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import values
@@ -32,10 +33,10 @@ def test_landing_drops_blank_columns_of_every_file(spark, tmp_path):
 
 
 def test_first_alias_in_priority_order():
-    headers = delimited.header_map(["Région", "Code Region", "FINESS_site"])
-    assert delimited.first_alias(headers, ["finess", "finess_site"]) == "FINESS_site"
-    assert delimited.first_alias(headers, ["code_region", "region"]) == "Code Region"
-    assert delimited.first_alias(headers, ["nom"]) is None
+    headers = delimited.Headers(["Région", "Code Region", "FINESS_site"])
+    assert headers.find(["finess", "finess_site"]) == "FINESS_site"
+    assert headers.find(["code_region", "region"]) == "Code Region"
+    assert headers.find(["nom"]) is None
 
 
 def test_surveys_take_year_from_file_name(spark, tmp_path):
@@ -111,7 +112,38 @@ def test_consultation_view_and_scan(spark, rows):
 
 
 def test_source_name_check():
-    assert relational.qualified_name(" consultation ") == "operational.consultation"
+    assert relational.table_reference(" consultation ") == "operational.consultation"
     for bad in ("a.b.c", "x;drop", "1a"):
         with pytest.raises(ValueError):
-            relational.qualified_name(bad)
+            relational.table_reference(bad)
+
+
+def test_quoted_line_breaks_and_doubled_headers(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text('finess;finess;nom\n1;2;"x\ny"\n3;4;z\n', "latin-1")
+    delimited.land_folder(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"))
+    landed = delimited.read_delimited(spark, str(tmp_path / "bronze" / "a_raw.csv"), multi_line=True)
+    assert values(landed) == [("1", "2", "x\ny"), ("3", "4", "z")]
+    found = delimited.read_layouts(spark, [str(tmp_path / "raw" / "a.csv")], {"id": ["finess"], "name": ["nom"]},
+                                   multi_line=True)
+    assert values(found) == [("1", "x\ny"), ("3", "z")]
+
+
+def test_headers_need_no_job(spark, tmp_path):
+    for k in range(5):
+        (tmp_path / f"{k}.csv").write_text("date,lieu\n2019-01-01,75\n" if k else "lieu,date\n75,2019-01-01\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    feeds.read_deaths(spark, [str(tmp_path / f"{k}.csv") for k in range(5)])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_practitioners_without_a_working_source(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"{k}.csv").write_text(f"identifiant;nom\n{k};n{k}\n")
+    names = [str(tmp_path / f"{k}.csv") for k in range(2)]
+    broken = lambda: relational.jdbc_table(spark, "jdbc:nothing:none", "t", properties={"driver": "no.such.Driver"})
+    assert len(values(feeds.practitioners(spark, broken, names))) == 2
+    with pytest.raises(AnalysisException):
+        feeds.practitioners(spark, lambda: spark.range(1).select("no_such_column"), names)
