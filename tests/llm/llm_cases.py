@@ -1,11 +1,8 @@
-import os
-import sys
+"""Documents at the edges, for all operators."""
 
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 WORDS = "the of and ein der que les por idiot cc by nc all rights reserved general public license alpha beta".split()
 # Texts at the edges: nothing, white space of several kinds, no words, one word, repeats, very long.
 EDGES = [None, "", " \t\n\x0b\x0c\r ", "...!?", "word", "Ünï çödé Wörd\u00a0x", "a\nA \n a\t\n", "same line here\n" * 4,

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_cases import corpus, docs, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from starmart.llm import (decontaminate, license_scan, line_dedup, mixing, pitman_yor, quality_rules, simhash,
@@ -96,7 +97,18 @@ def test_segment_random_access():
                                   "\x0b a\x1c b", "naïve  café\r\n\r\nend ", "   lead", "1 2  345 !!? ..."])
 def test_pieces_give_the_whole_text(text):
     made = token_binary.encoder(PATH)
-    assert made.encode([text]) == made.whole([text])
+    assert made.encode(text) == made.whole(text)
+
+
+def test_pieces_of_random_texts():
+    import random
+
+    rng, made = random.Random(9), token_binary.encoder(PATH)
+    signs = ["a", "B", "é", "ß", "1", "٣", "²", "'", "s", "ll", "'re", " ", "  ", "\n", "\t", "\r", "_", "-", ".", "!", "\u00a0",
+             "\x0b", "\u0301", "中", "😀", "|", "<|", "Ⅷ", "’", "\u200b", "\x1c", "\x85", "\u3000"]
+    for _ in range(4000):
+        text = "".join(rng.choices(signs, k=rng.randint(0, 14)))
+        assert made.encode(text) == made.whole(text), repr(text)
 
 
 def test_tokens(spark, docs, corpus, tmp_path):
