@@ -19,8 +19,11 @@ do. Parts and their segments are in ascending doc_id order.
 
 from __future__ import annotations
 
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +40,13 @@ DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("ids", "<u8")])
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 END_ID = 2
-# Pieces of text whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+# What a worker remembers of words and of their pieces; each memory is emptied when it is full.
+REMEMBERED_WORDS = 600_000
+REMEMBERED_PIECES = 900_000
+SPACE = " \t\n\r"
+# White space with the letters and digits, or the signs, after it; signs that end in an apostrophe with
+# the letters that follow; white space at the end.
+PIECE = re.compile("[ \t\n\r]*(?:[^\\W_]+|(?:_|[^\\w \t\n\r])+(?:(?<=')[^\\W_]+)?)|[ \t\n\r]+").findall
 SEGMENT_SCHEMA = "part int, seq int, documents long, ids long, payload binary"
 DOCUMENT_SCHEMA = "part int, seq int, place int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -110,45 +118,83 @@ class Segment:
         return found[start - first * self.block:stop - first * self.block]
 
 
+def id_bytes(tokenizer, text: str) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    ids = array("I", tokenizer.encode(text, add_special_tokens=False).ids)
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
+
+
+class Pieces(dict):
+    """Ids (as bytes) of pieces of text, each asked from the library once; None where a piece holds white
+    space other than ``SPACE`` and so may join what stands beside it."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, piece: str) -> bytes | None:
+        bare = piece.strip(SPACE)
+        odd = not bare.isalnum() and any(c.isspace() for c in bare)
+        ids = self[piece] = None if odd else id_bytes(self.tokenizer, piece)
+        return ids
+
+
+class Words(dict):
+    """Ids of what stands between two single spaces, with the space before it; None for what is empty,
+    or starts or ends in white space."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = None
+        if word and not word[0].isspace() and not word[-1].isspace():
+            found = [*map(self.pieces.__getitem__, PIECE(" " + word))]
+            ids = None if None in found else b"".join(found)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer is the byte-level one.
 
-    That pre-tokenizer starts a new piece at every white space that follows something else, so a
-    text's ids are those of its pieces (white space and the word after it) one after another. Each
-    piece goes through the library once and is then remembered. Pieces that end in white space of
-    another kind could join what follows; a text that holds one is encoded whole.
+    That pre-tokenizer never lets a piece run on from a letter or digit into anything else, nor from
+    anything but a space (or an apostrophe) into a letter or digit, so a text's ids are those of its
+    pieces one after another. Each piece goes through the library once and is then remembered. Texts
+    with other white space, or with the string of an added token, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
-        self.known: dict[str, bytes | None] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        split = [self.pieces(text) for text in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*split))
-        for piece, ids in zip(new, self.whole(new)):
-            odd = piece[-1].isspace() and not piece.isspace() or piece.isspace() and piece.strip(" \t\n\r")
-            self.known[piece] = None if odd else ids
-        known = self.known.__getitem__
-        out = []
-        for text, pieces in zip(texts, split):
-            found = [*map(known, pieces)]
-            out.append(self.whole([text])[0] if None in found else b"".join(found))
-        return out
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = Pieces(self.tokenizer)
+        self.words = Words(self.pieces)
+
+    def whole(self, text: str) -> bytes:
+        return id_bytes(self.tokenizer, text)
+
+    def encode(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
+        if len(self.pieces) > REMEMBERED_PIECES:
+            self.pieces.clear()
+        if any(token in text for token in self.added):
+            return self.whole(text)
+        first, *words = text.split(" ")
+        try:
+            if not first[-1:].isspace():
+                return b"".join([*map(self.pieces.__getitem__, PIECE(first)), *map(self.words.__getitem__, words)])
+        except TypeError:  # a None: white space that needs a closer look
+            pass
+        found = [*map(self.pieces.__getitem__, PIECE(text))]
+        return self.whole(text) if None in found else b"".join(found)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -186,10 +232,9 @@ def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
         for batch in batches:
             for doc_ids, texts in text_slices(batch):
-                encoded = made.encode([t.decode("utf-8", "replace") for t in texts])
-                for doc_id, data in zip(doc_ids, encoded):
+                for doc_id, text in zip(doc_ids, texts):
                     ids.append(doc_id)
-                    arrays.append(np.frombuffer(data + end, "<u4"))
+                    arrays.append(np.frombuffer(made.encode(text.decode("utf-8", "replace")) + end, "<u4"))
                     held += len(arrays[-1])
                     if held >= SEGMENT_IDS:
                         yield flush()
