@@ -91,6 +91,20 @@ def hospitalisation_fact(raw: DataFrame, calendar: DataFrame,
                     F.col("code_diag"), measure.alias("nb_hospitalisations")))
 
 
+def unsound_keys(stays: DataFrame, **dimensions: tuple[DataFrame, bool]) -> DataFrame:
+    """Add ``reason``: the key columns of each stay that its dimension lacks, '' if none.
+
+    ``dimensions`` gives per column the dimension and whether the key may be NULL.
+    """
+    reasons, rows = [], stays
+    for column, (dimension, may_lack) in dimensions.items():
+        rows = rows.join(dimension.select(F.col(column).alias(f"_{column}")),
+                         F.col(column) == F.col(f"_{column}"), "left")
+        lost = F.col(f"_{column}").isNull()
+        reasons.append(F.when(lost & F.col(column).isNotNull() if may_lack else lost, column))
+    return rows.select(*stays.columns, F.concat_ws(",", *reasons).alias("reason"))
+
+
 def attach_diagnosis(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
     """Keep rows with an unknown diagnosis and tag them instead of dropping them."""
     known = diagnoses.select(F.col("code_diag").alias("_known"), "libelle")

@@ -186,9 +186,16 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
         run.write("fait_deces", empty_table(spark, DEATH_SCHEMA))
         run.write("fait_satisfaction", empty_table(spark, SATISFACTION_SCHEMA))
     if extended and sources.hospitalisations is not None:
-        run.write("fait_hospitalisation", _number(
+        stays = run.write("stg_sejours", facts.unsound_keys(
             sinks.with_year(facts.hospitalisation_fact(sources.hospitalisations, days)),
-            ["id_patient", "code_diag"], "id_fait_hospitalisation"), partition="annee")
+            id_patient=(run.read("dim_patient"), False), finess=(run.read("dim_etablissement"), False),
+            code_diag=(run.read("dim_diagnostic"), True)))
+        rejected = stays.filter("reason <> ''")
+        if not rejected.isEmpty():
+            run.write("rejects_fait_hospitalisation", rejected)
+        run.write("fait_hospitalisation", _number(
+            stays.filter("reason = ''").drop("reason"), ["id_patient", "code_diag"],
+            "id_fait_hospitalisation", is_plain_scan=True), partition="annee")
     else:
         run.write("fait_hospitalisation", empty_table(spark, STAY_SCHEMA))
     return watch.get["rows"]

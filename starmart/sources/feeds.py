@@ -48,8 +48,9 @@ def survey_rows(raw: DataFrame) -> DataFrame:
 
     A missing date is the first of January of the year in the file name, else of the default year.
     """
-    # The last part of the path is the file, or the folder of its part files.
-    year = rules.first_match(F.col("file_name"), r"20[0-9]{2}(?=[^/]*(?:/part-[^/]*)?$)")
+    # The last part of the path is the file, or the folder of its part files, whose names say nothing.
+    file = F.regexp_replace("file_name", "/part-[^/]*$", "")
+    year = rules.first_match(file, r"20[0-9]{2}(?=[^/]*$)")
     day = F.coalesce(rules.date_text(F.col("date")),
                      F.concat(F.coalesce(year, F.lit(fixed.DEFAULT_SURVEY_YEAR)),
                               F.lit("-01-01")))
