@@ -297,6 +297,27 @@ def b02_satisfaction_rejection(t: Tables) -> DataFrame:
     return t.bronze_surveys()
 
 
+@query
+def b01_death_rejects(t: Tables) -> DataFrame:
+    return feeds.death_rejects(t.death_text()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def b02_survey_rejects(t: Tables) -> DataFrame:
+    return feeds.survey_rejects(t.survey_text()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def t05_rows_accounted(t: Tables) -> DataFrame:
+    """Raw rows of deaths and surveys are those of the bronze copies and of the rejects."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("rows"), "n")
+    return quality.union_all([
+        count(t.death_text(), "deaths raw"), count(t.bronze_deaths().unionByName(
+            feeds.death_rejects(t.death_text()), allowMissingColumns=True), "deaths kept or rejected"),
+        count(t.survey_text(), "surveys raw"), count(t.bronze_surveys().unionByName(
+            feeds.survey_rejects(t.survey_text()), allowMissingColumns=True), "surveys kept or rejected")])
+
+
 @query
 def b03_establishment_rejection(t: Tables) -> DataFrame:
     return t.bronze_establishments()

@@ -38,13 +38,22 @@ def death_rows(raw: DataFrame) -> DataFrame:
                     F.lit(1).alias("nb_deces")))
 
 
+def death_rejects(raw: DataFrame) -> DataFrame:
+    """The deaths that ``death_rows`` leaves out, with what they lack."""
+    judged = add_region_of_place(raw, "place", "_region")
+    dated = F.coalesce(F.col("date").rlike(r"(?s)^\s*\S.{8,}\S"), F.lit(False))
+    return (judged.withColumn("reason", F.concat_ws(",", F.when(~dated, "date"),
+                                                    F.when(F.col("_region").isNull(), "place")))
+            .filter("reason <> ''").drop("_region"))
+
+
 def read_surveys(spark: SparkSession, paths: list[str]) -> DataFrame:
     return read_layouts(spark, paths, fixed.SURVEY_ALIASES, encoding="ISO-8859-1",
                         keep_file_name=True)
 
 
-def survey_rows(raw: DataFrame) -> DataFrame:
-    """Survey answers with an establishment, a region and a score.
+def _surveys(raw: DataFrame) -> DataFrame:
+    """Survey answers with whatever they lack.
 
     A missing date is the first of January of the year in the file name, else of the default year.
     """
@@ -61,8 +70,21 @@ def survey_rows(raw: DataFrame) -> DataFrame:
         "region_code", "region_name",
         rules.decimal_comma(F.col("score")).alias("score_global"))
     return (add_region_code(rows, "region_code", "region_name")
-            .select("date_satisfaction", "finess", "code_region", "score_global")
-            .dropna(subset=["finess", "code_region", "score_global"]))
+            .select("date_satisfaction", "finess", "code_region", "score_global"))
+
+
+_SURVEY_NEEDS = ["finess", "code_region", "score_global"]
+
+
+def survey_rows(raw: DataFrame) -> DataFrame:
+    """Survey answers with an establishment, a region and a score."""
+    return _surveys(raw).dropna(subset=_SURVEY_NEEDS)
+
+
+def survey_rejects(raw: DataFrame) -> DataFrame:
+    """The answers that ``survey_rows`` leaves out, with what they lack."""
+    reasons = [F.when(F.col(c).isNull(), c) for c in _SURVEY_NEEDS]
+    return _surveys(raw).withColumn("reason", F.concat_ws(",", *reasons)).filter("reason <> ''")
 
 
 def read_establishments(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import values
 from starmart.operators import quality, sinks, staging
 from starmart.plans import kpis
+from starmart.plans import raw_to_mart
 from starmart.plans import rebuild as mart
 from starmart.session import new_folder
 
@@ -154,3 +155,65 @@ def test_every_query_has_its_sql():
     from catalogue.queries import REGISTRY
 
     assert set(REGISTRY) == set(ORACLES)
+
+
+@pytest.fixture(scope="module")
+def published(spark):
+    """A mart of three years whose facts all have rows."""
+    fact = {"consultation": "id_temps int, id_patient string, finess string, id_professionnel string, code_diag string,"
+                            "duree_consultation int, nb_consultations int",
+            "death": "id_temps int, id_geo int, nb_deces bigint",
+            "satisfaction": "id_temps int, finess string, id_geo int, score_global double",
+            "hospitalisation": "id_temps int, id_patient string, finess string, code_diag string, nb_hospitalisations int"}
+    rows = {"consultation": lambda d: (d, "p", "1", "pr", "D", 5, 1), "death": lambda d: (d, 1, 2),
+            "satisfaction": lambda d: (d, "1", 1, 80.0), "hospitalisation": lambda d: (d, "p", "1", "D", 1)}
+    root, facts = new_folder(spark, "years"), {}
+    for name, schema in fact.items():
+        df = sinks.with_year(spark.createDataFrame([rows[name](y * 10000 + 115) for y in (2018, 2019, 2020)], schema))
+        df.write.partitionBy("annee").parquet(f"{root}/{name}")
+        facts[name] = spark.read.parquet(f"{root}/{name}")
+    return kpis.Star(patient=spark.createDataFrame([("p", "F", 30)], "id_patient string, sexe string, age int"),
+                     geography=spark.createDataFrame([(1, "84", "R", "F")], "id_geo int, code_region string, libelle_region string, pays string"),
+                     establishment=spark.createDataFrame([("1", "E", 1)], "finess string, nom string, id_geo int"),
+                     diagnosis=spark.createDataFrame([("D", "d")], "code_diag string, libelle string"),
+                     practitioner=spark.createDataFrame([("pr", "n")], "id_professionnel string, nom string"), **facts)
+
+
+@pytest.mark.parametrize("kpi", ["consultations_detail", "deaths_by_region", "satisfaction_by_region",
+                                 "hospitalisations_by_quarter", "consultations_by_diagnosis", "consultations_volume",
+                                 "hospitalisations_volume"])
+def test_year_filters_prune_folders(published, kpi):
+    filtered = getattr(kpis, kpi)(published).filter(F.col("annee") == 2019)
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "annee" in plan.split("PartitionFilters: [")[1].split("]")[0] and filtered.count() == 1
+
+
+def test_unsound_stays_are_rejected(spark, sources, rows):
+    stay = ("id_patient string, finess string, code_diag string, date_entree string, jours string")
+    sources.hospitalisations = rows(stay, ("1", "1", "D1", "15-01-2018", "3"), ("nobody", "99999", "NODIAG", "15-01-2018", "1"),
+                                    ("1", "1", None, None, None))
+    run = mart.rebuild(spark, sources, new_folder(spark, "mart"), mart.EXTENDED)
+    assert run.read("fait_hospitalisation").count() == 2
+    assert values(run.read("rejects_fait_hospitalisation").select("finess", "reason")) == [("99999", "id_patient,finess,code_diag")]
+
+
+def test_from_raw_files(spark, sources, tmp_path):
+    files = {"deces.csv": "date,lieu_deces\n2019-01-01,69001\n,69001\n2019-01-02,99999\n2019-01-01,13001\n",
+             "etab.csv": "finess;nom;code_region\n1;Un;84\n", "prof.csv": "identifiant;nom\n1;A\n",
+             "enquete_2020.csv": "finess;region;score\n1;84;73,5\n1;84;\n"}
+    from starmart.functions import fixed_values as fixed
+    files["deces.csv"] = files["deces.csv"].replace("date,lieu_deces", f"{fixed.DEATH_ALIASES['date'][0]},{fixed.DEATH_ALIASES['place'][0]}")
+    survey = fixed.SURVEY_ALIASES
+    files["enquete_2020.csv"] = files["enquete_2020.csv"].replace(
+        "finess;region;score", f"{survey['establishment'][0]};{survey['region_code'][0]};{survey['score'][0]}")
+    paths = {name: str(tmp_path / name) for name in files}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    raw = raw_to_mart.RawFeeds(consultations=sources.consultations, deaths=[paths["deces.csv"]],
+                               surveys=[paths["enquete_2020.csv"]], establishments=[paths["etab.csv"]],
+                               practitioner_files=[paths["prof.csv"]])
+    run = raw_to_mart.run(spark, raw, str(tmp_path / "bronze"), str(tmp_path / "mart"))
+    assert sum(r.nb_deces for r in run.read("fait_deces").collect()) == 2
+    rejected = spark.read.option("header", True).csv(str(tmp_path / "bronze" / "rejects_deces"))
+    assert sorted(r.reason for r in rejected.collect()) == ["date", "place"]
+    assert run.read("fait_satisfaction").count() == 1
