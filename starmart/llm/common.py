@@ -15,6 +15,8 @@ from starmart.session import stored
 _ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                for b in range(256))
 
+BATCH_ROWS = 1_000
+
 # Java pattern of the words that only ASCII white space separates.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -33,6 +35,14 @@ def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(_ALNUM).split()
 
 
+def lean_batches(docs: DataFrame) -> None:
+    """Let the session send no more rows of text to Python at once than ``BATCH_ROWS``: Spark's default
+    of 10,000 long texts is held several times over, by the JVM and by the worker."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+
+
 def text_slices(batch: pa.RecordBatch, rows: int = 128) -> Iterator[tuple[list, list[bytes]]]:
     """Ids and UTF-8 texts (null: empty) of a batch of (id, text), a few rows at a time."""
     texts = batch.column(1).cast(pa.large_binary())

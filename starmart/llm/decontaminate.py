@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import alnum_words, text_slices
+from starmart.llm.common import alnum_words, lean_batches, text_slices
 from starmart.session import stored
 
 WINDOW = 13
@@ -162,6 +162,7 @@ def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOC
 
 def hits(docs: DataFrame, automaton: bytes) -> DataFrame:
     """(doc_id, n_words, spans, items) of every row against one block's automaton."""
+    lean_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

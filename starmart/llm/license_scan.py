@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import alnum_words, text_slices
+from starmart.llm.common import alnum_words, lean_batches, text_slices
 
 RARE_WORDS = 3
 MIN_SCORE = 0.75
@@ -152,6 +152,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     Null or empty text has no words and no places. Repeated rows and rows without doc_id are scanned
     like any other. Extra columns are ignored; an empty table gives an empty one.
     """
+    lean_batches(docs)
     index = Index(templates, rarity(docs, vocabulary(templates)))
     kind = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(pa.struct(
         [("label", pa.string()), ("fixed", pa.bool_()), ("start", pa.int64()), ("stop", pa.int64()),

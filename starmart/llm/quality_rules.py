@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import plain_words
+from starmart.llm.common import lean_batches, plain_words
 from starmart.session import stored
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters",
@@ -175,6 +175,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     empty text has no words and fails. Rows that repeat, or have no doc_id, are judged by their own
     text. Extra columns are ignored; an empty table gives an empty one.
     """
+    lean_batches(docs)
     measured = stored(docs.select("doc_id", signals(F.col("text")).alias("found")), "signals")
     found = F.col("found")
     return (measured.withColumn("quality", fit(measured, rules).posterior(votes(found, rules)))
@@ -187,6 +188,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     The texts are measured once for the counts and once more for the verdict of their own row.
     """
+    lean_batches(docs)
     model = fit(docs.select(signals(F.col("text")).alias("found")), rules)
     row = "__signals"
     judged = docs.withColumn(row, signals(F.col("text")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import plain_words
+from starmart.llm.common import lean_batches, plain_words
 from starmart.session import stored
 
 SEED = 42
@@ -177,6 +177,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     nobody and have no component. Rows that share a doc_id and differ in text are linked through it
     only if their fingerprints are. Extra columns are ignored; nothing in, nothing out.
     """
+    lean_batches(docs)
     printed = stored(docs.select("doc_id", fingerprints(F.col("text"), size).alias("print")), "fingerprints")
     known = printed.where(F.col("doc_id").isNotNull())
     first = stored(known.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")

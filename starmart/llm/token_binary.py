@@ -24,7 +24,7 @@ import struct
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import text_slices
+from starmart.llm.common import lean_batches, text_slices
 
 MAGIC = b"TOKSEG01"
 HEADER = struct.Struct("<8sIIQQ")
@@ -40,9 +40,10 @@ DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("ids", "<u8")])
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 END_ID = 2
-# What a worker remembers of words and of their pieces; each memory is emptied when it is full.
-REMEMBERED_WORDS = 600_000
-REMEMBERED_PIECES = 900_000
+# What a worker remembers of words and of their pieces, twice each: when a memory is full it becomes
+# the old one, from which what is asked for again moves to the new.
+REMEMBERED_WORDS = 150_000
+REMEMBERED_PIECES = 300_000
 SPACE = " \t\n\r"
 # White space with the letters and digits, or the signs, after it; signs that end in an apostrophe with
 # the letters that follow; white space at the end.
@@ -126,36 +127,19 @@ def id_bytes(tokenizer, text: str) -> bytes:
     return ids.tobytes()
 
 
-class Pieces(dict):
-    """Ids (as bytes) of pieces of text, each asked from the library once; None where a piece holds white
-    space other than ``SPACE`` and so may join what stands beside it."""
+class Memory(dict):
+    """Answers of ``ask``, each asked for once as long as it is remembered."""
 
-    def __init__(self, tokenizer) -> None:
+    def __init__(self, most: int, ask: Callable[[str], bytes | None]) -> None:
         super().__init__()
-        self.tokenizer = tokenizer
+        self.most, self.ask, self.old = most, ask, {}
 
-    def __missing__(self, piece: str) -> bytes | None:
-        bare = piece.strip(SPACE)
-        odd = not bare.isalnum() and any(c.isspace() for c in bare)
-        ids = self[piece] = None if odd else id_bytes(self.tokenizer, piece)
-        return ids
-
-
-class Words(dict):
-    """Ids of what stands between two single spaces, with the space before it; None for what is empty,
-    or starts or ends in white space."""
-
-    def __init__(self, pieces: Pieces) -> None:
-        super().__init__()
-        self.pieces = pieces
-
-    def __missing__(self, word: str) -> bytes | None:
-        ids = None
-        if word and not word[0].isspace() and not word[-1].isspace():
-            found = [*map(self.pieces.__getitem__, PIECE(" " + word))]
-            ids = None if None in found else b"".join(found)
-        self[word] = ids
-        return ids
+    def __missing__(self, key: str) -> bytes | None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        value = self[key] = self.old[key] if key in self.old else self.ask(key)
+        return value
 
 
 class Encoder:
@@ -173,18 +157,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(self.tokenizer)
-        self.words = Words(self.pieces)
+        self.pieces = Memory(REMEMBERED_PIECES, self.piece)
+        self.words = Memory(REMEMBERED_WORDS, self.word)
+
+    def piece(self, text: str) -> bytes | None:
+        """Ids of a piece; None if it holds white space other than ``SPACE`` and so may join what stands
+        beside it."""
+        bare = text.strip(SPACE)
+        odd = not bare.isalnum() and any(c.isspace() for c in bare)
+        return None if odd else self.whole(text)
+
+    def word(self, text: str) -> bytes | None:
+        """Ids of what stands between two single spaces, with the space before it; None for what is
+        empty, or starts or ends in white space."""
+        if not text or text[0].isspace() or text[-1].isspace():
+            return None
+        found = [*map(self.pieces.__getitem__, PIECE(" " + text))]
+        return None if None in found else b"".join(found)
 
     def whole(self, text: str) -> bytes:
         return id_bytes(self.tokenizer, text)
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        if len(self.pieces) > REMEMBERED_PIECES:
-            self.pieces.clear()
         if any(token in text for token in self.added):
             return self.whole(text)
         first, *words = text.split(" ")
@@ -242,6 +237,7 @@ def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         if ids:
             yield flush()
 
+    lean_batches(docs)
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
               .repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order))
