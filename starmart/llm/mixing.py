@@ -92,6 +92,7 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int =
     """
     copies = stored(mix(docs, weights, max_copies, share).groupBy(F.col("doc_id").alias("__id"))
                     .agg(F.max("copies").cast("int").alias("__copies")).where("__copies > 0"), "mix-copies")
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")))
+    # A row per document: as many as the texts have, so the sides are shuffled at any size.
+    return (docs.join(copies.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")))
             .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
             .select(*docs.columns))
