@@ -42,8 +42,8 @@ SEGMENT_IDS = 1 << 20
 END_ID = 2
 # What a worker remembers of words and of their pieces, twice each: when a memory is full it becomes
 # the old one, from which what is asked for again moves to the new.
-REMEMBERED_WORDS = 150_000
-REMEMBERED_PIECES = 300_000
+REMEMBERED_WORDS = 350_000
+REMEMBERED_PIECES = 500_000
 SPACE = " \t\n\r"
 # White space with the letters and digits, or the signs, after it; signs that end in an apostrophe with
 # the letters that follow; white space at the end.
