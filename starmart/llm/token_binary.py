@@ -40,10 +40,9 @@ DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("ids", "<u8")])
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 END_ID = 2
-# What a worker remembers of words and of their pieces, twice each: when a memory is full it becomes
-# the old one, from which what is asked for again moves to the new.
-REMEMBERED_WORDS = 350_000
-REMEMBERED_PIECES = 500_000
+# What a worker remembers of words and of their pieces; each memory is emptied when it is full.
+REMEMBERED_WORDS = 600_000
+REMEMBERED_PIECES = 900_000
 SPACE = " \t\n\r"
 # White space with the letters and digits, or the signs, after it; signs that end in an apostrophe with
 # the letters that follow; white space at the end.
@@ -132,13 +131,12 @@ class Memory(dict):
 
     def __init__(self, most: int, ask: Callable[[str], bytes | None]) -> None:
         super().__init__()
-        self.most, self.ask, self.old = most, ask, {}
+        self.most, self.ask = most, ask
 
     def __missing__(self, key: str) -> bytes | None:
         if len(self) >= self.most:
-            self.old = dict(self)
             self.clear()
-        value = self[key] = self.old[key] if key in self.old else self.ask(key)
+        value = self[key] = self.ask(key)
         return value
 
 
