@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ _ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122
                for b in range(256))
 
 BATCH_ROWS = 1_000
+ROW_KEY = "__row"
 
 # Java pattern of the words that only ASCII white space separates.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -51,6 +53,24 @@ def text_slices(batch: pa.RecordBatch, rows: int = 128) -> Iterator[tuple[list,
                [text or b"" for text in texts.slice(at, rows).to_pylist()])
 
 
+def row_keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns (or all) of ``docs`` and ``ROW_KEY``, a text that no two rows share and that every
+    scan gives again.
+
+    Rows of Parquet files are named by file and place; other tables are written down first.
+    """
+    columns = columns or docs.columns
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            found = docs.metadataColumn("_metadata")
+            return docs.select(*columns, F.concat(found["file_path"], F.lit("#"), found["row_index"].cast("string"))
+                               .alias(ROW_KEY))
+        except AnalysisException:  # not of Parquet files
+            pass
+    return stored(docs.select(*columns).withColumn(ROW_KEY, F.monotonically_increasing_id().cast("string")),
+                  "keyed-rows")
+
+
 def fold_crc(id_column: str | Column, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; a null id counts as the empty text."""
     column = F.col(id_column) if isinstance(id_column, str) else id_column

@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import alnum_words, lean_batches, text_slices
+from starmart.llm.common import ROW_KEY, alnum_words, lean_batches, row_keyed, text_slices
 from starmart.session import stored
 
 WINDOW = 13
 COVERAGE = 20  # contaminated: one word in so many is hit
 BLOCK_WORDS = 200_000
-HIT_SCHEMA = "doc_id long, n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
+HIT_SCHEMA = f"{ROW_KEY} string, doc_id long, n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
 
 
 class Automaton:
@@ -161,27 +161,29 @@ def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOC
 
 
 def hits(docs: DataFrame, automaton: bytes) -> DataFrame:
-    """(doc_id, n_words, spans, items) of every row against one block's automaton."""
+    """(row key, doc_id, n_words, spans, items) of every keyed row against one block's automaton."""
     lean_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = pickle.loads(sent.value)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
+        schema = pa.schema([(ROW_KEY, pa.string()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
                             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                             ("items", pa.list_(pa.string()))])
         for batch in batches:
+            keys = iter(batch.column(2).to_pylist())
             for ids, texts in text_slices(batch):
                 rows = []
                 for doc_id, text in zip(ids, texts):
                     words = alnum_words(text)
                     spans, found = machine.scan(words)
-                    rows.append({"doc_id": doc_id, "n_words": len(words),
+                    rows.append({ROW_KEY: next(keys), "doc_id": doc_id, "n_words": len(words),
                                  "spans": [{"start": a, "stop": b} for a, b in spans],
                                  "items": sorted(name for name in found if name is not None)})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, HIT_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", ROW_KEY).mapInArrow(
+        scan, HIT_SCHEMA)
 
 
 def _merged(spans):
@@ -204,9 +206,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     spans are [start, stop) in words, apart from each other; items are the ids, as strings, of items
     with an occurring window. Null or empty text has no words and is never contaminated. Items with
-    a null id hit, but are not listed. Empty benchmark: nothing is hit. With more than one block,
-    rows of the same doc_id are one document. Extra columns are ignored.
+    a null id hit, but are not listed. Empty benchmark: nothing is hit. Rows that share a doc_id or have
+    none are judged each by its own text. Extra columns are ignored.
     """
+    return _contamination(row_keyed(docs, "doc_id", "text"), benchmark, window, coverage).drop(ROW_KEY)
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, coverage: int) -> DataFrame:
+    """``contamination`` of keyed rows, with their keys."""
     found = None
     blocks = 0
     for automaton in automata(benchmark, window):
@@ -218,8 +225,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     if found is None:
         found = hits(docs, pickle.dumps(Automaton([], window)))
     if blocks > 1:
-        found = found.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"),
+        found = found.groupBy(ROW_KEY).agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
             _merged(F.flatten(F.collect_list("spans"))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])

@@ -148,6 +148,22 @@ def test_decontaminate(spark, docs, corpus, block_words, monkeypatch):
         assert (len(row["items"]), brute.sha(",".join(row["items"]))) == expected[i][2:4], i
 
 
+@pytest.mark.parametrize("from_files", [False, True])
+@pytest.mark.parametrize("block_words", [200_000, 20])
+def test_decontaminate_rows_that_share_an_id(spark, block_words, from_files, tmp_path, monkeypatch):
+    monkeypatch.setattr(decontaminate.automata, "__defaults__", (13, block_words))
+    texts = [ITEMS[0][1], "clean words only", ITEMS[4][1] + " tail", None, "ein der que " + ITEMS[7][1]]
+    rows = [(i, t) for i in (None, 7) for t in texts]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    if from_files:
+        table.write.parquet(str(tmp_path / "t"))
+        table = spark.read.parquet(str(tmp_path / "t"))
+    judged = brute.decontaminate(list(enumerate(t for _, t in rows)), ITEMS)
+    want = [(rows[i][0], *row[:2], row[4]) for i, row in judged.items()]
+    found = [(r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in decontaminate.contamination(table, items(spark)).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+
+
 def test_automaton_is_exact():
     import random
 
