@@ -57,14 +57,15 @@ def row_keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """The columns (or all) of ``docs`` and ``ROW_KEY``, a text that no two rows share and that every
     scan gives again.
 
-    Rows of Parquet files are named by file and place; other tables are written down first.
+    Rows of Parquet files are named by the file's path (its md5: the key goes along with the texts) and
+    their place in it; other tables are written down first.
     """
     columns = columns or docs.columns
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
         try:
             found = docs.metadataColumn("_metadata")
-            return docs.select(*columns, F.concat(found["file_path"], F.lit("#"), found["row_index"].cast("string"))
-                               .alias(ROW_KEY))
+            return docs.select(*columns, F.concat(F.md5(found["file_path"].cast("binary")), F.lit("#"),
+                                                  found["row_index"].cast("string")).alias(ROW_KEY))
         except AnalysisException:  # not of Parquet files
             pass
     return stored(docs.select(*columns).withColumn(ROW_KEY, F.monotonically_increasing_id().cast("string")),

@@ -250,10 +250,8 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                coverage: int = COVERAGE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id no contaminated text has.
-
-    Rows without doc_id stay unless a text without one is contaminated.
-    """
-    found = contamination(docs, benchmark, window, coverage)
-    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    """The rows of ``docs``, all columns, whose own text is not contaminated."""
+    keyed = row_keyed(docs)
+    found = _contamination(keyed, benchmark, window, coverage)
+    gone = stored(found.where("contaminated").select(ROW_KEY), "contaminated")
+    return keyed.join(gone, ROW_KEY, "left_anti").select(*docs.columns)

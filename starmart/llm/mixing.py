@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import WORD_PATTERN, running_total
+from starmart.llm.common import ROW_KEY, WORD_PATTERN, row_keyed, running_total
 from starmart.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -62,8 +62,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
     Rows with the same id, source and size may stand in either order, which gives the same rows.
     Nothing in, nothing out; all sizes 0: all targets and takings are 0.
     """
+    return _mixed(docs, [], weights, max_copies, share)
+
+
+def _mixed(docs: DataFrame, extra: list[str], weights: tuple[int, ...], max_copies: int, share: float) -> DataFrame:
+    """``mix`` with columns of ``docs`` that stay with their rows."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                        F.md5(F.col("doc_id").cast("string").cast("binary")).alias("shuffled"))
+                        F.md5(F.col("doc_id").cast("string").cast("binary")).alias("shuffled"), *extra)
     order = [F.col("source").asc_nulls_last(), F.col("shuffled"), F.col("doc_id"), F.col("size")]
     queued = running_total(sized, order, "size", "words_before", "mix-queues")
     targets = stored(source_targets(queued, weights, max_copies, share), "mix-targets")
@@ -78,7 +83,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
                           "size", "total_before", "mix-finish")
     within = (F.col("total_before") + F.col("size") <= F.col("budget")) & F.col("finish").isNotNull()
     return (queue.withColumn("in_mix", within)
-            .groupBy("row_key", "doc_id", "source", "size", "source_size", "target")
+            .groupBy("row_key", "doc_id", "source", "size", "source_size", "target", *extra)
             .agg(F.sum(F.col("in_mix").cast("long")).alias("copies"))
             .withColumn("taken", F.col("copies") * F.col("size")).drop("row_key"))
 
@@ -87,12 +92,13 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int =
          share: float = 1.0) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it.
 
-    Rows with the same doc_id all get the largest number of copies that one of them has. Rows
-    without doc_id are one such group.
+    Each row gets its own number of copies, also where rows share a doc_id or have none.
     """
-    copies = stored(mix(docs, weights, max_copies, share).groupBy(F.col("doc_id").alias("__id"))
-                    .agg(F.max("copies").cast("int").alias("__copies")).where("__copies > 0"), "mix-copies")
+    keyed = row_keyed(docs)
+    copies = stored(_mixed(keyed, [ROW_KEY], weights, max_copies, share)
+                    .select(F.col(ROW_KEY).alias("__of"), F.col("copies").cast("int").alias("__copies"))
+                    .where("__copies > 0"), "mix-copies")
     # A row per document: as many as the texts have, so the sides are shuffled at any size.
-    return (docs.join(copies.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    return (keyed.join(copies.hint("merge"), F.col(ROW_KEY) == F.col("__of"))
             .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
             .select(*docs.columns))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import lean_batches, plain_words
+from starmart.llm.common import ROW_KEY, lean_batches, plain_words, row_keyed
 from starmart.session import stored
 
 SEED = 42
@@ -190,13 +190,21 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
             .select("doc_id", "print", "component_id"))
 
 
-def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, keep_unnamed: bool = True) -> DataFrame:
     """The rows of ``docs``, all columns: one of each component, the one with the smallest doc_id.
 
-    Of rows with the same doc_id one stays. Rows without doc_id all stay.
+    Rows that share a doc_id are linked by their texts only. Rows without doc_id all stay and link
+    nobody; without ``keep_unnamed`` they are linked like any other and come last in their component.
     """
-    found = near_duplicates(docs, size, radius)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    one = left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return one.unionByName(left.where(F.col("doc_id").isNull()))
+    lean_batches(docs)
+    keyed = row_keyed(docs)
+    printed = stored(keyed.select(ROW_KEY, "doc_id", fingerprints(F.col("text"), size).alias("print")), "fingerprints")
+    judged = printed.where(F.col("doc_id").isNotNull()) if keep_unnamed else printed
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW_KEY)
+    first = stored(judged.groupBy("print").agg(F.min(place).alias("first")), "classes")
+    root = components(links(first.select("print"), radius))
+    rooted = first.join(root, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    kept = rooted.groupBy("root").agg(F.min("first")[ROW_KEY].alias("kept"))
+    classes = stored(rooted.join(kept, "root").select("print", "kept"), "components")
+    gone = stored(judged.join(classes, "print").where(F.col(ROW_KEY) != F.col("kept")).select(ROW_KEY), "copies")
+    return keyed.join(gone, ROW_KEY, "left_anti").select(*docs.columns)

@@ -428,6 +428,32 @@ def test_near_duplicates_odd_rows(odd_docs, no_docs):
     assert sorted(kept, key=lambda x: (x is None, x)) == [1, 2, 3, None, None]
 
 
+@pytest.mark.parametrize("from_files", [False, True])
+def test_stages_decide_by_row(spark, from_files, tmp_path):
+    """Rows without doc_id, or with the same one, each get their own decision."""
+    long = " ".join(f"alpha{k} beta" for k in range(60))
+    rows = [(None, long, "s"), (None, long, "s"), (5, long, "s"), (None, ITEMS[0][1], "s"), (6, ITEMS[0][1] + " x", "s"),
+            (6, "gamma delta", "s"), (None, None, "s"), (None, "", "s")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    if from_files:
+        table.write.parquet(str(tmp_path / "t"))
+        table = spark.read.parquet(str(tmp_path / "t"))
+    first = [(r.doc_id, r.text or "") for r in simhash.keep_first(table, keep_unnamed=False).collect()]
+    prints = {k: brute.fingerprint(t) for k, (_, t, _) in enumerate(rows)}
+    assert len(first) == len(set(brute.components(prints).values()))
+    assert (5, long) in first and (None, long) not in first and {(6, rows[4][1]), (6, rows[5][1])} <= set(first)
+    clean = [(r.doc_id, r.text) for r in decontaminate.keep_clean(table, items(spark)).collect()]
+    assert sorted(map(str, clean)) == sorted(map(str, [r[:2] for r in rows if not (r[1] or "").startswith("this very")]))
+
+
+def test_each_row_has_its_own_copies(spark):
+    rows = [(None, "a b c", "s")] * 30 + [(None, "a b c", "t")] * 30 + [(1, "a b c", "t")] * 30
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sum(r.copies for r in mixing.mix(table).collect())
+    taken = mixing.take(table).count()
+    assert taken == want and taken <= 90
+
+
 # --- mixing ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, "c": 10}, {"a": 1, "b": 100, "c": 1000, None: 50}, {"z": 0, "b": 5},
