@@ -19,12 +19,13 @@ do. Parts and their segments are in ascending doc_id order.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import sys
+import unicodedata
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import lean_batches, text_slices
+from starmart.llm.common import ROW_KEY, lean_batches, row_keyed
 
 MAGIC = b"TOKSEG01"
 HEADER = struct.Struct("<8sIIQQ")
@@ -40,13 +41,13 @@ DOCUMENT = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("ids", "<u8")])
 BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 END_ID = 2
-# What a worker remembers of words and of their pieces; each memory is emptied when it is full.
-REMEMBERED_WORDS = 600_000
-REMEMBERED_PIECES = 900_000
+# What a worker remembers of pieces of text; the memory is emptied when it is full.
+REMEMBERED_PIECES = 800_000
+# Characters of text that are cut into pieces at once; a longer text stands alone.
+SLICE_CHARS = 4 << 20
 SPACE = " \t\n\r"
-# White space with the letters and digits, or the signs, after it; signs that end in an apostrophe with
-# the letters that follow; white space at the end.
-PIECE = re.compile("[ \t\n\r]*(?:[^\\W_]+|(?:_|[^\\w \t\n\r])+(?:(?<=')[^\\W_]+)?)|[ \t\n\r]+").findall
+# Kinds of characters: plain white space, letters and digits, signs, other white space, unsettled.
+BLANK, ALNUM, SIGN, ODD, UNSETTLED = range(5)
 SEGMENT_SCHEMA = "part int, seq int, documents long, ids long, payload binary"
 DOCUMENT_SCHEMA = "part int, seq int, place int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -118,76 +119,149 @@ class Segment:
         return found[start - first * self.block:stop - first * self.block]
 
 
-def id_bytes(tokenizer, text: str) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    ids = array("I", tokenizer.encode(text, add_special_tokens=False).ids)
-    if sys.byteorder == "big":
-        ids.byteswap()
-    return ids.tobytes()
+@cache
+def character_kinds() -> np.ndarray:
+    """The kind of every code point. Those that came to Unicode late are unsettled: libraries differ."""
+    kinds = np.full(sys.maxunicode + 1, SIGN, np.uint8)
+    for code in range(sys.maxunicode + 1):
+        char = chr(code)
+        now, before = unicodedata.category(char)[0], unicodedata.ucd_3_2_0.category(char)[0]
+        if now != before or unicodedata.category(char) == "Cn":
+            kinds[code] = UNSETTLED
+        elif now in "LN":
+            kinds[code] = ALNUM
+        elif char.isspace():
+            kinds[code] = BLANK if char in SPACE else ODD
+    return kinds
 
 
-class Memory(dict):
-    """Answers of ``ask``, each asked for once as long as it is remembered."""
+@cache
+def utf8_lengths() -> np.ndarray:
+    lengths = np.ones(sys.maxunicode + 1, np.uint8)
+    for first in (0x80, 0x800, 0x10000):
+        lengths[first:] += 1
+    return lengths
 
-    def __init__(self, most: int, ask: Callable[[str], bytes | None]) -> None:
-        super().__init__()
-        self.most, self.ask = most, ask
 
-    def __missing__(self, key: str) -> bytes | None:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.ask(key)
-        return value
+def piece_starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places where pieces start in the code points of several texts, which start at ``starts``.
+
+    A piece starts where plain white space follows a letter, digit or sign, where other white space or a
+    sign follows a letter or digit, and where a letter or digit follows a sign that is no apostrophe.
+    """
+    kinds = character_kinds()[codes]
+    cut = np.zeros(len(codes), bool)
+    last, this = kinds[:-1], kinds[1:]
+    after_alnum, after_sign = last == ALNUM, last == SIGN
+    cut[1:] = ((this == BLANK) & (after_alnum | after_sign)
+               | ((this == SIGN) | (this == ODD)) & after_alnum
+               | (this == ALNUM) & after_sign & (codes[:-1] != ord("'")))
+    cut[starts[starts < len(cut)]] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer is the byte-level one.
 
-    That pre-tokenizer never lets a piece run on from a letter or digit into anything else, nor from
-    anything but a space (or an apostrophe) into a letter or digit, so a text's ids are those of its
-    pieces one after another. Each piece goes through the library once and is then remembered. Texts
-    with other white space, or with the string of an added token, are encoded whole.
+    That pre-tokenizer never joins what stands before the start of a piece (``piece_starts``) with what
+    follows, so a text's ids are those of its pieces one after another. The different pieces of many
+    texts are found at once; those that aren't remembered go through the library together. Texts with
+    the string of an added token are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Memory(REMEMBERED_PIECES, self.piece)
-        self.words = Memory(REMEMBERED_WORDS, self.word)
-
-    def piece(self, text: str) -> bytes | None:
-        """Ids of a piece; None if it holds white space other than ``SPACE`` and so may join what stands
-        beside it."""
-        bare = text.strip(SPACE)
-        odd = not bare.isalnum() and any(c.isspace() for c in bare)
-        return None if odd else self.whole(text)
-
-    def word(self, text: str) -> bytes | None:
-        """Ids of what stands between two single spaces, with the space before it; None for what is
-        empty, or starts or ends in white space."""
-        if not text or text[0].isspace() or text[-1].isspace():
-            return None
-        found = [*map(self.pieces.__getitem__, PIECE(" " + text))]
-        return None if None in found else b"".join(found)
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(known.values()) + 1, np.int64)  # a byte is one character of a token
+        for token, number in known.items():
+            self.token_bytes[number] = len(token)
+        self.pieces: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return id_bytes(self.tokenizer, text)
+        """Ids as little-endian unsigned 32-bit integers, by the library alone."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, pieces: list[bytes]) -> None:
+        """Remember the ids of new pieces.
+
+        Those that start with a space and end in anything but white space stay apart when they are put
+        together to one text; the bytes of the tokens tell which ids are whose.
+        """
+        blank, kinds = SPACE.encode(), character_kinds()
+        joined = [p for p in pieces if p[0] == 0x20 and (
+            p[-1] not in blank if p[-1] < 0x80 else kinds[ord(p.decode()[-1])] in (ALNUM, SIGN))]
+        if joined:
+            text = b"".join(joined).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
+            raw, start = ids.tobytes(), 0
+            for piece, stop in zip(joined, (4 * stops).tolist()):
+                self.pieces[piece] = raw[start:stop]
+                start = stop
+        for piece in pieces:
+            if piece not in self.pieces:
+                self.pieces[piece] = self.whole(piece.decode())
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each text has."""
+        alone = {at: np.frombuffer(self.whole(text), "<u4") for at, text in enumerate(texts)
+                 if any(token in text for token in self.added)}
+        texts = ["" if at in alone else text for at, text in enumerate(texts)]
+        joined = "".join(texts)
+        ids, counts = np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        if joined:
+            ids, counts = self._by_pieces(joined, np.cumsum([0, *map(len, texts)]))
+        if alone:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            parts = [alone.get(at, part) for at, part in enumerate(parts)]
+            ids, counts = np.concatenate(parts), np.array([len(part) for part in parts])
+        return ids, counts
+
+    def _by_pieces(self, joined: str, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        at = piece_starts(codes, bounds[:-1])
+        data = joined.encode()
+        offsets = np.append(at, len(data)).astype(np.int64)
+        if len(data) > len(codes):
+            sizes = utf8_lengths()[codes]
+            offsets[:-1] = np.cumsum(sizes, dtype=np.int64)[at] - sizes[at]
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at),
+                                       [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.pieces) + len(names) > REMEMBERED_PIECES:
+            self.pieces.clear()
+        self.learn([name for name in names if name not in self.pieces])
+        found = [*map(self.pieces.__getitem__, names)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths
+        counts = lengths[which]
+        ends = np.cumsum(counts)
+        ids = pool[np.repeat(first[which] - (ends - counts), counts) + np.arange(ends[-1])]
+        upto = np.append(0, ends)[np.searchsorted(at, bounds)]
+        return ids, np.diff(upto)
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        if any(token in text for token in self.added):
-            return self.whole(text)
-        first, *words = text.split(" ")
-        try:
-            if not first[-1:].isspace():
-                return b"".join([*map(self.pieces.__getitem__, PIECE(first)), *map(self.words.__getitem__, words)])
-        except TypeError:  # a None: white space that needs a closer look
-            pass
-        found = [*map(self.pieces.__getitem__, PIECE(text))]
-        return self.whole(text) if None in found else b"".join(found)
+        return self.encode_all([text])[0].astype("<u4").tobytes()
+
+
+def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``chars`` characters in all, one text at least."""
+    start = held = 0
+    for at, text in enumerate(texts):
+        if held and held + len(text) > chars:
+            yield start, at
+            start, held = at, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -200,6 +274,21 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def encoded(batch: pa.RecordBatch, made: Encoder, end_id: int) -> Iterator[tuple[object, np.ndarray]]:
+    """Id and token ids, the end id last, of each row of a batch of (id, text); null text is empty."""
+    raw = batch.column(1).cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    texts = [(text or b"").decode("utf-8", "replace") for text in raw]
+    names = batch.column(0).to_pylist()
+    for start, stop in slices(texts):
+        ids, counts = made.encode_all(texts[start:stop])
+        ends = np.cumsum(counts)
+        closed = np.insert(ids, ends, end_id)
+        at = 0
+        for name, count in zip(names[start:stop], (counts + 1).tolist()):
+            yield name, closed[at:at + count]
+            at += count
+
+
 def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(part, seq, documents, ids, payload): all texts encoded, in ascending doc_id order.
 
@@ -211,7 +300,6 @@ def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, made = TaskContext.get().partitionId(), 0, encoder(path)
         bits = bits_of(max(made.vocabulary, end_id + 1))
-        end = np.array([end_id], "<u4").tobytes()
         ids: list[int | None] = []
         arrays: list[np.ndarray] = []
         held = 0
@@ -224,22 +312,22 @@ def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 ["part", "seq", "documents", "ids", "payload"])
 
         for batch in batches:
-            for doc_ids, texts in text_slices(batch):
-                for doc_id, text in zip(doc_ids, texts):
-                    ids.append(doc_id)
-                    arrays.append(np.frombuffer(made.encode(text.decode("utf-8", "replace")) + end, "<u4"))
-                    held += len(arrays[-1])
-                    if held >= SEGMENT_IDS:
-                        yield flush()
-                        ids, arrays, held, seq = [], [], 0, seq + 1
+            for doc_id, found in encoded(batch, made, end_id):
+                ids.append(doc_id)
+                arrays.append(found)
+                held += len(found)
+                if held >= SEGMENT_IDS:
+                    yield flush()
+                    ids, arrays, held, seq = [], [], 0, seq + 1
         if ids:
             yield flush()
 
     lean_batches(docs)
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-              .repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order))
-    return ranged.mapInArrow(write, SEGMENT_SCHEMA)
+    keyed = row_keyed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    ranged = (keyed.repartitionByRange(F.col("doc_id").asc_nulls_last(), F.col(ROW_KEY))
+              .sortWithinPartitions(*order))
+    return ranged.select("doc_id", "text").mapInArrow(write, SEGMENT_SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, target: str, end_id: int = END_ID) -> None:
