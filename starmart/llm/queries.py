@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import (decontaminate, license_scan, line_dedup, mixing, pitman_yor, quality_rules, simhash,
-                          token_binary, toxicity, url_filter)
+from starmart.llm import (decontaminate, license_scan, line_dedup, mixing, packing, pitman_yor, quality_rules,
+                          simhash, spelling, token_binary, toxicity, url_filter, whitening)
 from starmart.llm.common import fold_crc, table
 from starmart.llm.oracles import ORACLES  # noqa: F401
 from starmart.session import new_folder
@@ -84,10 +84,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_license_scan, op3_token_binary, op4_decontaminate, op5_pitman_yor, op6_toxicity,
         op7_url_filter,
-        op8_quality_rules, op9_simhash, op10_mix)}
+        op8_quality_rules, op9_simhash, op10_mix, op11_best_fit_packing, op12_whitening, op13_spelling_variants)}
 
 
