@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -72,18 +73,29 @@ def row_keyed(docs: DataFrame, *columns: str) -> DataFrame:
                   "keyed-rows")
 
 
+def own_names(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions from documents to documents, whose own columns start with two underscores: columns
+    of the input that do so too get other names meanwhile."""
+    @wraps(stage)
+    def renamed(docs: DataFrame, *args, **options) -> DataFrame:
+        taken = [name for name in docs.columns if name.startswith("__")]
+        if not taken:
+            return stage(docs, *args, **options)
+        spare = "input"
+        while any(name.startswith(spare) for name in docs.columns):
+            spare += "_"
+        result = stage(docs.withColumnsRenamed({name: spare + name for name in taken}), *args, **options)
+        return result.withColumnsRenamed({spare + name: name for name in taken})
+
+    return renamed
+
+
 def fold_crc(id_column: str | Column, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; a null id counts as the empty text."""
     column = F.col(id_column) if isinstance(id_column, str) else id_column
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def text_tasks(docs: DataFrame, bytes_each: int) -> int:
-    """Parts so that each holds about ``bytes_each`` of text; the session's shuffle partitions at least."""
-    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // bytes_each)
-
-
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, label: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before each one, in the order given.
 

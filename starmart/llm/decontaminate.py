@@ -3,21 +3,23 @@
 Method: the automaton of all items is built once per block of items and sent to the tasks; each
 document's words are streamed through it, which keeps at every word the longest match that ends
 there. Matches of at least a window's length are hits; a document is contaminated if hits cover
-enough of it. Items are dealt to blocks of bounded size, and every block sees every document, so a
+enough of it. ``cut_spans`` removes the hits, ``keep_clean`` the contaminated documents. Items are dealt to blocks of bounded size, and every block sees every document, so a
 block's automaton has a size bound (``BLOCK_WORDS`` words, or one item).
 """
 
 from __future__ import annotations
 
 import pickle
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_KEY, alnum_words, lean_batches, row_keyed, text_slices
+from starmart.llm.common import ROW_KEY, alnum_words, lean_batches, own_names, row_keyed, text_slices
 from starmart.session import stored
 
 WINDOW = 13
@@ -239,7 +241,6 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of the spans: each span is cut from its first word's first to its
     last word's last byte."""
     data = text.encode()
-    import re
     at = [m.span() for m in re.finditer(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", data)]
     out, done = [], 0
     for start, stop in spans:
@@ -248,6 +249,7 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[done:]]).decode("utf-8", "replace")
 
 
+@own_names
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                coverage: int = COVERAGE) -> DataFrame:
     """The rows of ``docs``, all columns, whose own text is not contaminated."""
@@ -255,3 +257,28 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     found = _contamination(keyed, benchmark, window, coverage)
     gone = stored(found.where("contaminated").select(ROW_KEY), "contaminated")
     return keyed.join(gone, ROW_KEY, "left_anti").select(*docs.columns)
+
+
+@own_names
+def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+              coverage: int = COVERAGE) -> DataFrame:
+    """All rows of ``docs``, all columns, with the spans cut out of each row's own text.
+
+    A span goes if it has ``window`` words or more; shorter ones, which are whole short items, go where the
+    text is contaminated. Texts without such spans, null and empty ones stay as they are. A text that is
+    nothing but spans keeps what stands around its words. Only texts with hits go through Python again.
+    """
+    keyed = row_keyed(docs)
+    long_enough = lambda s: F.col("contaminated") | (s["stop"] - s["start"] >= window)
+    found = stored(_contamination(keyed, benchmark, window, coverage).where(F.size("spans") > 0)
+                   .select(ROW_KEY, F.filter("spans", long_enough).alias("__spans"))
+                   .where(F.size("__spans") > 0), "spans")
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([without_spans(text, [(s["start"], s["stop"]) for s in held])
+                          for text, held in zip(texts, spans)], dtype=object)
+
+    hit = keyed.join(found, ROW_KEY).withColumn("text", cut("text", "__spans"))
+    clean = keyed.join(found, ROW_KEY, "left_anti")
+    return clean.select(*docs.columns).unionByName(hit.select(*docs.columns))

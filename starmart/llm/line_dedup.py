@@ -13,6 +13,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.common import ROW_KEY, row_keyed
 from starmart.session import stored
 
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -35,12 +36,12 @@ def _lines(text: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, min_key_chars: int = MIN_KEY_CHARS) -> DataFrame:
-    """(doc_id, place, hash) of every line whose key is long enough; the hash has 128 bits."""
+    """(row key, doc_id, place, hash) of every line whose key is long enough; the hash has 128 bits."""
     return (docs.where(F.col("doc_id").isNotNull())
-            .select("doc_id", F.posexplode(_lines(F.col("text"))).alias("place", "line"))
-            .select("doc_id", "place", line_key(F.col("line")).alias("key"))
+            .select(ROW_KEY, "doc_id", F.posexplode(_lines(F.col("text"))).alias("place", "line"))
+            .select(ROW_KEY, "doc_id", "place", line_key(F.col("line")).alias("key"))
             .where(F.char_length("key") >= min_key_chars)
-            .select("doc_id", "place", F.unhex(F.md5("key")).alias("hash")))
+            .select(ROW_KEY, "doc_id", "place", F.unhex(F.md5("key")).alias("hash")))
 
 
 def repeated_hashes(hashes: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -58,26 +59,27 @@ def repeated_hashes(hashes: DataFrame, min_documents: int = MIN_DOCUMENTS) -> Da
 
 
 def dropped_places(hashes: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(doc_id, dropped): the places of the lines that each document loses.
+    """(row key, dropped): the places of the lines that each row loses.
 
     Both sides are plain scans, so adaptive execution can split a hash that holds many rows.
     """
     return (hashes.join(repeated, "hash").where(F.col("doc_id") != F.col("first"))
-            .groupBy("doc_id").agg(F.collect_set("place").alias("dropped")))
+            .groupBy(ROW_KEY).agg(F.collect_list("place").alias("dropped")))
 
 
 def dedup_lines(docs: DataFrame, min_key_chars: int = MIN_KEY_CHARS,
                 min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): one row per input row; kept is the remaining text.
 
-    Null or empty text is one empty line. Rows with the same doc_id are one document in the
-    counts, and lose the lines that any of them loses by place and hash. Rows without doc_id keep
+    Null or empty text is one empty line. Rows with the same doc_id are one document in the counts, and
+    each loses its own lines: those of which a smaller doc_id holds an equal one. Rows without doc_id keep
     all lines and count for nobody. All lines dropped: kept is empty. Extra columns are ignored.
     """
-    hashes = stored(line_hashes(docs.select("doc_id", "text"), min_key_chars), "line-hashes")
+    keyed = row_keyed(docs, "doc_id", "text")
+    hashes = stored(line_hashes(keyed, min_key_chars), "line-hashes")
     repeated = stored(repeated_hashes(hashes, min_documents), "repeated-lines")
     places = dropped_places(hashes, repeated)
-    joined = docs.select("doc_id", "text").join(places, "doc_id", "left")
+    joined = keyed.join(places, ROW_KEY, "left")
     # The one-element array makes the lines a lambda variable: split once, then read by place.
     kept = F.transform(F.array(_lines(F.col("text"))), lambda lines: F.concat_ws("\n", F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped")),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_KEY, WORD_PATTERN, row_keyed, running_total
+from starmart.llm.common import ROW_KEY, WORD_PATTERN, own_names, row_keyed, running_total
 from starmart.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -62,14 +62,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
     Rows with the same id, source and size may stand in either order, which gives the same rows.
     Nothing in, nothing out; all sizes 0: all targets and takings are 0.
     """
-    return _mixed(docs, [], weights, max_copies, share)
+    return _mixed(row_keyed(docs, "doc_id", "source", "text"), [], weights, max_copies, share)
 
 
 def _mixed(docs: DataFrame, extra: list[str], weights: tuple[int, ...], max_copies: int, share: float) -> DataFrame:
-    """``mix`` with columns of ``docs`` that stay with their rows."""
+    """``mix`` of keyed rows, with the columns ``extra`` of theirs. The key cuts ties, so that equal rows, or
+    rows without doc_id, are spread over partitions like any others."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                        F.md5(F.col("doc_id").cast("string").cast("binary")).alias("shuffled"), *extra)
-    order = [F.col("source").asc_nulls_last(), F.col("shuffled"), F.col("doc_id"), F.col("size")]
+                        F.md5(F.col("doc_id").cast("string").cast("binary")).alias("shuffled"), ROW_KEY)
+    order = [F.col("source").asc_nulls_last(), F.col("shuffled"), F.col("doc_id"), F.col("size"), F.col(ROW_KEY)]
     queued = running_total(sized, order, "size", "words_before", "mix-queues")
     targets = stored(source_targets(queued, weights, max_copies, share), "mix-targets")
     joined = queued.join(targets.withColumnRenamed("source", "of"),
@@ -88,6 +89,7 @@ def _mixed(docs: DataFrame, extra: list[str], weights: tuple[int, ...], max_copi
             .withColumn("taken", F.col("copies") * F.col("size")).drop("row_key"))
 
 
+@own_names
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
          share: float = 1.0) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it.

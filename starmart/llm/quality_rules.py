@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import lean_batches, plain_words
+from starmart.llm.common import lean_batches, own_names, plain_words
 from starmart.session import stored
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters",
@@ -183,6 +183,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)))
 
 
+@own_names
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs``, all columns, that ``judge`` keeps; texts are not shuffled.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import ROW_KEY, lean_batches, plain_words, row_keyed
+from starmart.llm.common import ROW_KEY, lean_batches, own_names, plain_words, row_keyed
 from starmart.session import stored
 
 SEED = 42
@@ -190,6 +190,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
             .select("doc_id", "print", "component_id"))
 
 
+@own_names
 def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, keep_unnamed: bool = True) -> DataFrame:
     """The rows of ``docs``, all columns: one of each component, the one with the smallest doc_id.
 
