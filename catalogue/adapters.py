@@ -74,11 +74,11 @@ class Tables:
 
     @once
     def raw_room(self) -> DataFrame:
-        """A room for every settled order; some rooms have no number."""
-        return self.table("orders").filter("o_orderstatus = 'F'").select(
+        """A room for every order; some rooms have no number, some belong to unknown consultations."""
+        return self.table("orders").select(
             F.expr("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 40 END")
             .alias("Id_salle"),
-            F.col("o_orderkey").alias("Num_consultation"),
+            F.expr("CASE WHEN o_orderkey % 6 = 1 THEN -o_orderkey ELSE o_orderkey END").alias("Num_consultation"),
             F.expr("o_orderkey % 7").alias("Code_bloc"), F.expr("o_orderkey % 4")
             .alias("Num_etage"), F.expr("o_orderkey % 90").alias("Num_salle"))
 
@@ -161,6 +161,17 @@ class Tables:
             F.expr("CASE WHEN s_suppkey % 9 = 0 THEN 'x' "
                    "ELSE concat(11 + s_suppkey % 80, '000') END").alias("postal"))
 
+    @once
+    def correspondence_text(self) -> DataFrame:
+        """Correspondences of establishment ids: chains, two targets, circles, blanks and ids of their own."""
+        own = self.table("supplier").select("s_suppkey", F.expr(
+            "CASE s_suppkey % 10 WHEN 1 THEN array(s_suppkey + 1) WHEN 2 THEN array(s_suppkey + 1) "
+            "WHEN 4 THEN array(s_suppkey + 1, s_suppkey + 2) WHEN 5 THEN array(s_suppkey) "
+            "WHEN 6 THEN array(s_suppkey - 2) WHEN 7 THEN array(s_suppkey + 1) WHEN 8 THEN array(s_suppkey - 1) "
+            "WHEN 9 THEN array(s_suppkey - 1, s_suppkey - 1) WHEN 0 THEN array(NULL) END").alias("targets"))
+        return (own.select(F.expr("concat(' 00', s_suppkey)").alias("internal"), F.explode("targets").alias("target"))
+                .select("internal", F.col("target").cast("string").alias("official")))
+
     @once
     def practitioner_source(self) -> DataFrame:
         return self.table("part").select(F.expr(PRACTITIONER).alias("id_professionnel"),

@@ -11,7 +11,7 @@ from starmart.functions import fixed_values as fixed
 from starmart.functions import rules
 from starmart.functions.numbers import half_up_tenth
 from starmart.operators import dimensions as dims
-from starmart.operators import facts, keyed, lookups, quality, sinks, staging
+from starmart.operators import correspondence, facts, keyed, lookups, quality, sinks, staging
 from starmart.operators.ids import dense_ids
 from starmart.plans import kpis
 from starmart.plans import rebuild as mart
@@ -19,6 +19,7 @@ from starmart.session import empty_table, new_folder, stored
 from starmart.sources import delimited, feeds, relational
 
 from catalogue.adapters import Tables
+from catalogue.contents import GOLD_COLUMNS
 
 PSEUDONYM_KEY = b"starmart demonstration key"
 
@@ -223,11 +224,11 @@ def a17_staging_practitioners(t: Tables) -> DataFrame:
 
 @query
 def a18_full_reload(t: Tables) -> DataFrame:
-    """Loading twice leaves one copy."""
+    """Loading twice leaves one copy; the second load may read what it replaces."""
     path = new_folder(t.spark, "staging")
-    for _ in range(2):
-        sinks.insert_overwrite(t.staged_deaths(), path)
-    return t.spark.read.parquet(path)
+    sinks.insert_overwrite(t.staged_deaths(), path)
+    sinks.insert_overwrite(sinks.read_table(t.spark, path), path)
+    return sinks.read_table(t.spark, path)
 
 
 def _gold(t: Tables) -> dict[str, DataFrame]:
@@ -248,21 +249,35 @@ def _staged(t: Tables) -> dict[str, DataFrame]:
 
 @query
 def a19_gold_export(t: Tables) -> DataFrame:
-    """Rows read back from each exported folder."""
-    folder = new_folder(t.spark, "export")
-    names = sinks.export_csv(_gold(t), folder)
-    return quality.row_counts({n: t.spark.read.option("header", True).csv(f"{folder}/{n}")
-                               for n in names})
+    """Rows and contents read back from each exported folder."""
+    folder, gold = new_folder(t.spark, "export"), _gold(t)
+    names = sinks.export_csv(gold, folder)
+    return _contents({n: sinks.read_export(t.spark, folder, n, gold[n].schema) for n in names})
 
 
-@query
-def a20_external_text_tables(t: Tables) -> DataFrame:
-    """Establishments with their region, both read through external text tables."""
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    return quality.union_all([quality.fingerprint(df, name, GOLD_COLUMNS[name]) for name, df in tables.items()])
+
+
+def _text_tables(t: Tables, prefix: str) -> dict[str, DataFrame]:
+    """The exported dimensions as external text tables."""
     folder, gold = new_folder(t.spark, "export"), _gold(t)
     dimensions = {n: gold[n] for n in sinks.TEXT_DIMENSIONS}
     sinks.export_csv(dimensions, folder)
-    read = {n: sinks.external_text_table(t.spark, f"text_{n}", df.schema, f"{folder}/{n}")
+    return {n: sinks.external_text_table(t.spark, f"{prefix}_{n}", df.schema, f"{folder}/{n}")
             for n, df in dimensions.items()}
+
+
+@query
+def a20_text_table_contents(t: Tables) -> DataFrame:
+    """Rows and contents of all five text tables."""
+    return _contents(_text_tables(t, "whole_text"))
+
+
+@query
+def a20_external_text_tables(t: Tables) -> DataFrame:
+    """Establishments with their region, both read through external text tables."""
+    read = _text_tables(t, "text")
     return (read["dim_etablissement"].join(read["dim_geographie"], "id_geo", "left")
             .select("finess", "nom", "id_geo", "code_region", "pays"))
 
@@ -282,7 +297,7 @@ def a21_orc_year_partitions(t: Tables) -> DataFrame:
 def a23_insert_overwrite(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "parquet")
     sinks.insert_overwrite(t.fact_stays(count_days=True), path)
-    return _counted(t.spark.read.parquet(path))
+    return _counted(sinks.read_table(t.spark, path))
 
 
 # --- B: projections, filters, rejections ------------------------------------------------------
@@ -590,23 +605,24 @@ _REBUILT = ["dim_temps", "dim_patient", "dim_geographie", "dim_etablissement", "
             "fait_hospitalisation"]
 
 
-def _rebuilt_counts(t: Tables, modes: list[str]) -> DataFrame:
+def _rebuilt(t: Tables, modes: list[str]) -> DataFrame:
     root = new_folder(t.spark, "mart")
     for mode in modes:
         mart.rebuild(t.spark, mart_sources(t), root, mode)
     run = mart.published_run(t.spark, root)
-    return quality.row_counts({name: run.read(name) for name in _REBUILT})
+    return _contents({name: run.read(name) for name in _REBUILT})
 
 
 @query
 def f07_rebuild_extended(t: Tables) -> DataFrame:
-    return _rebuilt_counts(t, [mart.EXTENDED])
+    """Rows and contents of every table of the published run."""
+    return _rebuilt(t, [mart.EXTENDED])
 
 
 @query
 def f07_rebuild_standard_after_extended(t: Tables) -> DataFrame:
     """A standard run empties the other facts and keeps geography and practitioners."""
-    return _rebuilt_counts(t, [mart.EXTENDED, mart.STANDARD])
+    return _rebuilt(t, [mart.EXTENDED, mart.STANDARD])
 
 
 @query
@@ -661,6 +677,23 @@ for _name, _kpi in KPIS.items():
     REGISTRY[_name] = (lambda kpi: lambda t: kpi(t.star()))(_kpi)
 
 
+@query
+def t22_establishment_correspondence(t: Tables) -> DataFrame:
+    """The official id of each internal one, or why it can't be told."""
+    return correspondence.resolve(t.correspondence_text())
+
+
+@query
+def t22_consultations_by_official_id(t: Tables) -> DataFrame:
+    """Consultations by establishment with their ids resolved: named ones where the register knows them."""
+    resolved = correspondence.resolve(t.correspondence_text())
+    rows = correspondence.official_ids(t.consultation(), resolved, "id_etablissement")
+    fact = facts.consultation_fact(rows)
+    names = t.dim_establishment().select("finess", "nom")
+    return (fact.groupBy("finess").agg(F.sum("nb_consultations").cast("bigint").alias("nb_consultations"))
+            .join(names, "finess", "left").select("finess", "nom", "nb_consultations"))
+
+
 @query
 def t01_exact_rounding(t: Tables) -> DataFrame:
     """Mean account balance in cents per nation, rounded half away from zero, with negatives."""
@@ -706,6 +739,30 @@ def h04_domain_rules(t: Tables) -> DataFrame:
         "price": F.col("o_totalprice").isNull() | (F.col("o_totalprice") < 1000)})
 
 
+@query
+def h04_not_null_and_status(t: Tables) -> DataFrame:
+    """Every NOT NULL of the mart's tables, and the status of logged runs."""
+    root, tables = new_folder(t.spark, "mart"), {**_gold(t), "fait_hospitalisation": t.fact_stays()}
+    mart.rebuild(t.spark, mart_sources(t), root, mart.STANDARD)
+    log = t.spark.read.schema(quality.RUN_LOG_SCHEMA).parquet(f"{root}/audit/etl_run_log")
+    status = quality.rule_violations(log, "etl_run_log", {
+        "status": F.col("status").isNull() | ~F.col("status").isin(quality.RUN_STATUS)})
+    return quality.union_all([status] + [
+        quality.soundness(tables[name], name, quality.Rules(not_null=tuple(columns)))
+        for name, columns in mart.NOT_NULL.items()])
+
+
+@query
+def h05_checks_in_one_scan(t: Tables) -> DataFrame:
+    """Rows, keys, NULLs and foreign keys of the mart's tables, each table scanned once."""
+    tables = {name: stored(df) for name, df in {**_gold(t), "fait_hospitalisation": t.fact_stays()}.items()}
+    return quality.union_all([quality.soundness(table, name, quality.Rules(
+        minimum=1, unique=(mart.PRIMARY_KEYS[name],) if name in mart.PRIMARY_KEYS else (),
+        not_null=tuple(mart.NOT_NULL.get(name, ())),
+        foreign={column: (tables[dimension], mart.PRIMARY_KEYS[dimension])
+                 for column, dimension in mart.FOREIGN_KEYS.get(name, {}).items()})) for name, table in tables.items()])
+
+
 @query
 def h05_referential_integrity(t: Tables) -> DataFrame:
     """Every foreign key of the mart. Tables are written once; each key then reads its own column."""
@@ -725,6 +782,15 @@ def h06_run_log(t: Tables) -> DataFrame:
     return log.select("job_name", "status", "rows_read", "rows_written")
 
 
+@query
+def h06_flow_log(t: Tables) -> DataFrame:
+    """An extended rebuild logs the rows of each of its six flows."""
+    root = new_folder(t.spark, "mart")
+    mart.rebuild(t.spark, mart_sources(t), root, mart.EXTENDED)
+    return (t.spark.read.schema(quality.FLOW_LOG_SCHEMA).parquet(f"{root}/audit/etl_flow_log")
+            .select("flow", "rows_read", "rows_written"))
+
+
 @query
 def h07_quality_log(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "mart")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.session import inline_table
+
 RUN_STATUS = ["running", "success", "failed"]
+FLOW_LOG_SCHEMA = "run_id bigint, flow string, rows_read bigint, rows_written bigint"
 RUN_LOG_SCHEMA = ("run_id bigint, job_name string, started_at timestamp, ended_at timestamp, "
                   "status string, rows_read bigint, rows_written bigint, message string")
 
@@ -16,11 +20,11 @@ class GateError(RuntimeError):
     """At least one check failed; nothing may be published."""
 
 
-def _rows(df: DataFrame, check: str, table: str | Column, metric: str | Column, value: Column,
+def _rows(df: DataFrame, check: str | Column, table: str | Column, metric: str | Column, value: Column,
           threshold: Column, passed: Column) -> DataFrame:
     as_column = lambda c: c if isinstance(c, Column) else F.lit(c)
     return df.select(
-        F.lit(check).alias("check_name"), as_column(table).alias("table_name"),
+        as_column(check).alias("check_name"), as_column(table).alias("table_name"),
         as_column(metric).alias("metric_name"), value.cast("decimal(38,6)").alias("metric_value"),
         threshold.cast("decimal(38,6)").alias("threshold_value"), passed.alias("passed"))
 
@@ -83,6 +87,98 @@ def orphans(fact: DataFrame, table: str, column: str, dimension: DataFrame, key:
     return _rows(lost, "foreign_key", table, column, n, F.lit(0), n == 0)
 
 
+@dataclass(frozen=True)
+class Rules:
+    """What must hold for a table: rows, one row per key, no NULLs, and keys that are in other tables."""
+
+    minimum: int | None = None
+    unique: tuple[str, ...] = ()
+    not_null: tuple[str, ...] = ()
+    foreign: dict[str, tuple[DataFrame, str]] = field(default_factory=dict)  # column -> (table, its key)
+
+
+def soundness(df: DataFrame, table: str, rules: Rules) -> DataFrame:
+    """All checks of a table from one scan of it, in the rows that the single checks give.
+
+    Each row is stacked as the (rule, column, value) entries that it has to be counted under, and all
+    entries are counted together: summed before the one shuffle, so a hot key is one row per task there
+    and one row where it meets the dimensions, which are stacked as well.
+    """
+    wanted = ([("min_rows", "row_count")] * (rules.minimum is not None)
+              + [("unique_key", c) for c in rules.unique] + [("null_columns", c) for c in rules.not_null]
+              + [("foreign_key", c) for c in rules.foreign])
+    entry = lambda check, name, value: F.struct(F.lit(check).alias("check"), F.lit(name).alias("metric"),
+                                                value.cast("string").alias("value"))
+    missing = [F.when(F.col(c).isNull(), entry("null_columns", c, F.lit(None))) for c in rules.not_null]
+    referring = [F.when(F.col(c).isNotNull(), entry("foreign_key", c, F.col(c))) for c in rules.foreign]
+    entries = F.array(entry("min_rows", "row_count", F.lit(None)),
+                      *[entry("unique_key", c, F.col(c)) for c in rules.unique], *missing, *referring)
+    counted = (df.select(F.explode(F.array_compact(entries)).alias("e"))
+               .groupBy("e.check", "e.metric", "e.value").agg(F.count(F.lit(1)).alias("held")))
+    if rules.foreign:
+        known = union_all([dimension.select(F.lit("foreign_key").alias("check"), F.lit(c).alias("metric"),
+                                            F.col(key).cast("string").alias("value"), F.lit(True).alias("known"))
+                           for c, (dimension, key) in rules.foreign.items()])
+        counted = counted.join(known, ["check", "metric", "value"], "left")
+    else:
+        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
+    of = lambda check, n: F.when(F.col("check") == check, n)
+    found = counted.groupBy("check", "metric").agg(F.sum(
+        F.coalesce(of("min_rows", F.col("held")), of("null_columns", F.col("held")),
+                   of("unique_key", (F.col("held") > 1).cast("long")),
+                   of("foreign_key", F.when(F.col("known").isNull(), F.col("held"))), F.lit(0))).alias("n"))
+    if not wanted:
+        return _rows(df.limit(0), "none", table, "none", F.lit(0), F.lit(0), F.lit(True))
+    rows = inline_table(df.sparkSession, wanted, ["check", "metric"])
+    n = F.coalesce("n", F.lit(0))
+    least = F.when(F.col("check") == "min_rows", F.lit(rules.minimum or 0)).otherwise(F.lit(0))
+    return _rows(rows.join(found, ["check", "metric"], "left"), F.col("check"), table, F.col("metric"), n, least,
+                 F.when(F.col("check") == "min_rows", n >= least).otherwise(n == 0))
+
+
+def _told(df: DataFrame, column: str) -> Column:
+    """A value as text that other engines write alike: six decimals for floating numbers."""
+    kind = df.schema[column].dataType.typeName()
+    told = F.col(f"`{column}`")
+    if kind in ("float", "double"):
+        told = told.try_cast("decimal(38,6)")
+    elif kind.startswith("timestamp"):
+        told = F.unix_micros(told.cast("timestamp"))
+    return F.coalesce(told.cast("string"), F.lit("\\N"))
+
+
+def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """(table_name, column_name, nb_lignes, hash_sum, hash_xor) of a table and of each of its columns.
+
+    It tells contents, not their order: the rows' hashes are added up and joined by exclusive or, so
+    tables of any partitioning compare, and swapped, changed, lost or doubled values show, per column
+    too. The row ``*`` hashes whole rows. One scan, one row per task shuffled. Sixty bits of an md5 each.
+    """
+    columns = columns or df.columns
+    told = {c: _told(df, c) for c in columns}
+    told["*"] = F.concat_ws("|", *told.values())
+    hashed = df.select(*[F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint").alias(f"h{k}")
+                         for k, text in enumerate(told.values())])
+    added = hashed.agg(F.count(F.lit(1)).alias("n"), *[
+        f(F.col(f"h{k}").cast(kind)).alias(f"{name}{k}") for k in range(len(told))
+        for name, f, kind in (("s", F.sum, "decimal(20,0)"), ("x", F.bit_xor, "bigint"))])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"s{k}"), F.lit(0).cast("decimal(30,0)"))
+                              .cast("string").alias("hash_sum"), F.coalesce(F.col(f"x{k}"), F.lit(0).cast("bigint"))
+                              .alias("hash_xor")) for k, c in enumerate(told)])
+    return added.select("n", F.explode(rows).alias("r")).select(
+        F.lit(table).alias("table_name"), "r.column_name", F.col("n").alias("nb_lignes"), "r.hash_sum", "r.hash_xor")
+
+
+def same_contents(copy: DataFrame, original: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A check row per column, and one for whole rows: 1 where a copy differs from its original."""
+    columns = columns or original.columns
+    one, other = fingerprint(copy, table, columns), fingerprint(original, table, columns)
+    same = ["column_name", "nb_lignes", "hash_sum", "hash_xor"]
+    judged = other.join(one.select(*same, F.lit(True).alias("found")), same, "left")
+    differs = F.col("found").isNull().cast("int")
+    return _rows(judged, "same_contents", table, F.col("column_name"), differs, F.lit(0), differs == 0)
+
+
 def collapsed(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Keys that had several different rows before one was picked: reported, never a failure."""
     from starmart.operators.keyed import collapsed_keys
@@ -115,6 +211,12 @@ def log_run(spark: SparkSession, path: str, run: dict) -> None:
     spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def log_flows(spark: SparkSession, path: str, run_id: int, flows: dict[str, tuple[int, int]]) -> None:
+    """Append a row per flow of a run: rows read from its feed and rows that its load accepted."""
+    rows = [(run_id, flow, read, written) for flow, (read, written) in sorted(flows.items())]
+    (spark.createDataFrame(rows, FLOW_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path))
+
+
 def log_quality(checks: DataFrame, path: str, run_id: int) -> None:
     """Append the checks of a run. Numbering is one small window: a row per check."""
     numbered = checks.withColumn("quality_id", F.row_number().over(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> list[str]:
     return names
 
 
+def read_export(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """An exported table with its own types; an empty text stays apart from NULL.
+
+    Spark reads whatever equals the null value as NULL, which is the empty text unless another is named.
+    """
+    return (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+            .option("nullValue", "\u0000").csv(f"{folder}/{name}"))
+
+
 def _columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -55,9 +66,59 @@ def external_orc_table(spark: SparkSession, name: str, schema, location: str,
     return spark.table(name)
 
 
-def insert_overwrite(df: DataFrame, path: str) -> None:
-    """Replace a columnar table. ``df`` must not read ``path`` itself."""
-    df.write.mode("overwrite").parquet(path)
+VERSION_SCHEMA = "version bigint"
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The version of a table that readers see; None before the first one."""
+    pointer = f"{path}/current"
+    if not path_exists(spark, pointer):
+        return None
+    return spark.read.schema(VERSION_SCHEMA).parquet(pointer).agg(F.max("version")).head()[0]
+
+
+def _version_path(path: str, version: int) -> str:
+    return f"{path}/version={version}"
+
+
+def insert_overwrite(df: DataFrame, path: str, partition: str | None = None) -> int:
+    """Replace a columnar table; returns the new version.
+
+    The rows go to a folder of their own and become the table by one appended pointer row, after they
+    are all written. Until then, and after a write that fails, readers see the table as it was, so
+    ``df`` may read the table that it replaces. Old versions stay until ``remove_old_versions``.
+    """
+    spark = df.sparkSession
+    version = max((current_version(spark, path) or 0) + 1, time.time_ns())
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(partition) if partition else writer).parquet(_version_path(path, version))
+    (spark.createDataFrame([(version,)], VERSION_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(f"{path}/current"))
+    return version
+
+
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The current version of a table that ``insert_overwrite`` wrote, or an older one."""
+    version = version or current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(_version_path(path, version))
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` versions up to the current one, and those that failed before
+    it; returns what went. Nobody may still be reading them."""
+    now = current_version(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    found = sorted(int(name.split("=")[1]) for name in names if name.startswith("version="))
+    pointers = spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/current")
+    kept = {row["version"] for row in pointers.orderBy(F.col("version").desc()).limit(max(1, keep)).collect()}
+    gone = [version for version in found if version < now and version not in kept]
+    for version in gone:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(_version_path(path, version)), True)
+    return gone
 
 
 def overwrite_years(df: DataFrame, path: str) -> None:

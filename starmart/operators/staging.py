@@ -147,6 +147,12 @@ def raise_on_reject(loaded: Loaded, watch: Observation, table: str) -> None:
         raise LoadError(f"{table}: {watch.get['rejected']} rejected rows ({example['reason']})")
 
 
+def require_accepted(table: str, read: int, accepted: int) -> None:
+    """A load that accepts nothing is an error, before anything is built on it."""
+    if not accepted:
+        raise LoadError(f"{table}: none of {read} rows is usable")
+
+
 def require_rows(df: DataFrame, table: str) -> DataFrame:
     """An extract or a load without a usable row is an error."""
     if not df.head(1):

@@ -189,8 +189,7 @@ def demographics(star: Star) -> DataFrame:
 
 def consultations_by_practitioner(star: Star) -> DataFrame:
     """Every practitioner; one without consultations shows no year and 0."""
-    rows = (star.consultation.filter(F.col("id_professionnel").isNotNull())
-            .withColumn("annee", F.floor(F.col("id_temps") / 10000).cast("int"))
+    rows = (with_calendar(star.consultation.filter(F.col("id_professionnel").isNotNull()))
             .groupBy("id_professionnel", "annee").agg(_total("nb_consultations")))
     return (star.practitioner.join(rows, "id_professionnel", "left")
             .select("id_professionnel",
@@ -238,21 +237,27 @@ def satisfaction_by_region(star: Star) -> DataFrame:
 
 # --- large-volume KPIs ------------------------------------------------------------------------
 
+def _known_codes(fact: DataFrame, star: Star) -> DataFrame:
+    """The fact with NULL for every code that the dimension lacks, so that these make one group."""
+    codes = star.diagnosis.select(F.col("code_diag").alias("code_dim"))
+    return (fact.join(codes, F.col("code_diag") == F.col("code_dim"), "left")
+            .withColumn("code_diag", F.col("code_dim")).drop("code_dim"))
+
+
 def consultations_volume(star: Star) -> DataFrame:
-    """Totals and exact distinct patients: one row per patient and group is left before any join.
+    """Totals and exact distinct patients.
 
-    Several unknown codes make one group, so patients are merged again after the diagnoses.
+    Codes are resolved first, so that one grouping leaves a row per patient and group; labels come last.
     """
     measures = [_total("nb_consultations"), F.sum("_duration").alias("_duration"), F.sum("_timed").alias("_timed")]
-    by_code = (with_calendar(star.consultation).groupBy("finess", "annee", "code_diag", "id_patient")
-               .agg(measures[0], F.sum("duree_consultation").alias("_duration"),
-                    F.count("duree_consultation").alias("_timed")))
-    per_patient = (_with_diagnosis(by_code, star)
-                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient").agg(*measures))
+    per_patient = (_known_codes(with_calendar(star.consultation), star)
+                   .groupBy("finess", "annee", "code_diag", "id_patient")
+                   .agg(measures[0], F.sum("duree_consultation").alias("_duration"),
+                        F.count("duree_consultation").alias("_timed")))
     rows = (per_patient.join(star.patient.select("id_patient", "sexe"), "id_patient")
-            .groupBy("finess", "annee", "code_diag", "diagnostic", "sexe")
+            .groupBy("finess", "annee", "code_diag", "sexe")
             .agg(*measures, F.count(F.lit(1)).alias("nb_patients_distincts")))
-    return (rows.join(_places(star), "finess")
+    return (_with_diagnosis(rows.join(_places(star), "finess"), star)
             .select("finess", "etablissement", "libelle_region", "annee", "code_diag",
                     "diagnostic", "sexe", "nb_consultations",
                     mean(F.col("_duration"), F.col("_timed")).alias("duree_moy_min"),
@@ -272,15 +277,12 @@ def satisfaction_volume(star: Star) -> DataFrame:
 
 
 def hospitalisations_volume(star: Star) -> DataFrame:
-    by_code = (with_calendar(star.hospitalisation, day_may_lack=True)
-               .groupBy("finess", "annee", "code_diag", "id_patient").agg(_total("nb_hospitalisations")))
-    per_patient = (_with_diagnosis(by_code, star)
-                   .groupBy("finess", "annee", "code_diag", "diagnostic", "id_patient")
-                   .agg(_total("nb_hospitalisations")))
+    per_patient = (_known_codes(with_calendar(star.hospitalisation, day_may_lack=True), star)
+                   .groupBy("finess", "annee", "code_diag", "id_patient").agg(_total("nb_hospitalisations")))
     rows = (per_patient.join(star.patient.select("id_patient"), "id_patient", "left_semi")
-            .groupBy("finess", "annee", "code_diag", "diagnostic")
+            .groupBy("finess", "annee", "code_diag")
             .agg(_total("nb_hospitalisations"), F.count(F.lit(1)).alias("nb_patients_distincts")))
-    return (rows.join(_places(star), "finess")
+    return (_with_diagnosis(rows.join(_places(star), "finess"), star)
             .select("finess", "etablissement", "libelle_region", "annee", "code_diag",
                     "diagnostic", "nb_hospitalisations", "nb_patients_distincts"))
 

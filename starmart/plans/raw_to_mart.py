@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.operators import staging
+from starmart.operators import facts, staging
 from starmart.plans import rebuild
 from starmart.sources import delimited, feeds
 
@@ -23,12 +23,14 @@ class RawFeeds:
     practitioner_table: object = None  # a function that returns the table
     geography: list[str] = field(default_factory=list)
     hospitalisations: DataFrame | None = None
+    correspondence: DataFrame | None = None
 
 
 def bronze(spark: SparkSession, raw: RawFeeds, root: str) -> dict[str, DataFrame]:
     """Extract every feed to ``root``; what an extract leaves out goes to ``rejects_<feed>``.
 
-    A feed without a usable row is an error.
+    Deaths, the largest feed, are counted per day and department before anything is looked up or
+    written, so their bronze table has a row per day and region. A feed without a usable row is an error.
     """
     deaths, surveys = feeds.read_deaths(spark, raw.deaths), feeds.read_surveys(spark, raw.surveys)
     rejects = {"deces": feeds.death_rejects(deaths), "satisfaction": feeds.survey_rejects(surveys)}
@@ -42,7 +44,7 @@ def bronze(spark: SparkSession, raw: RawFeeds, root: str) -> dict[str, DataFrame
         landed = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
         return staging.require_rows(landed, name)
 
-    landed = {"deces": land("deces", feeds.death_rows(deaths)),
+    landed = {"deces": land("deces", facts.deaths_of_raw_rows(deaths, "date", "place")),
               "satisfaction": land("satisfaction", feeds.survey_rows(surveys))}
     table = raw.practitioner_table or (lambda: spark.createDataFrame([], "id_professionnel string"))
     regions = feeds.read_geography(spark, raw.geography) if raw.geography else None
@@ -59,4 +61,4 @@ def run(spark: SparkSession, raw: RawFeeds, bronze_root: str, mart_root: str) ->
     return rebuild.rebuild(spark, rebuild.Sources(
         consultations=raw.consultations, deaths=landed["deces"], surveys=landed["satisfaction"],
         establishments=landed["etablissements"], practitioners=landed["professionnels"],
-        geography=landed["geographie"], hospitalisations=raw.hospitalisations), mart_root, rebuild.EXTENDED)
+        geography=landed["geographie"], hospitalisations=raw.hospitalisations, correspondence=raw.correspondence), mart_root, rebuild.EXTENDED)

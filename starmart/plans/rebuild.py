@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
-from starmart.operators import facts, quality, sinks, staging
+from starmart.operators import correspondence, facts, quality, sinks, staging
 from starmart.operators.ids import dense_ids
 from starmart.plans.kpis import Star
 from starmart.session import empty_table
@@ -70,6 +70,7 @@ class Sources:
     practitioners: DataFrame | None = None
     geography: DataFrame | None = None
     hospitalisations: DataFrame | None = None
+    correspondence: DataFrame | None = None  # internal and official establishment ids of the consultations
 
 
 class Run:
@@ -119,7 +120,9 @@ def _number(df: DataFrame, order: list[str], id_name: str, is_plain_scan: bool =
             .withColumn("loaded_at", F.current_timestamp()))
 
 
-def _stage_extended(run: Run, sources: Sources) -> None:
+def _stage_extended(run: Run, sources: Sources) -> dict[str, tuple[int, int]]:
+    """Stage the other feeds; rows read and written of each, counted while they are written."""
+    flows = {}
     # Deaths are the largest feed: counted in one pass, then split into accepted and rejected.
     deaths = run.write("bronze_deces_par_jour", facts.deaths_by_day_and_region(sources.deaths))
     loads = {
@@ -133,12 +136,17 @@ def _stage_extended(run: Run, sources: Sources) -> None:
     for table, loaded in loads.items():
         watch = Observation(f"{table}_{run.run_id}")
         run.write(table, loaded.counted(watch).accepted)
-        if watch.get["rejected"]:  # a second pass over the feed only where there is something to keep
+        counts = watch.get
+        read, accepted = counts["rows"], counts["rows"] - counts["rejected"]
+        staging.require_accepted(table, read, accepted)
+        flows[table.removeprefix("stg_").removesuffix("_raw")] = (read, accepted)
+        if counts["rejected"]:  # a second pass over the feed only where there is something to keep
             run.write(f"rejects_{table}", loaded.rejected)
+    return flows
 
 
-def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
-    """Write every table of a run; returns the consultations read.
+def build(run: Run, sources: Sources, mode: str = STANDARD) -> dict[str, tuple[int, int]]:
+    """Write every table of a run; returns the rows read and staged of each flow.
 
     A standard run empties the facts of the other flows, as truncating their shared dimensions
     would; geography and practitioners are carried over from the published run.
@@ -149,13 +157,18 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
     watch = Observation(f"consultations_{run.run_id}")
     stg = run.write("stg_consultations_raw", loaded.counted(watch).accepted)
     staging.raise_on_reject(loaded, watch, "consultations")
+    counts = watch.get
+    flows = {"consultations": (counts["rows"], counts["rows"] - counts["rejected"])}
+    if sources.correspondence is not None:
+        resolved = run.write("etablissements_correspondance", correspondence.resolve(sources.correspondence))
+        stg = run.write("stg_consultations_officielles", correspondence.official_ids(stg, resolved, "id_etablissement"))
 
     days = dims.calendar(stg, "date_consultation")
     establishments = dims.establishments_of_consultations(stg)
     geo = _previous(spark, run.root, "dim_geographie", dims.GEOGRAPHY_SCHEMA)
     practitioners = _previous(spark, run.root, "dim_professionnel", dims.PRACTITIONER_SCHEMA)
     if extended:
-        _stage_extended(run, sources)
+        flows |= _stage_extended(run, sources)
         deaths, surveys = run.read("stg_deces_raw"), run.read("stg_satisfaction_raw")
         geo = dims.merge_geography(geo, run.read("stg_geographie_raw"))
         practitioners = dims.merge_practitioners(practitioners, run.read("stg_professionnels_raw"))
@@ -198,26 +211,23 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> int:
             "id_fait_hospitalisation", is_plain_scan=True), partition="annee")
     else:
         run.write("fait_hospitalisation", empty_table(spark, STAY_SCHEMA))
-    return watch.get["rows"]
+    return flows
 
 
 def checks(run: Run, mode: str) -> DataFrame:
-    """Minimum rows, keys, NULLs and foreign keys of the tables of a mode."""
+    """Minimum rows, keys, NULLs and foreign keys of the tables of a mode: one scan of each."""
     names = STANDARD_TABLES + (EXTENDED_TABLES if mode == EXTENDED else [])
-    tables = {name: run.read(name) for name in names}
-    parts = [quality.minimum_rows(tables)]
+    parts = []
     # Stays come from a source that a run may lack, so they may be empty, but never unsound.
-    tables["fait_hospitalisation"] = run.read("fait_hospitalisation")
-    for name in tables:
-        if name in PRIMARY_KEYS:
-            parts.append(quality.duplicate_keys(tables[name], name, [PRIMARY_KEYS[name]]))
-        if name in NOT_NULL:
-            parts.append(quality.null_columns(tables[name], name, NOT_NULL[name]))
-        for column, dimension in FOREIGN_KEYS.get(name, {}).items():
-            parts.append(quality.orphans(tables[name], name, column, run.read(dimension),
-                                         PRIMARY_KEYS[dimension]))
+    for name in [*names, "fait_hospitalisation"]:
+        table = run.read(name)
+        parts.append(quality.soundness(table, name, quality.Rules(
+            minimum=1 if name in names else None,
+            unique=(PRIMARY_KEYS[name],) if name in PRIMARY_KEYS else (), not_null=tuple(NOT_NULL.get(name, ())),
+            foreign={column: (run.read(dimension), PRIMARY_KEYS[dimension])
+                     for column, dimension in FOREIGN_KEYS.get(name, {}).items()})))
         if name in COLLAPSED:
-            parts.append(quality.collapsed(tables[name], name, COLLAPSED[name]))
+            parts.append(quality.collapsed(table, name, COLLAPSED[name]))
     return quality.union_all(parts)
 
 
@@ -231,12 +241,15 @@ def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDA
     entry = {"run_id": run.run_id, "job_name": f"rebuild_{mode}", "started_at": started}
     checked = None
     try:
-        rows_read = build(run, sources, mode)
+        flows = build(run, sources, mode)
         checked = checks(run, mode).persist()
         quality.log_quality(checked, f"{root}/audit/data_quality_log", run.run_id)
         quality.gate(checked)
-        written = run.read("fait_consultation").count()
-        entry.update(status="success", rows_read=rows_read, rows_written=written)
+        # The gate has counted the fact.
+        written = checked.where("check_name = 'min_rows' AND table_name = 'fait_consultation'").select(
+            F.col("metric_value").cast("long")).first()[0]
+        entry.update(status="success", rows_read=flows["consultations"][0], rows_written=written)
+        quality.log_flows(spark, f"{root}/audit/etl_flow_log", run.run_id, flows)
         sinks.publish(spark, root, run.run_id, mode)
     except Exception as error:
         entry.update(status="failed", message=str(error))
