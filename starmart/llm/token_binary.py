@@ -42,9 +42,9 @@ BLOCK = 4096
 SEGMENT_IDS = 1 << 20
 END_ID = 2
 # What a worker remembers of pieces of text; the memory is emptied when it is full.
-REMEMBERED_PIECES = 800_000
+REMEMBERED_PIECES = 400_000
 # Characters of text that are cut into pieces at once; a longer text stands alone.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 1 << 20
 SPACE = " \t\n\r"
 # Kinds of characters: plain white space, letters and digits, signs, other white space, unsettled.
 BLANK, ALNUM, SIGN, ODD, UNSETTLED = range(5)
