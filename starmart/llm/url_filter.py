@@ -1,7 +1,7 @@
 """URL filter: a rule list, and association rules for what the list does not judge.
 
-Method: URLs become sets of tokens; FP-growth mines the combinations that labelled URLs share with
-their label; rules above a confidence, a support and a lift stay, unless a part of their tokens says
+Method: URLs become sets of tokens; tokens that labelled URLs only hold together are one item; FP-growth
+mines the combinations that these URLs share with their label; rules above a confidence, a support and a lift stay, unless a part of their tokens says
 the same at least as surely. An inverted index holds each rule under its rarest token; a URL looks up
 its tokens there and the rule's other tokens are then checked. Token sets, not URLs, are matched, so a
 host that holds a third of all pages costs its different token sets only. Everything is native.
@@ -9,6 +9,7 @@ host that holds a third of all pages costs its different token sets only. Everyt
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -72,21 +73,60 @@ def tokens_of(host: Column, path: Column, url: Column) -> Column:
         kind("query:", F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1))))))
 
 
+def token_classes(rows: DataFrame, least: int) -> DataFrame:
+    """(token, class, members): tokens of rows (id, tokens) that stand in the very same rows, ``least`` at
+    least, are one class, named by its smallest token.
+
+    Rows are told by two 64-bit hashes joined by exclusive or. Members share a row, so a class is no
+    larger than a row's set.
+    """
+    sets = rows.select("id", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit("again"), "id")).alias("other")).where(F.col("n") >= least)
+    return (sets.groupBy("n", "one", "other").agg(F.array_sort(F.collect_list("token")).alias("members"))
+            .select(F.explode("members").alias("token"), F.col("members")[0].alias("class"), "members"))
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE):
+    """The FP-growth model of rows (tokens, verdict) whose items are classes of tokens, and the classes;
+    None from no rows.
+
+    Tokens that only come together would make every combination of them frequent, two to the power of a
+    URL's depth; as one item they make one.
+    """
+    spark = labelled.sparkSession
+    label = F.when(F.col("verdict") == ALLOW, LABELS[ALLOW]).when(F.col("verdict") == BLOCK, LABELS[BLOCK])
+    rows = stored(labelled.where(label.isNotNull()).select(
+        F.monotonically_increasing_id().alias("id"), "tokens", label.alias("label")), "url-transactions")
+    count = rows.count()
+    if not count:
+        return None
+    least = max(MIN_COUNT, math.ceil(min_support * count))
+    classes = stored(token_classes(rows, least), "url-classes")
+    held = (rows.select("id", F.explode("tokens").alias("token")).join(classes.select("token", "class"), "token")
+            .groupBy("id").agg(F.collect_set("class").alias("classes")))
+    items = stored(rows.select("id", "label").join(held, "id", "left").select(F.concat(
+        F.coalesce("classes", F.array().cast("array<string>")), F.array("label")).alias("items")), "url-items")
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / count), minConfidence=min_confidence,
+                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items)
+    return model, classes
+
+
 def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                 min_lift: float = MIN_LIFT) -> DataFrame:
     """(tokens, verdict, confidence, support) from rows (tokens, verdict); none from no rows.
 
     A rule stays if none of a proper part of its tokens has the same verdict and at least its confidence.
+    Rules are mined and thinned out over classes of tokens; those that stay are then told with each member
+    of their classes, since a URL to be judged may hold one member without the others. Rules of equal
+    tokens with both verdicts may both stay; ``matches`` decides.
     """
     spark = labelled.sparkSession
     schema = "tokens array<string>, verdict string, confidence double, support double"
-    label = F.when(F.col("verdict") == ALLOW, LABELS[ALLOW]).when(F.col("verdict") == BLOCK, LABELS[BLOCK])
-    items = stored(labelled.where(label.isNotNull()).select(
-        F.concat("tokens", F.array(label)).alias("items")), "url-transactions")
-    count = items.count()
-    if not count:
+    mined = mine(labelled, min_support, min_confidence)
+    if mined is None:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_COUNT / count)), minConfidence=min_confidence).fit(items)
+    model, classes = mined
     verdict = F.substring(F.col("consequent")[0], 2, 5)
     found = stored(model.associationRules.where(F.col("consequent")[0].isin(*LABELS.values()))
                    .where((F.col("lift") >= min_lift) & ~F.arrays_overlap(
@@ -100,7 +140,15 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confi
     idle = parts.where((F.size("part") < F.size("tokens")) & (F.col("says") == F.col("verdict"))
                        & (F.col("as_sure") >= F.col("confidence"))
                        & (F.size(F.array_except("part", "tokens")) == 0)).select("tokens", "verdict").distinct()
-    return stored(found.join(idle, ["tokens", "verdict"], "left_anti"), "url-kept-rules")
+    kept = found.join(idle, ["tokens", "verdict"], "left_anti")
+    named = classes.where(F.col("token") == F.col("class")).select("class", "members")
+    told = (kept.select("*", F.explode("tokens").alias("class")).join(named, "class")
+            .groupBy("tokens", "verdict", "confidence", "support").agg(F.collect_list("members").alias("choices")))
+    start = F.array(F.array().cast("array<string>"))
+    each = F.aggregate("choices", start, lambda done, members: F.flatten(F.transform(
+        done, lambda tokens: F.transform(members, lambda token: F.concat(tokens, F.array(token))))))
+    return stored(told.select(F.explode(each).alias("tokens"), "verdict", "confidence", "support")
+                  .withColumn("tokens", F.array_sort("tokens")), "url-kept-rules")
 
 
 def matches(sets: DataFrame, rules: DataFrame) -> DataFrame:

@@ -112,3 +112,24 @@ def test_many_contexts_are_a_distribution():
     scorer = pitman_yor.Scorer(bucket, kept)
     for context in (0, 9, 500, 777, 999):
         assert scorer.chances(np.arange(4), np.full(4, context)).sum() == pytest.approx(1)
+
+def test_deep_urls_of_one_host(spark):
+    """Tokens that only come together are one item: no combination of them is mined apart."""
+    from starmart.llm import url_filter
+
+    deep = "/".join(f"part{k}" for k in range(12))
+    rows = [(f"http://a.spam.example/{deep}/{k}", "block") for k in range(60)] + [
+        (f"http://site{k % 7}.example/{'en' if k % 2 else 'es'}/{k}", "allow") for k in range(140)]
+    table = spark.createDataFrame(rows, "url string, verdict string")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    sets = table.select(url_filter.tokens_of(host, path, F.col("url")).alias("tokens"), "verdict")
+    model, classes = url_filter.mine(sets)
+    assert model.freqItemsets.count() < 100
+    rules = url_filter.mined_rules(sets)
+    blocking = {tuple(r.tokens) for r in rules.where("verdict = 'block'").collect()}
+    assert blocking == {(t,) for t in ["host:a", "host:spam", "word:a", "word:spam"] + [f"path:part{k}" for k in range(12)]}
+    pages = spark.createDataFrame([(1, f"http://b.other/part3/x", None), (2, "http://site1.example/en/5", "x"),
+                                   (None, f"https://a.spam.example/{deep}", ""), (None, "http://b.other/" + "y/" * 5000, "")],
+                                  "page_id long, url string, html string")
+    found = [(r.page_id, r.verdict) for r in url_filter.judge(pages.unionByName(pages), table).collect()]
+    assert sorted(found, key=str) == sorted([(1, "block"), (2, "allow"), (None, "block"), (None, "allow")] * 2, key=str)
