@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -625,6 +626,30 @@ def f07_rebuild_standard_after_extended(t: Tables) -> DataFrame:
     return _rebuilt(t, [mart.EXTENDED, mart.STANDARD])
 
 
+def _refreshed(t: Tables) -> mart.Run:
+    """A run on sources with two wrong years, then a refresh: consultations of 1994 and deaths of 1995 came twice."""
+    root, sources = new_folder(t.spark, "mart"), mart_sources(t)
+    again = lambda df, day, year: df.unionByName(df.where(F.col(day).startswith(year)))
+    wrong = replace(sources, consultations=again(sources.consultations, "date_consultation", "1994"),
+                    deaths=again(sources.deaths, "date_deces", "1995"))
+    mart.rebuild(t.spark, wrong, root, mart.EXTENDED)
+    return mart.rebuild(t.spark, sources, root, mart.EXTENDED, changed_years_only=True)
+
+
+@query
+def f07_refresh_changed_years(t: Tables) -> DataFrame:
+    """A refresh leaves the contents of a full rebuild in every table."""
+    run = _refreshed(t)
+    return _contents({name: run.read(name) for name in _REBUILT})
+
+
+@query
+def f07_refreshed_years(t: Tables) -> DataFrame:
+    """Rows of each year of each fact, 0 for no day, and whether the refresh wrote them."""
+    run = _refreshed(t)
+    return run.years().select("fait", F.coalesce("annee", F.lit(0)).alias("annee"), "nb_lignes", (F.col("run_id") == run.run_id).alias("reecrite"))
+
+
 @query
 def f09_orphan_tolerant_attach(t: Tables) -> DataFrame:
     fact = facts.attach_diagnosis(t.fact_stays(), t.dim_diagnosis())

@@ -71,7 +71,7 @@ def add_new_regions(current: DataFrame, regions: DataFrame) -> DataFrame:
     """Append regions not yet present, numbered by code after the largest id in use."""
     new = absent_rows(current, regions, F.col("code_region"), F.col("code_region"))
     highest = current.agg(F.coalesce(F.max("id_geo"), F.lit(0))).scalar()
-    numbered = dense_ids(new, ["code_region"], "_n")
+    numbered = dense_ids(new, ["code_region"], "_n", is_unique=True)
     added = numbered.select((highest + F.col("_n")).cast("int").alias("id_geo"),
                             "code_region", "libelle_region", "pays")
     return current.unionByName(added)

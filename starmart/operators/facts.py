@@ -68,14 +68,15 @@ def deaths_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
             .select("id_temps", "id_geo", F.col("_n").cast("bigint").alias("nb_deces")))
 
 
-def satisfaction_fact(staged: DataFrame, geography: DataFrame) -> DataFrame:
+def satisfaction_fact(staged: DataFrame, geography: DataFrame, *kept: str) -> DataFrame:
+    """One row per survey of a known region; ``kept`` columns of the staged rows come along."""
     rows = (staged.filter(rules.not_blank(F.col("finess_src")))
             .select(rules.calendar_key(F.col("date_mesure_src")).alias("id_temps"),
                     F.trim("finess_src").alias("finess"),
                     F.trim("code_region_src").alias("_region"),
-                    F.col("score_global_src").cast("double").alias("score_global")))
+                    F.col("score_global_src").cast("double").alias("score_global"), *kept))
     return (rows.join(region_ids(geography, "_region"), "_region")
-            .select("id_temps", "finess", "id_geo", "score_global"))
+            .select("id_temps", "finess", "id_geo", "score_global", *kept))
 
 
 def hospitalisation_fact(raw: DataFrame, calendar: DataFrame,

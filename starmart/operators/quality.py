@@ -169,6 +169,19 @@ def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) ->
         F.lit(table).alias("table_name"), "r.column_name", F.col("n").alias("nb_lignes"), "r.hash_sum", "r.hash_xor")
 
 
+def fingerprint_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, nb_lignes, hash_sum, hash_xor) of the rows under each value of ``key``, in any order.
+
+    Values are hashed with a mark of being NULL, since a hash of several columns passes over NULLs.
+    One scan, one row per key and task shuffled.
+    """
+    marked = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
+    return (df.select(key, F.xxhash64(*marked).alias("_hash")).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("nb_lignes"),
+                 F.sum(F.col("_hash").cast("decimal(20,0)")).cast("string").alias("hash_sum"),
+                 F.bit_xor("_hash").alias("hash_xor")))
+
+
 def same_contents(copy: DataFrame, original: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """A check row per column, and one for whole rows: 1 where a copy differs from its original."""
     columns = columns or original.columns

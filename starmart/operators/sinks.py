@@ -133,9 +133,16 @@ def publish(spark: SparkSession, root: str, run_id: int, mode: str) -> None:
      .write.mode("append").parquet(f"{root}/published"))
 
 
-def current_run(spark: SparkSession, root: str) -> int | None:
+def current(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """Number and mode of the run that readers see."""
     folder = f"{root}/published"
     if not path_exists(spark, folder):
         return None
     published = spark.read.schema("run_id bigint, mode string").parquet(folder)
-    return published.agg(F.max("run_id")).head()[0]
+    run = published.agg(F.max_by(F.struct("run_id", "mode"), "run_id")).head()[0]
+    return None if run is None else (run["run_id"], run["mode"])
+
+
+def current_run(spark: SparkSession, root: str) -> int | None:
+    found = current(spark, root)
+    return None if found is None else found[0]

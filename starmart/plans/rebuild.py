@@ -3,21 +3,26 @@
 A run writes under ``<root>/run=<id>/<table>`` and never over a path it reads. Its tables become
 visible through one appended publication row, after every check has passed; a failed run leaves
 the published one untouched.
+
+A refresh builds the same tables but writes only those years of a fact whose contents differ from the
+published ones. The others stay where they are: the run's table ``annees`` names the run that holds
+each year, and reading a fact puts the years together. Dimensions are written whole.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
 from starmart.operators import correspondence, facts, quality, sinks, staging
-from starmart.operators.ids import dense_ids
+from starmart.operators.ids import dense_ids, position
 from starmart.plans.kpis import Star
-from starmart.session import empty_table
+from starmart.session import empty_table, path_exists
 
 STANDARD, EXTENDED = "standard", "extended"
 
@@ -33,6 +38,9 @@ SATISFACTION_SCHEMA = ("id_fait_satisfaction bigint, id_temps int, finess string
 STAY_SCHEMA = ("id_fait_hospitalisation bigint, id_temps int, id_patient string, finess string, "
                "code_diag string, nb_hospitalisations int")
 
+YEARS = "annees"
+YEARS_SCHEMA = "fait string, annee int, run_id bigint, nb_lignes bigint, hash_sum string, hash_xor bigint"
+
 PRIMARY_KEYS = {"dim_temps": "id_temps", "dim_patient": "id_patient", "dim_geographie": "id_geo",
                 "dim_etablissement": "finess", "dim_diagnostic": "code_diag",
                 "dim_professionnel": "id_professionnel"}
@@ -79,11 +87,40 @@ class Run:
     def __init__(self, spark: SparkSession, root: str, run_id: int):
         self.spark, self.root, self.run_id = spark, root, run_id
         self.schemas = {}  # of tables written by this object; an empty table has no file to tell
+        self.homes: dict[str, dict[int, list]] | None = None  # per fact the runs that hold its years
 
     def path(self, table: str) -> str:
         return f"{self.root}/run={self.run_id}/{table}"
 
+    def years(self) -> DataFrame | None:
+        """What a refreshed run knows of each year of its facts; None for a run that wrote them all."""
+        if not path_exists(self.spark, self.path(YEARS)):
+            return None
+        return self.spark.read.schema(YEARS_SCHEMA).parquet(self.path(YEARS))
+
+    def _homes(self) -> dict[str, dict[int, list]]:
+        """One row per fact and year comes to the driver: years of four digits, mostly a few dozen."""
+        if self.homes is None:
+            self.homes, known = {}, self.years()
+            for row in [] if known is None else known.select("fait", "annee", "run_id").collect():
+                self.homes.setdefault(row["fait"], {}).setdefault(row["run_id"], []).append(row["annee"])
+        return self.homes
+
+    def needed_runs(self) -> set[int]:
+        """Runs whose folders this one reads; they must stay as long as it is published."""
+        return {self.run_id}.union(*[set(runs) for runs in self._homes().values()])
+
     def read(self, table: str) -> DataFrame:
+        """A table of this run. Filters on ``annee`` prune folders of years kept in older runs too."""
+        if table not in self._homes():
+            return self._own(table)
+        parts = []
+        for run_id, years in sorted(self._homes()[table].items()):
+            home = self if run_id == self.run_id else Run(self.spark, self.root, run_id)
+            parts.append(home._own(table).where(_of_years(years)))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _own(self, table: str) -> DataFrame:
         reader = self.spark.read
         if table in self.schemas:
             reader = reader.schema(self.schemas[table])
@@ -93,7 +130,7 @@ class Run:
         writer = df.write.mode("overwrite")
         (writer.partitionBy(partition) if partition else writer).parquet(self.path(table))
         self.schemas[table] = df.schema
-        return self.read(table)
+        return self._own(table)
 
     def star(self) -> Star:
         return Star(patient=self.read("dim_patient"), geography=self.read("dim_geographie"),
@@ -105,6 +142,11 @@ class Run:
                     hospitalisation=self.read("fait_hospitalisation"))
 
 
+def _of_years(years: list[int | None]) -> Column:
+    known = F.col("annee").isin([y for y in years if y is not None])
+    return known | F.col("annee").isNull() if None in years else known
+
+
 def published_run(spark: SparkSession, root: str) -> Run | None:
     run_id = sinks.current_run(spark, root)
     return None if run_id is None else Run(spark, root, run_id)
@@ -115,9 +157,45 @@ def _previous(spark: SparkSession, root: str, table: str, schema: str) -> DataFr
     return run.read(table) if run else empty_table(spark, schema)
 
 
-def _number(df: DataFrame, order: list[str], id_name: str, is_plain_scan: bool = False) -> DataFrame:
-    return (dense_ids(df, order, id_name, is_plain_scan=is_plain_scan)
-            .withColumn("loaded_at", F.current_timestamp()))
+def _write_fact(run: Run, table: str, rows: DataFrame, order: list[str], published: Run | None, **how) -> None:
+    """Number a fact's rows and write them by year; see ``dense_ids`` for what ``how`` may say.
+
+    With a published run, only years whose rows differ from the published ones are written. Their ids
+    go on after the largest published one, so ids stay unique but have gaps.
+    """
+    rows, id_name = sinks.with_year(rows), f"id_{table}"
+    stamped = lambda df, start: (dense_ids(df, order, id_name, start=start, **how)
+                                 .withColumn("loaded_at", F.current_timestamp()))
+    if published is None:
+        run.write(table, stamped(rows, 1), partition="annee")
+        return
+    columns = [c for c in rows.columns if c not in ("annee", how.get("tie"))]
+    old = published.read(table)
+    known = published.years()
+    if known is not None and table in published._homes():
+        known = known.where(F.col("fait") == table)
+    elif "annee" in old.columns:
+        known = quality.fingerprint_by(old, "annee", columns).withColumn("run_id", F.lit(published.run_id))
+    else:  # written without years because it was empty
+        known = empty_table(run.spark, YEARS_SCHEMA)
+    contents = ["nb_lignes", "hash_sum", "hash_xor"]
+    found, kept = quality.fingerprint_by(rows, "annee", columns).alias("f"), known.alias("k")
+    same = F.col("f.annee").eqNullSafe(F.col("k.annee"))
+    for c in contents:
+        same &= F.col(f"f.{c}") == F.col(f"k.{c}")
+    judged = (found.join(kept, same, "left")
+              .select(F.lit(table).alias("fait"), "f.annee",
+                      F.coalesce("k.run_id", F.lit(run.run_id)).cast("bigint").alias("run_id"),
+                      *[f"f.{c}" for c in contents]).collect())
+    if not judged:
+        run.write(table, stamped(rows, 1))
+        return
+    changed = [r["annee"] for r in judged if r["run_id"] == run.run_id]
+    if changed:
+        start = (old.agg(F.max(id_name)).head()[0] or 0) + 1
+        run.write(table, stamped(rows.where(_of_years(changed)), start), partition="annee")
+    run.spark.createDataFrame(judged, YEARS_SCHEMA).coalesce(1).write.mode("append").parquet(run.path(YEARS))
+    run.homes = None
 
 
 def _stage_extended(run: Run, sources: Sources) -> dict[str, tuple[int, int]]:
@@ -145,9 +223,12 @@ def _stage_extended(run: Run, sources: Sources) -> dict[str, tuple[int, int]]:
     return flows
 
 
-def build(run: Run, sources: Sources, mode: str = STANDARD) -> dict[str, tuple[int, int]]:
+def build(run: Run, sources: Sources, mode: str = STANDARD,
+          published: Run | None = None) -> dict[str, tuple[int, int]]:
     """Write every table of a run; returns the rows read and staged of each flow.
 
+    With a ``published`` run of the same mode, years of facts that are as they were there stay there.
+
     A standard run empties the facts of the other flows, as truncating their shared dimensions
     would; geography and practitioners are carried over from the published run.
     """
@@ -186,29 +267,27 @@ def build(run: Run, sources: Sources, mode: str = STANDARD) -> dict[str, tuple[i
     run.write("dim_professionnel", practitioners)
 
     # Range partitions on the day leave one or two years per task, so few files per year folder.
-    fact = sinks.with_year(facts.consultation_fact(stg))
-    run.write("fait_consultation", _number(fact, facts.CONSULTATION_ORDER, "id_fait_consultation",
-                                           is_plain_scan=True), partition="annee")
+    _write_fact(run, "fait_consultation", facts.consultation_fact(stg), facts.CONSULTATION_ORDER, published,
+                is_plain_scan=True)
     if extended:
-        run.write("fait_deces", _number(sinks.with_year(facts.deaths_fact(deaths, geo)),
-                                        ["id_temps", "id_geo"], "id_fait_deces"), partition="annee")
-        run.write("fait_satisfaction", _number(
-            sinks.with_year(facts.satisfaction_fact(surveys, geo)), ["id_temps", "finess", "id_geo"],
-            "id_fait_satisfaction"), partition="annee")
+        _write_fact(run, "fait_deces", facts.deaths_fact(deaths, geo), ["id_temps", "id_geo"], published,
+                    is_unique=True)
+        _write_fact(run, "fait_satisfaction",
+                    facts.satisfaction_fact(surveys.withColumn("_survey", position()), geo, "_survey"),
+                    ["id_temps", "finess", "id_geo"], published, tie="_survey")
     else:
         run.write("fait_deces", empty_table(spark, DEATH_SCHEMA))
         run.write("fait_satisfaction", empty_table(spark, SATISFACTION_SCHEMA))
     if extended and sources.hospitalisations is not None:
         stays = run.write("stg_sejours", facts.unsound_keys(
-            sinks.with_year(facts.hospitalisation_fact(sources.hospitalisations, days)),
+            facts.hospitalisation_fact(sources.hospitalisations, days),
             id_patient=(run.read("dim_patient"), False), finess=(run.read("dim_etablissement"), False),
             code_diag=(run.read("dim_diagnostic"), True)))
         rejected = stays.filter("reason <> ''")
         if not rejected.isEmpty():
             run.write("rejects_fait_hospitalisation", rejected)
-        run.write("fait_hospitalisation", _number(
-            stays.filter("reason = ''").drop("reason"), ["id_patient", "code_diag"],
-            "id_fait_hospitalisation", is_plain_scan=True), partition="annee")
+        _write_fact(run, "fait_hospitalisation", stays.filter("reason = ''").drop("reason"),
+                    ["id_patient", "code_diag"], published, is_plain_scan=True)
     else:
         run.write("fait_hospitalisation", empty_table(spark, STAY_SCHEMA))
     return flows
@@ -231,17 +310,23 @@ def checks(run: Run, mode: str) -> DataFrame:
     return quality.union_all(parts)
 
 
-def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDARD) -> Run:
-    """Build a run, log it, and publish it if its checks pass."""
+def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDARD,
+            changed_years_only: bool = False) -> Run:
+    """Build a run, log it, and publish it if its checks pass.
+
+    ``changed_years_only`` refreshes: facts equal a full rebuild's but for ids and load times, and only
+    changed years are written. Without a published run of the same mode everything is.
+    """
     if mode not in (STANDARD, EXTENDED):
         raise ValueError(f"unknown mode {mode}")
-    last = sinks.current_run(spark, root) or 0
+    last, last_mode = sinks.current(spark, root) or (0, None)
+    published = Run(spark, root, last) if changed_years_only and last_mode == mode else None
     started = datetime.now(timezone.utc)
     run = Run(spark, root, max(last + 1, int(started.timestamp() * 1000)))
-    entry = {"run_id": run.run_id, "job_name": f"rebuild_{mode}", "started_at": started}
+    entry = {"run_id": run.run_id, "job_name": f"{'refresh' if changed_years_only else 'rebuild'}_{mode}", "started_at": started}
     checked = None
     try:
-        flows = build(run, sources, mode)
+        flows = build(run, sources, mode, published)
         checked = checks(run, mode).persist()
         quality.log_quality(checked, f"{root}/audit/data_quality_log", run.run_id)
         quality.gate(checked)
