@@ -167,3 +167,26 @@ def base_scores(docs):
         out[i] = (out_of(i), len(found), sum(c > 0 for c in found), n,
                   sum(math.log10((c + 1) / (n + 1 * (v + 1))) for c in found))
     return out
+
+
+def license_places(words, template, weights, phrases, least, slack):
+    """(start, stop, score) of the places of a template, from all its words at all places, with no index.
+
+    Every alignment of found words in order, the shift from one to the next changing by ``slack`` at most;
+    per last word the one worth most, then the one that starts last; of overlapping places the best.
+    """
+    met = [(place, at) for place in range(len(words)) for at in range(len(template)) if words[place] == template[at]]
+    ends, found = {}, set()
+    for place, at in met:
+        before = [ends[p, a] for p, a in met if p < place and a < at and abs(place - at - p + a) <= slack]
+        worth, start = max(before, default=(0.0, place))
+        ends[place, at] = (max(worth, 0.0) + weights[at], start)
+        near = " " + " ".join(words[max(0, start - slack):place + 1 + slack]) + " "
+        score = min(1.0, ends[place, at][0] / sum(weights))
+        if score >= least and all(f" {p} " in near for p in phrases):
+            found.add((-score, start, place + 1))
+    kept = []
+    for score, start, stop in sorted(found):
+        if all(stop <= a or b <= start for a, b, _ in kept):
+            kept.append((start, stop, -score))
+    return sorted(kept)
