@@ -829,6 +829,14 @@ def h08_row_inventory(t: Tables) -> DataFrame:
     return quality.row_counts(_gold(t))
 
 
+@query
+def h09_volume_report_of_a_run(t: Tables) -> DataFrame:
+    """The six flows of a rebuild, from its logs."""
+    root = new_folder(t.spark, "mart")
+    mart.rebuild(t.spark, mart_sources(t), root, mart.EXTENDED)
+    return mart.volume_report(t.spark, root)
+
+
 @query
 def h09_volume_report(t: Tables) -> DataFrame:
     tables = {

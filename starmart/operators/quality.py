@@ -239,6 +239,22 @@ def log_quality(checks: DataFrame, path: str, run_id: int) -> None:
      .coalesce(1).write.mode("append").parquet(path))
 
 
+def logged_volumes(flows: DataFrame, checks: DataFrame, run_id: int, gold: dict[str, str]) -> DataFrame:
+    """The rows (zone, entity, nb_lignes) of a run from its logs alone, for ``volume_report``.
+
+    ``flows`` is the flow log: rows read from a feed and rows staged. ``checks`` is the quality log, whose gate
+    has counted every table; ``gold`` names the table of each flow. No fact is scanned.
+    """
+    of_run = flows.where(F.col("run_id") == run_id)
+    zone = lambda name, column: of_run.select(F.lit(name).alias("zone"), F.col("flow").alias("entity"),
+                                              F.col(column).alias("nb_lignes"))
+    counted = checks.where((F.col("run_id") == run_id) & (F.col("check_name") == "min_rows"))
+    tables = inline_table(flows.sparkSession, [(table, flow) for flow, table in gold.items()], ["table_name", "entity"])
+    known = counted.join(tables, "table_name").select(
+        F.lit("gold").alias("zone"), "entity", F.col("metric_value").cast("bigint").alias("nb_lignes"))
+    return union_all([zone("bronze", "rows_read"), zone("staging", "rows_written"), known])
+
+
 def volume_report(counts: DataFrame) -> DataFrame:
     """Rows per entity in each zone and how much of the previous zone each keeps.
 

@@ -109,15 +109,20 @@ def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[i
     """Delete all but the newest ``keep`` versions up to the current one, and those that failed before
     it; returns what went. Nobody may still be reading them."""
     now = current_version(spark, path)
+    pointers = spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/current")
+    kept = {row["version"] for row in pointers.orderBy(F.col("version").desc()).limit(max(1, keep)).collect()}
+    return remove_numbered(spark, path, "version", now, kept)
+
+
+def remove_numbered(spark: SparkSession, path: str, name: str, before: int, kept: set[int]) -> list[int]:
+    """Delete the folders ``<name>=<number>`` of ``path`` with numbers below ``before`` that aren't ``kept``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [status.getPath().getName() for status in system.listStatus(folder)]
-    found = sorted(int(name.split("=")[1]) for name in names if name.startswith("version="))
-    pointers = spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/current")
-    kept = {row["version"] for row in pointers.orderBy(F.col("version").desc()).limit(max(1, keep)).collect()}
-    gone = [version for version in found if version < now and version not in kept]
-    for version in gone:
-        system.delete(spark._jvm.org.apache.hadoop.fs.Path(_version_path(path, version)), True)
+    found = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+    gone = [number for number in found if number < before and number not in kept]
+    for number in gone:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}={number}"), True)
     return gone
 
 

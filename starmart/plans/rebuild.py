@@ -345,3 +345,29 @@ def rebuild(spark: SparkSession, sources: Sources, root: str, mode: str = STANDA
         entry["ended_at"] = datetime.now(timezone.utc)
         quality.log_run(spark, f"{root}/audit/etl_run_log", entry)
     return run
+
+
+# The table that shows what became of each flow.
+GOLD_OF_FLOW = {"consultations": "fait_consultation", "deces": "fait_deces", "satisfaction": "fait_satisfaction",
+                "geographie": "dim_geographie", "etablissements": "dim_etablissement",
+                "professionnels": "dim_professionnel"}
+
+
+def volume_report(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of each flow of the published run in each zone, from what the run logged while it wrote."""
+    flows = spark.read.schema(quality.FLOW_LOG_SCHEMA).parquet(f"{root}/audit/etl_flow_log")
+    checks = spark.read.parquet(f"{root}/audit/data_quality_log")
+    run_id = sinks.current_run(spark, root)
+    logged = flows.where(F.col("run_id") == run_id).select("flow").collect()  # six flows at most
+    gold = {row["flow"]: GOLD_OF_FLOW[row["flow"]] for row in logged}
+    return quality.volume_report(quality.logged_volumes(flows, checks, run_id, gold))
+
+
+def remove_old_runs(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete the folders of all but the newest ``keep`` published runs, and of runs that failed before the
+    newest; returns what went. Runs whose years a kept one still reads stay. Nobody may be reading the others.
+    """
+    published = spark.read.schema("run_id bigint, mode string").parquet(f"{root}/published")
+    newest = [r["run_id"] for r in published.orderBy(F.col("run_id").desc()).limit(max(1, keep)).collect()]
+    needed = set().union(*[Run(spark, root, run_id).needed_runs() for run_id in newest])
+    return sinks.remove_numbered(spark, root, "run", max(newest), needed)

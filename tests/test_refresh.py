@@ -57,6 +57,19 @@ def test_refresh_writes_changed_years_and_equals_a_rebuild(spark, sources):  # n
     assert values(kpis.deaths_by_region(fourth.star()).select("annee", "nb_deces")) == [(2018, 1), (2019, 2)]
 
 
+def test_old_runs_go_but_not_what_is_still_read(spark, sources):  # noqa: F811
+    root = new_folder(spark, "mart")
+    unused = mart.rebuild(spark, sources, root, mart.STANDARD)
+    first = mart.rebuild(spark, sources, root, mart.STANDARD)
+    changed = replace(sources, consultations=sources.consultations.where("id_consultation <> '4'"))
+    second = mart.rebuild(spark, changed, root, mart.STANDARD, changed_years_only=True)
+    assert second.needed_runs() == {first.run_id, second.run_id}
+    assert mart.remove_old_runs(spark, root, keep=1) == [unused.run_id]
+    assert mart.published_run(spark, root).read("fait_consultation").count() == 119
+    report = {r.entity: (r.bronze, r.staging, r.gold, r.gold_ratio) for r in mart.volume_report(spark, root).collect()}
+    assert report == {"consultations": (119, 119, 119, 1.0)}
+
+
 def test_refresh_of_another_mode_is_a_rebuild(spark, sources):  # noqa: F811
     root = new_folder(spark, "mart")
     mart.rebuild(spark, sources, root, mart.STANDARD)
