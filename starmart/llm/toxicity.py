@@ -109,7 +109,7 @@ def _least_shingles(text: Column) -> Column:
 def _samples(docs: DataFrame, labels: DataFrame, may_learn: Column, positives: int,
              unlabelled: int) -> DataFrame:
     """(doc_id, text, positive), at most ``positives`` and ``unlabelled`` rows of each kind, of near
-    copies one."""
+    copies the first in the order of the hash of the id, so that every run and partitioning learns the same."""
     ids = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     toxic = ids(labels.where((F.col("toxic") == 1) & may_learn).select("doc_id").distinct(), positives)
     other = ids(docs.where(may_learn & F.col("doc_id").isNotNull()).select("doc_id").distinct(), unlabelled)
@@ -118,8 +118,11 @@ def _samples(docs: DataFrame, labels: DataFrame, may_learn: Column, positives: i
     texts = docs.where(may_learn).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     # A word of a text with many near copies would pass for one that many texts hold.
     hashed = texts.withColumn("hashes", _least_shingles(F.col("text")))
+    # The winner is the first by the order of the sample, whatever task meets the copies.
+    row = F.struct(F.xxhash64("doc_id").alias("rank"), "doc_id", "text", "hashes")
     for k in range(COPY_HASHES):
-        hashed = hashed.withColumn("hash", F.col("hashes")[k]).dropDuplicates(["positive", "hash"])
+        hashed = (hashed.groupBy("positive", F.col("hashes")[k].alias("hash")).agg(F.min(row).alias("row"))
+                  .select("positive", "row.doc_id", "row.text", "row.hashes"))
     return stored(hashed.select("doc_id", "text", "positive"), "toxicity-sample")
 
 

@@ -263,6 +263,16 @@ def test_toxicity_held_out(spark):
     assert all((found[i].score >= toxicity.CUT) == bool(t) for i, _, t in rows)
 
 
+def test_toxicity_sample_is_the_same_for_any_partitioning(spark):
+    _, docs, labels = toxic_table(spark, 300)
+    copies = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(  # repeated ids too
+        docs.where("doc_id < 50").withColumn("text", F.concat("text", F.lit(" tail"))))
+    rows = [sorted(map(tuple, toxicity._samples(df, labels, F.lit(True), 20, 100).collect()), key=str)
+            for df in (copies, copies.repartition(7), copies.orderBy(F.desc("doc_id")).coalesce(1))]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 20
+    assert len({(text, positive) for _, text, positive in rows[0]}) == len(rows[0])
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     _, docs, labels = toxic_table(spark, 300)
     model = toxicity.fit(docs, labels, F.lit(True))
