@@ -32,14 +32,18 @@ def consultation_fact(staged: DataFrame, practitioner: Column | None = None,
 
 
 def deaths_by_day_and_region(bronze: DataFrame) -> DataFrame:
-    """Deaths per date text and region; rows are single deaths or, with ``nb_deces``, that many."""
+    """Deaths per date text and region; rows are single deaths or, with ``nb_deces``, that many.
+
+    Texts are counted as they come and conformed once each, not once per death.
+    """
     deaths = F.sum(F.coalesce(F.col("nb_deces").cast("bigint"), F.lit(1))) if "nb_deces" in bronze.columns else F.count(
         F.lit(1))
+    counted = bronze.groupBy("date_deces", "code_region").agg(deaths.alias("_n"))
     day, region = rules.date_text(F.col("date_deces")), rules.strip(F.col("code_region"))
-    counts = [c for c in bronze.columns if c == "nb_deces"]
-    return (bronze.select(day.alias("date_deces"), region.alias("code_region"), *counts)
-            .filter((F.length("date_deces") == 10) & (F.length("code_region") > 0))
-            .groupBy("date_deces", "code_region").agg(deaths.alias("nb_deces")))
+    # Naming the count keeps the tests above the aggregation.
+    usable = F.when(F.col("_n").isNotNull(), (F.length("date_deces") == 10) & (F.length("code_region") > 0))
+    return (counted.select(day.alias("date_deces"), region.alias("code_region"), "_n").filter(usable)
+            .groupBy("date_deces", "code_region").agg(F.sum("_n").alias("nb_deces")))
 
 
 def deaths_of_raw_rows(raw: DataFrame, day: str, place: str) -> DataFrame:
