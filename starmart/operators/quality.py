@@ -100,40 +100,71 @@ class Rules:
 def soundness(df: DataFrame, table: str, rules: Rules) -> DataFrame:
     """All checks of a table from one scan of it, in the rows that the single checks give.
 
-    Each row is stacked as the (rule, column, value) entries that it has to be counted under, and all
-    entries are counted together: summed before the one shuffle, so a hot key is one row per task there
-    and one row where it meets the dimensions, which are stacked as well.
+    The values of each key and reference are counted by grouping sets, summed before the one shuffle, so a
+    hot key is one row per task there and one row where it meets the dimensions. NULLs of a counted column
+    are the count of that value; those of other columns are counted along.
     """
     wanted = ([("min_rows", "row_count")] * (rules.minimum is not None)
               + [("unique_key", c) for c in rules.unique] + [("null_columns", c) for c in rules.not_null]
               + [("foreign_key", c) for c in rules.foreign])
-    entry = lambda check, name, value: F.struct(F.lit(check).alias("check"), F.lit(name).alias("metric"),
-                                                value.cast("string").alias("value"))
-    missing = [F.when(F.col(c).isNull(), entry("null_columns", c, F.lit(None))) for c in rules.not_null]
-    referring = [F.when(F.col(c).isNotNull(), entry("foreign_key", c, F.col(c))) for c in rules.foreign]
-    entries = F.array(entry("min_rows", "row_count", F.lit(None)),
-                      *[entry("unique_key", c, F.col(c)) for c in rules.unique], *missing, *referring)
-    counted = (df.select(F.explode(F.array_compact(entries)).alias("e"))
-               .groupBy("e.check", "e.metric", "e.value").agg(F.count(F.lit(1)).alias("held")))
-    if rules.foreign:
-        known = union_all([dimension.select(F.lit("foreign_key").alias("check"), F.lit(c).alias("metric"),
-                                            F.col(key).cast("string").alias("value"), F.lit(True).alias("known"))
-                           for c, (dimension, key) in rules.foreign.items()])
-        counted = counted.join(known, ["check", "metric", "value"], "left")
-    else:
-        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
-    of = lambda check, n: F.when(F.col("check") == check, n)
-    found = counted.groupBy("check", "metric").agg(F.sum(
-        F.coalesce(of("min_rows", F.col("held")), of("null_columns", F.col("held")),
-                   of("unique_key", (F.col("held") > 1).cast("long")),
-                   of("foreign_key", F.when(F.col("known").isNull(), F.col("held"))), F.lit(0))).alias("n"))
     if not wanted:
         return _rows(df.limit(0), "none", table, "none", F.lit(0), F.lit(0), F.lit(True))
-    rows = inline_table(df.sparkSession, wanted, ["check", "metric"])
-    n = F.coalesce("n", F.lit(0))
-    least = F.when(F.col("check") == "min_rows", F.lit(rules.minimum or 0)).otherwise(F.lit(0))
-    return _rows(rows.join(found, ["check", "metric"], "left"), F.col("check"), table, F.col("metric"), n, least,
-                 F.when(F.col("check") == "min_rows", n >= least).otherwise(n == 0))
+    keys = list(dict.fromkeys([*rules.unique, *rules.foreign]))
+    along = [c for c in rules.not_null if c not in keys]
+    counters = [F.count(F.lit(1)).alias("held"), *[F.count_if(F.col(c).isNull()).alias(f"_null{k}")
+                                                   for k, c in enumerate(along)]]
+    if keys:
+        numbered = df.select(*[F.col(c).alias(f"_key{k}") for k, c in enumerate(keys)], *along)
+        names = [f"_key{k}" for k in range(len(keys))]
+        counted = numbered.groupingSets([[name] for name in names], *names).agg(
+            *counters, *[(F.grouping(name) == 0).alias(f"_is{k}") for k, name in enumerate(names)])
+        of_key = lambda values: reduce(lambda rest, k: F.when(F.col(f"_is{k}"), values[k]).otherwise(rest),
+                                       range(len(keys)), F.lit(None))
+        summed = ["held", *[f"_null{k}" for k in range(len(along))]]
+        counted = counted.select(of_key([F.lit(k) for k in range(len(keys))]).alias("key"),
+                                 of_key([F.col(name).cast("string") for name in names]).alias("value"),
+                                 *summed, F.lit(False).alias("known"))
+        if rules.foreign:
+            known = union_all([dimension.select(F.lit(keys.index(c)).alias("key"), F.col(key).cast("string").alias("value"),
+                                                *[F.lit(0).cast("long").alias(name) for name in summed],
+                                                F.lit(True).alias("known"))
+                               for c, (dimension, key) in rules.foreign.items()])
+            counted = counted.unionByName(known).groupBy("key", "value").agg(
+                *[F.sum(name).alias(name) for name in summed], F.bool_or("known").alias("known"))
+        of = lambda c, n, also=F.lit(True): F.sum(F.when((F.col("key") == keys.index(c)) & also, n))
+        held, given = F.col("held"), F.col("value").isNotNull()
+        found = {("min_rows", "row_count"): of(keys[0], held)}
+        found |= {("unique_key", c): of(c, F.lit(1), held > 1) for c in rules.unique}
+        found |= {("null_columns", c): of(keys[0], F.col(f"_null{along.index(c)}")) if c in along else of(c, held, ~given)
+                  for c in rules.not_null}
+        found |= {("foreign_key", c): of(c, held, given & ~F.col("known")) for c in rules.foreign}
+    else:
+        counted = df.agg(*counters)
+        found = {("min_rows", "row_count"): F.sum("held")}
+        found |= {("null_columns", c): F.sum(f"_null{k}") for k, c in enumerate(along)}
+    totals = counted.agg(*[F.coalesce(found[rule], F.lit(0)).cast("long").alias(f"n{k}") for k, rule in enumerate(wanted)])
+    least = lambda check: rules.minimum if check == "min_rows" else 0
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(metric).alias("metric"), F.col(f"n{k}").alias("n"),
+                              F.lit(least(check)).cast("long").alias("least")) for k, (check, metric) in enumerate(wanted)])
+    n = F.col("r.n")
+    return _rows(totals.select(F.explode(rows).alias("r")), F.col("r.check"), table, F.col("r.metric"), n, F.col("r.least"),
+                 F.when(F.col("r.check") == "min_rows", n >= F.col("r.least")).otherwise(n == 0))
+
+
+_PART_BITS = 22  # of a hash: sums of parts stay longs, up to 2^41 rows
+
+
+def _parts(h: Column) -> list[Column]:
+    """A hash as three numbers, the highest signed."""
+    low = F.lit((1 << _PART_BITS) - 1)
+    return [h.bitwiseAND(low), F.shiftright(h, _PART_BITS).bitwiseAND(low), F.shiftright(h, 2 * _PART_BITS)]
+
+
+def _whole(sums: list[Column]) -> Column:
+    """The exact sum of hashes from the sums of their parts: decimal arithmetic once, not for every row."""
+    low, middle, high = (c.cast("decimal(20,0)") for c in sums)
+    factor = lambda n: F.lit(1 << n * _PART_BITS).cast(f"decimal({8 * n},0)")
+    return (high * factor(2) + middle * factor(1) + low).cast("decimal(38,0)").cast("string")
 
 
 def _told(df: DataFrame, column: str) -> Column:
@@ -152,21 +183,36 @@ def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) ->
 
     It tells contents, not their order: the rows' hashes are added up and joined by exclusive or, so
     tables of any partitioning compare, and swapped, changed, lost or doubled values show, per column
-    too. The row ``*`` hashes whole rows. One scan, one row per task shuffled. Sixty bits of an md5 each.
+    too. The row ``*`` hashes whole rows. Sixty bits of an md5 each. One scan: whole rows are hashed there,
+    the values of each column are counted by grouping sets and each different one is hashed once.
     """
     columns = columns or df.columns
-    told = {c: _told(df, c) for c in columns}
-    told["*"] = F.concat_ws("|", *told.values())
-    hashed = df.select(*[F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint").alias(f"h{k}")
-                         for k, text in enumerate(told.values())])
-    added = hashed.agg(F.count(F.lit(1)).alias("n"), *[
-        f(F.col(f"h{k}").cast(kind)).alias(f"{name}{k}") for k in range(len(told))
-        for name, f, kind in (("s", F.sum, "decimal(20,0)"), ("x", F.bit_xor, "bigint"))])
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"s{k}"), F.lit(0).cast("decimal(30,0)"))
-                              .cast("string").alias("hash_sum"), F.coalesce(F.col(f"x{k}"), F.lit(0).cast("bigint"))
-                              .alias("hash_xor")) for k, c in enumerate(told)])
-    return added.select("n", F.explode(rows).alias("r")).select(
-        F.lit(table).alias("table_name"), "r.column_name", F.col("n").alias("nb_lignes"), "r.hash_sum", "r.hash_xor")
+    told = [_told(df, c) for c in columns]
+    hashed = lambda text: F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    names = [f"t{k}" for k in range(len(columns))]
+    values = df.select(*[text.alias(name) for text, name in zip(told, names)], hashed(F.concat_ws("|", *told)).alias("row"))
+    counted = values.groupingSets([[name] for name in names], *names).agg(
+        F.count(F.lit(1)).alias("held"), *[F.sum(part).alias(f"r{j}") for j, part in enumerate(_parts(F.col("row")))],
+        F.bit_xor("row").alias("rx"), *[(F.grouping(name) == 0).alias(f"is_{name}") for name in names])
+    key, text = F.lit(None), F.lit(None)
+    for k, name in enumerate(names):
+        key, text = F.when(F.col(f"is_{name}"), k).otherwise(key), F.when(F.col(f"is_{name}"), F.col(name)).otherwise(text)
+    counted = counted.select(key.alias("key"), hashed(text).alias("h"), "held", "r0", "r1", "r2", "rx")
+    added = counted.groupBy("key").agg(
+        F.sum("held").alias("n"), *[F.sum(F.col("held") * part).alias(f"s{j}") for j, part in enumerate(_parts(F.col("h")))],
+        F.bit_xor(F.when(F.col("held") % 2 == 1, F.col("h"))).alias("x"),
+        *[F.sum(f"r{j}").alias(f"r{j}") for j in range(3)], F.bit_xor("rx").alias("rx"))
+    entry = lambda name, letter, xor: F.struct(name.alias("column_name"), _whole([F.col(f"{letter}{j}") for j in range(3)])
+                                               .alias("hash_sum"), F.col(xor).alias("hash_xor"))
+    # Every key's groups hold all rows, so the first one tells the whole rows' sums.
+    entries = F.array_compact(F.array(
+        entry(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("key") + 1), "s", "x"),
+        F.when(F.col("key") == 0, entry(F.lit("*"), "r", "rx"))))
+    found = added.select("n", F.explode(entries).alias("r")).select("n", "r.*")
+    wanted = inline_table(df.sparkSession, [(c,) for c in [*columns, "*"]], ["column_name"])
+    return wanted.join(found, "column_name", "left").select(
+        F.lit(table).alias("table_name"), "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("nb_lignes"),
+        F.coalesce("hash_sum", F.lit("0")).alias("hash_sum"), F.coalesce("hash_xor", F.lit(0)).cast("bigint").alias("hash_xor"))
 
 
 def fingerprint_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -177,9 +223,9 @@ def fingerprint_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """
     marked = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
     return (df.select(key, F.xxhash64(*marked).alias("_hash")).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("nb_lignes"),
-                 F.sum(F.col("_hash").cast("decimal(20,0)")).cast("string").alias("hash_sum"),
-                 F.bit_xor("_hash").alias("hash_xor")))
+            .agg(F.count(F.lit(1)).alias("nb_lignes"), F.bit_xor("_hash").alias("hash_xor"),
+                 *[F.sum(part).alias(f"_s{j}") for j, part in enumerate(_parts(F.col("_hash")))])
+            .select(key, "nb_lignes", _whole([F.col(f"_s{j}") for j in range(3)]).alias("hash_sum"), "hash_xor"))
 
 
 def same_contents(copy: DataFrame, original: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:

@@ -79,3 +79,39 @@ def test_deaths_are_conformed_after_they_are_counted(rows):
     assert values(facts.deaths_by_day_and_region(bronze.drop("nb_deces")))[0] == ("2020-01-01", "84", 2)
     below = plan(counted)
     assert below.rindex("HashAggregate") > below.rindex("btrim") if "btrim" in below else "rlike" not in below
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_checks_count_values_by_grouping_sets(spark, rows, few):
+    dimension = rows("k string", ("1",), ("1",), ("2",), (None,))
+    days = rows("d int", (20200101,), (20200102,))
+    table = rows("id long, k string, d int, v double", (1, "1", 20200101, 0.5), (1, "1", 20200103, None), (None, None, None, None),
+                 (2, "9", 20200102, 1.0), (None, "9", 20200102, None))
+    table = table.limit(0) if few else table
+    checked = quality.soundness(table, "t", quality.Rules(
+        minimum=2, unique=("id",), not_null=("k", "v", "id"), foreign={"k": (dimension, "k"), "d": (days, "d")}))
+    found = {(r.check_name, r.metric_name): (int(r.metric_value), r.passed) for r in checked.collect()}
+    wanted = {("min_rows", "row_count"): 5, ("unique_key", "id"): 2, ("null_columns", "k"): 1, ("null_columns", "v"): 3,
+              ("null_columns", "id"): 2, ("foreign_key", "k"): 2, ("foreign_key", "d"): 1}
+    if few:
+        wanted = dict.fromkeys(wanted, 0)
+    assert found == {rule: (n, n >= 2 if rule[0] == "min_rows" else n == 0) for rule, n in wanted.items()}
+    assert few or ("Expand" in plan(checked) and "array_compact" not in logical(checked) and "filter(array" not in logical(checked))
+    plain = quality.soundness(table, "t", quality.Rules(not_null=("k",)))
+    assert [int(r.metric_value) for r in plain.collect()] == [0 if few else 1]
+
+
+def test_fingerprints_hash_each_value_once(rows):
+    data = [(i % 3 or None, "é|", i / 4) for i in range(40)]
+    table = rows("a int, b string, c double", *data)
+    told = [("\\N" if a is None else str(a), b, f"{c:.6f}") for a, b, c in data]
+    hashed = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    wanted = {}
+    for name, texts in zip("abc*", [*zip(*told), ["|".join(t) for t in told]]):
+        exclusive = 0
+        for text in texts:
+            exclusive ^= hashed(text)
+        wanted[name] = (40, str(sum(map(hashed, texts))), exclusive)
+    found = quality.fingerprint(table, "t")
+    assert {r.column_name: (r.nb_lignes, r.hash_sum, r.hash_xor) for r in found.collect()} == wanted
+    assert "Expand" in plan(found)
