@@ -268,7 +268,7 @@ def build(run: Run, sources: Sources, mode: str = STANDARD,
 
     # Range partitions on the day leave one or two years per task, so few files per year folder.
     _write_fact(run, "fait_consultation", facts.consultation_fact(stg), facts.CONSULTATION_ORDER, published,
-                is_plain_scan=True)
+                is_plain_scan=True, by_day=True)
     if extended:
         _write_fact(run, "fait_deces", facts.deaths_fact(deaths, geo), ["id_temps", "id_geo"], published,
                     is_unique=True)

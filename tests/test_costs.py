@@ -115,3 +115,22 @@ def test_fingerprints_hash_each_value_once(rows):
     found = quality.fingerprint(table, "t")
     assert {r.column_name: (r.nb_lignes, r.hash_sum, r.hash_xor) for r in found.collect()} == wanted
     assert "Expand" in plan(found)
+
+
+def test_ids_by_day_need_no_copy_of_the_rows(spark, rows, monkeypatch):
+    labels = []
+    monkeypatch.setattr(ids, "stored", lambda df, label="stored": labels.append(label) or stored(df, label))
+    rng = random.Random(2)
+    data = [(rng.choice([None, *range(20200101, 20200121)]), rng.choice("ab"), i % 2) for i in range(400)]
+    table = stored(rows("day int, who string, x int", *data))
+    last = lambda row: [(v is None, v) for v in row[:2]]
+    for scattered in (table, table.where("day > 20200105"), table.limit(0)):
+        numbered = ids.dense_ids(scattered, ["day", "who"], "id", start=5, partitions=6, is_plain_scan=True, by_day=True).collect()
+        numbered.sort(key=lambda r: r.id)
+        assert [r.id for r in numbered] == list(range(5, 5 + scattered.count()))
+        assert [last(r[1:]) for r in numbered] == sorted(last(r[1:]) for r in numbered)
+        assert sorted(map(repr, (tuple(r[1:]) for r in numbered))) == sorted(map(repr, map(tuple, scattered.collect())))
+    assert set(labels) == {"days"}
+    hot = stored(rows("day int, who string, x int", *[(20200101, "a", 0)] * 300, *data[:30]))
+    numbered = ids.dense_ids(hot, ["day", "who"], "id", partitions=6, is_plain_scan=True, by_day=True)
+    assert sorted(r.id for r in numbered.collect()) == list(range(1, 331)) and labels[-1] == "placed"
