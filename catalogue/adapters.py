@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import dimensions as dims
 from starmart.operators import facts, staging
-from starmart.session import empty_table, tuned
+from starmart.session import empty_table, stored, tuned
 from starmart.sources import feeds, relational
 
 # Region codes given to nations 0..24: two repeat with another label, some are padded or unusable.
@@ -311,6 +311,13 @@ class Tables:
     def fact_stays(self, count_days: bool = False) -> DataFrame:
         return facts.hospitalisation_fact(self.stay_text(), self.dim_calendar(), count_days)
 
+    def settle(self) -> Tables:
+        """Write down the staged feeds and the calendar, for queries of several gold tables built from them:
+        each feed is then parsed once, not once per table."""
+        for table in ("staged_deaths", "staged_surveys", "dim_calendar"):
+            self.built[(table,)] = stored(getattr(self, table)())
+        return self
+
     def star(self) -> "LazyStar":
         return LazyStar(self)
 

@@ -251,7 +251,7 @@ def _staged(t: Tables) -> dict[str, DataFrame]:
 @query
 def a19_gold_export(t: Tables) -> DataFrame:
     """Rows and contents read back from each exported folder."""
-    folder, gold = new_folder(t.spark, "export"), _gold(t)
+    folder, gold = new_folder(t.spark, "export"), _gold(t.settle())
     names = sinks.export_csv(gold, folder)
     return _contents({n: sinks.read_export(t.spark, folder, n, gold[n].schema) for n in names})
 
@@ -767,7 +767,7 @@ def h04_domain_rules(t: Tables) -> DataFrame:
 @query
 def h04_not_null_and_status(t: Tables) -> DataFrame:
     """Every NOT NULL of the mart's tables, and the status of logged runs."""
-    root, tables = new_folder(t.spark, "mart"), {**_gold(t), "fait_hospitalisation": t.fact_stays()}
+    root, tables = new_folder(t.spark, "mart"), {**_gold(t.settle()), "fait_hospitalisation": t.fact_stays()}
     mart.rebuild(t.spark, mart_sources(t), root, mart.STANDARD)
     log = t.spark.read.schema(quality.RUN_LOG_SCHEMA).parquet(f"{root}/audit/etl_run_log")
     status = quality.rule_violations(log, "etl_run_log", {
@@ -780,7 +780,7 @@ def h04_not_null_and_status(t: Tables) -> DataFrame:
 @query
 def h05_checks_in_one_scan(t: Tables) -> DataFrame:
     """Rows, keys, NULLs and foreign keys of the mart's tables, each table scanned once."""
-    tables = {name: stored(df) for name, df in {**_gold(t), "fait_hospitalisation": t.fact_stays()}.items()}
+    tables = {name: stored(df) for name, df in {**_gold(t.settle()), "fait_hospitalisation": t.fact_stays()}.items()}
     return quality.union_all([quality.soundness(table, name, quality.Rules(
         minimum=1, unique=(mart.PRIMARY_KEYS[name],) if name in mart.PRIMARY_KEYS else (),
         not_null=tuple(mart.NOT_NULL.get(name, ())),
@@ -791,7 +791,7 @@ def h05_checks_in_one_scan(t: Tables) -> DataFrame:
 @query
 def h05_referential_integrity(t: Tables) -> DataFrame:
     """Every foreign key of the mart. Tables are written once; each key then reads its own column."""
-    tables = {name: stored(df) for name, df in {**_gold(t), "fait_hospitalisation": t.fact_stays()}.items()}
+    tables = {name: stored(df) for name, df in {**_gold(t.settle()), "fait_hospitalisation": t.fact_stays()}.items()}
     return quality.union_all([
         quality.orphans(tables[name], name, column, tables[dimension], mart.PRIMARY_KEYS[dimension])
         for name, keys in mart.FOREIGN_KEYS.items() for column, dimension in keys.items()])

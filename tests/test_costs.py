@@ -134,3 +134,13 @@ def test_ids_by_day_need_no_copy_of_the_rows(spark, rows, monkeypatch):
     hot = stored(rows("day int, who string, x int", *[(20200101, "a", 0)] * 300, *data[:30]))
     numbered = ids.dense_ids(hot, ["day", "who"], "id", partitions=6, is_plain_scan=True, by_day=True)
     assert sorted(r.id for r in numbered.collect()) == list(range(1, 331)) and labels[-1] == "placed"
+
+
+def test_settled_feeds_are_parsed_once(spark):
+    t = Tables(spark, SF)
+    fresh = values(Tables(spark, SF).dim_calendar())
+    assert "events.parquet" in plan(t.dim_calendar())
+    t.settle()
+    assert values(t.dim_calendar()) == fresh
+    for table in (t.dim_calendar(), t.fact_satisfaction(), t.fact_deaths(), t.fact_stays()):
+        assert "events.parquet" not in plan(table) and "lineitem.parquet" not in plan(table)
