@@ -1,22 +1,25 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Method: a token is served in the restaurant of its context (a class of the token before it, of classes
-that grow with the text); all
-context restaurants share a parent, which sends to a uniform base over the known tokens and one unknown.
-Seating is sampled by Gibbs sweeps: in a sweep every dish of every restaurant is reseated as a block by
-the Chinese restaurant process, given the other dishes' and the restaurants' totals of the last sweep.
-Predictive probabilities are averaged over the sweeps after the burn-in.
-
-How it runs: tasks turn chunks of documents into counts of (token, document, context), cut into buckets
-of tokens by a hash, so one shuffle brings all counts of a token together; a bucket holds its share of
-the vocabulary. Sweeps run per bucket on counts alone and exchange totals, a few numbers per context.
-Scores go back to the chunks as sums per document. A frequent token is one entry per document and
-context, however often it occurs.
+Method: a token is served in the restaurant of its context, the token before it (the end of a text, where a
+text starts); all context restaurants share a parent, which sends to a uniform base over the known tokens and
+one unknown. Seating is sampled by Gibbs sweeps: in a sweep every dish of every restaurant is reseated as a
+block by the Chinese restaurant process, given the other dishes' and the restaurants' totals of the last
+sweep. Predictive probabilities are averaged over the sweeps after the burn-in.
+
+How it runs: tasks turn chunks of documents into counts of (token, context) and of the documents that have
+them, cut into buckets of tokens by a hash; they are shuffled once and kept by bucket, for training and for
+scoring. A bucket holds its share of the vocabulary, and the contexts that its tokens come in. Sweeps run
+per bucket on counts alone. A context's tokens lie in many buckets, so its tables are added up between them
+in every sweep: contexts are dealt into groups, a bucket sends its tables of a group's contexts as bare
+numbers, in an order that the group's directory knows, and gets the sums back in that order. Only totals
+over all contexts reach the driver. Scores go back to the chunks as sums per document. A frequent pair of
+tokens is one entry per document, however often it occurs.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import lean_batches, plain_words, text_slices
-from starmart.session import stored
+from starmart.session import new_folder
 
-CONTEXTS = 64  # classes of contexts for CONTEXT_BYTES of text and less; they grow with the text's cube root
+CONTEXTS = 64  # groups of contexts for CONTEXT_BYTES of text and less; they grow with the text's cube root
 CONTEXT_BYTES = 16 << 20
 CHUNK_BYTES = 12 << 20  # of text; a longer document is a chunk of its own
 BUCKET_BYTES = 32 << 20  # of text per bucket
@@ -40,6 +43,7 @@ SAMPLES = 3
 STRENGTH = 1.0
 END = b""  # no word is empty
 OTHERS = 6  # totals that don't belong to a context
+MOST_FILES = 100_000  # Spark's limit of buckets of a table
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 
@@ -61,72 +65,98 @@ def _batch(rows: list[tuple], names: tuple[str, ...], types: tuple) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], list(names))
 
 
+def _joined(words: list[bytes]) -> bytes:
+    """At least one word as one value; no word holds white space."""
+    return b"\n".join(words)
+
+
+def _numbered(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
+    """The words' numbers; new ones get the next."""
+    return np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+
+
+def stored_by(df: DataFrame, key: str, files: int, label: str, deal: bool = True) -> DataFrame:
+    """Like ``stored``, as a table in buckets of ``key``: what groups by it reads it without a shuffle.
+    ``deal`` is False for rows that lie together by key already."""
+    spark, name, files = df.sparkSession, f"starmart_{uuid.uuid4().hex}", min(files, MOST_FILES)
+    (df.repartition(files, key) if deal else df).write.bucketBy(files, key).option(
+        "path", new_folder(spark, label)).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def contexts_for(text_bytes: int) -> int:
-    """How many classes the contexts of so much text have.
+    """How many groups the contexts of so much text are dealt into.
 
-    Each task sends a number per class in each sweep, so full contexts would send as much as the text has
-    different pairs of tokens; a cube root of the text stays small against it at any size.
+    Each bucket sends a row per group in each sweep, so rows stay few against the text at any size.
     """
     return max(CONTEXTS, int(CONTEXTS * (text_bytes / CONTEXT_BYTES) ** (1 / 3)))
 
 
-def context_of(word: bytes, contexts: int = CONTEXTS) -> int:
-    """The class of a token as context, from its last three bytes; 0 is the start of a text."""
-    return 1 + zlib.crc32(word[-3:]) % (contexts - 1)
-
-
 class Chunk:
     """Tokens of some documents, to be cut into counts per bucket."""
 
-    def __init__(self, buckets: int, contexts: int = CONTEXTS) -> None:
-        self.buckets, self.contexts, self.numbers = buckets, contexts, {}
+    def __init__(self, buckets: int) -> None:
+        self.buckets, self.numbers = buckets, {}
         self.docs: list[tuple] = []  # (doc_id, held_out, tokens)
         self.tokens: list[np.ndarray] = []
         self.bytes = 0
 
     def add(self, doc_id, held_out: bool, text: bytes) -> None:
-        words, numbers = plain_words(text.lower()), self.numbers
+        words = plain_words(text.lower())
         words.append(END)
-        self.tokens.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words)))
+        self.tokens.append(_numbered(words, self.numbers))
         self.docs.append((doc_id, held_out, len(words)))
         self.bytes += len(text)
 
-    def cut(self) -> Iterator[tuple[int, bytes]]:
-        """(bucket, packed counts), and under -1 the documents themselves."""
-        yield -1, _pack(self.docs)
-        words = list(self.numbers)
+    def cut(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """(bucket, packed pairs of token and context, packed documents of each pair), and under -1 the
+        documents themselves."""
+        yield -1, _pack(self.docs), b""
+        words = sorted(self.numbers)
+        rank = np.empty(len(words), np.int64)
+        rank[_numbered(words, self.numbers)] = np.arange(len(words))
         bucket = np.array([zlib.crc32(w) % self.buckets for w in words], np.int64)
         order = np.argsort(bucket, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        contexts = self.contexts
-        classes = np.array([context_of(w, contexts) for w in words], np.int64)
-        flat = np.concatenate(self.tokens)
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        flat = rank[np.concatenate(self.tokens)]
         lengths = np.array([len(t) for t in self.tokens])
-        before = np.empty_like(flat)
-        before[1:] = classes[flat[:-1]]
-        before[np.cumsum(lengths) - lengths] = 0
+        before = np.empty_like(flat)  # a text starts after an end
+        before[1:] = flat[:-1]
+        before[0] = rank[self.numbers[END]]
+        pairs, pair = np.unique(place[flat] * len(words) + before, return_inverse=True)
         doc = np.repeat(np.arange(len(lengths)), lengths)
-        keys, counts = np.unique((rank[flat] * len(lengths) + doc) * contexts + before, return_counts=True)
-        context, keys = keys % contexts, keys // contexts
-        doc, token = keys % len(lengths), keys // len(lengths)
+        keys, times = np.unique(pair * len(lengths) + doc, return_counts=True)
+        del flat, before, pair, doc
+        pair, doc = keys // len(lengths), keys % len(lengths)
+        token, context = pairs // len(words), pairs % len(words)
         train = np.array([not held for _, held, _ in self.docs])
+        learnt = np.bincount(pair, times * train[doc], len(pairs)).astype(np.int64)
         edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         for number in np.flatnonzero(np.diff(edges)):
             first, last = edges[number], edges[number + 1]
-            at = slice(*np.searchsorted(token, [first, last]))
-            each = np.bincount(token[at] - first, minlength=last - first)
-            yield int(number), _pack(([words[k] for k in order[first:last]], _small(each), _small(doc[at]),
-                                      _small(context[at]), _small(counts[at]), train))
-
-
-def counted(docs: DataFrame, held_out: Column, buckets: int, chunk_bytes: int = CHUNK_BYTES,
-            contexts: int = CONTEXTS) -> DataFrame:
-    """(bucket, chunk, data) of all documents."""
-    names, types = ("bucket", "chunk", "data"), (pa.int32(), pa.int64(), pa.binary())
+            low, high = np.searchsorted(token, [first, last])
+            used, which = np.unique(context[low:high], return_inverse=True)
+            at = slice(*np.searchsorted(pair, [low, high]))
+            yield (int(number),
+                   _pack((_joined([words[k] for k in order[first:last]]), _joined([words[k] for k in used]),
+                          _small(np.bincount(token[low:high] - first, minlength=last - first)),
+                          _small(which), _small(learnt[low:high]))),
+                   _pack((_small(np.bincount(pair[at] - low, minlength=high - low)), _small(doc[at]),
+                          _small(times[at]), len(lengths))))
+
+
+def counted(docs: DataFrame, held_out: Column, buckets: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(bucket, chunk, pairs, entries) of all documents; the documents themselves stand under buckets below 0."""
+    names, types = ("bucket", "chunk", "pairs", "entries"), (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def rows(chunk: Chunk, number: int) -> Iterator[pa.RecordBatch]:
+        own = -1 - zlib.crc32(b"%d" % number) % buckets
+        for bucket, pairs, entries in chunk.cut():
+            yield _batch([(bucket if bucket >= 0 else own, number, pairs, entries)], names, types)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, chunk = TaskContext.get().partitionId() << 32, Chunk(buckets, contexts)
+        number, chunk = TaskContext.get().partitionId() << 32, Chunk(buckets)
         for batch in batches:
             flags = batch.column(2).to_pylist()
             at = 0
@@ -135,13 +165,13 @@ def counted(docs: DataFrame, held_out: Column, buckets: int, chunk_bytes: int =
                     chunk.add(doc_id, flags[at], text)
                     at += 1
                     if chunk.bytes >= chunk_bytes:
-                        yield from (_batch([(b, number, data)], names, types) for b, data in chunk.cut())
-                        number, chunk = number + 1, Chunk(buckets, contexts)
+                        yield from rows(chunk, number)
+                        number, chunk = number + 1, Chunk(buckets)
         if chunk.docs:
-            yield from (_batch([(b, number, data)], names, types) for b, data in chunk.cut())
+            yield from rows(chunk, number)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out).mapInArrow(
-        cut, "bucket int, chunk long, data binary")
+        cut, "bucket int, chunk long, pairs binary, entries binary")
 
 
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -175,20 +205,23 @@ class Bucket:
 
 
 class Totals:
-    """What buckets need to know of each other: ``Bucket.totals`` summed."""
+    """What buckets need to know of each other: ``Bucket.totals`` summed. Where these are of some contexts
+    only, ``sent`` is the number of tables of all."""
 
-    def __init__(self, sums: np.ndarray, discounts: tuple[float, float] | None = None) -> None:
+    def __init__(self, sums: np.ndarray, discounts: tuple[float, float] | None = None,
+                 sent: float | None = None) -> None:
         n = (len(sums) - OTHERS) // 2
         self.customers, self.tables = sums[:n].astype(float), sums[n:2 * n].astype(float)
         self.words, self.parent_tables, *ones = (float(x) for x in sums[2 * n:])
         estimate = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two) if one else 0.5))
         self.discount, self.parent_discount = discounts or (estimate(*ones[:2]), estimate(*ones[2:]))
         self.base = 1 / (self.words + 1)
+        self.sent = self.tables.sum() if sent is None else float(sent)
 
     def parent(self, sent: np.ndarray, parents: np.ndarray) -> np.ndarray:
         """The parent's predictive probability of tokens with so many customers and tables there."""
         spare = (STRENGTH + self.parent_discount * self.parent_tables) * self.base
-        return (np.maximum(sent - self.parent_discount * parents, 0) + spare) / (STRENGTH + self.tables.sum())
+        return (np.maximum(sent - self.parent_discount * parents, 0) + spare) / (STRENGTH + self.sent)
 
     def spare(self, context: np.ndarray) -> np.ndarray:
         """What a context's restaurant leaves to new tables, times its strength and customers."""
@@ -232,62 +265,176 @@ def sweep(bucket: Bucket, totals: Totals, keep: bool, seed: list[int]) -> Bucket
     return Bucket(bucket.words, bucket.types, bucket.counts, tables, parents, samples, bucket.contexts)
 
 
-def _merge(parts: Iterator[bytes], contexts: int = CONTEXTS) -> Bucket:
+def _merge(parts: Iterator[bytes]) -> tuple[Bucket, list[bytes]]:
+    """A bucket of all its parts, each type at one table, and the contexts of its tokens, sorted; contexts
+    of held-out documents alone are among them."""
     numbers: dict[bytes, int] = {}
+    found: dict[bytes, int] = {}
     keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for data in parts:
-        words, each, doc, context, count, train = _unpack(data)
-        token = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-        use = train[doc]
-        key, at = np.unique(np.repeat(token, each)[use] * contexts + context[use], return_inverse=True)
-        keys.append(key)
-        counts.append(np.bincount(at, count[use], len(key)).astype(np.int64))
-    types, at = np.unique(np.concatenate(keys), return_inverse=True)
+        words, names, each, context, learnt = _unpack(data)
+        token, name = _numbered(words.split(b"\n"), numbers), _numbered(names.split(b"\n"), found)
+        use = learnt > 0
+        keys.append(np.repeat(token, each)[use] << 32 | name[context][use])
+        counts.append(learnt[use].astype(np.int64))
+    names = sorted(found)
+    place = np.empty(len(names), np.int64)
+    place[_numbered(names, found)] = np.arange(len(names))
+    keys = np.concatenate(keys)
+    types, at = np.unique((keys >> 32) * len(names) + place[keys & 0xFFFFFFFF], return_inverse=True)
     summed = np.bincount(at, np.concatenate(counts), len(types)).astype(np.int64)
-    seen, token = np.unique(types // contexts, return_inverse=True)
+    seen, token = np.unique(types // len(names), return_inverse=True)
     listed = list(numbers)
-    ones = np.ones(len(types), np.int64)
-    return Bucket([listed[k] for k in seen], token * contexts + types % contexts, summed, ones,
-                  np.ones(len(seen), np.int64), [], contexts)
+    return Bucket([listed[k] for k in seen], token * len(names) + types % len(names), summed,
+                  np.ones(len(types), np.int64), np.ones(len(seen), np.int64), [], len(names)), names
+
+
+# Rows of the training: of a bucket its ``types``, fixed, and its ``seats``; of a bucket and a group of
+# contexts the contexts' ``names``, and how many ``tables`` they have.
+_STATE = ("kind string, bucket int, grp int, data binary, totals array<long>",
+          ("kind", "bucket", "grp", "data", "totals"),
+          (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())))
+_SUMS = ("bucket int, grp int, data binary", ("bucket", "grp", "data"), (pa.int32(), pa.int32(), pa.binary()))
+
 
+def _table(rows: list[tuple], columns: tuple) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, *columns[1:])])
 
-_STATE = ("bucket int, state binary, totals array<long>", ("bucket", "state", "totals"),
-          (pa.int32(), pa.binary(), pa.list_(pa.int64())))
+
+def _rows(table: pa.Table, *columns: str) -> Iterator[tuple]:
+    return zip(*(table.column(c).to_pylist() for c in columns))
 
 
-def _merged(parts: DataFrame, contexts: int) -> DataFrame:
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, last = _by_key(batches), None
-        row = next(rows, None)
-        while row is not None:
-            last = row[0]
+def _grouped(names: list[bytes], groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each group's contexts."""
+    group = np.array([zlib.crc32(w) % groups for w in names], np.int64)
+    order = np.argsort(group, kind="stable")
+    found, starts = np.unique(group[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]))
 
-            def same():
-                nonlocal row
-                while row is not None and row[0] == last:
-                    yield row[1]
-                    row = next(rows, None)
 
-            made = _merge(same(), contexts)
-            yield _batch([(last, _pack(made), made.totals().tolist())], *_STATE[1:])
+def _types(bucket: Bucket, names: list[bytes], groups: int) -> bytes:
+    n = bucket.contexts
+    return _pack((bucket.words, _joined(names), _small(np.bincount(bucket.types // n, minlength=len(bucket.words))),
+                  _small(bucket.types % n), _small(bucket.counts), [(g, _small(at)) for g, at in _grouped(names, groups)]))
 
-    return (parts.where("bucket >= 0").select("bucket", "data").repartition("bucket")
-            .sortWithinPartitions("bucket").mapInArrow(merge, _STATE[0]))
 
+def _seats(bucket: Bucket) -> bytes:
+    return _pack((_small(bucket.tables), _small(bucket.parents), bucket.samples))
 
-def _swept(state: DataFrame, totals: Totals, number: int, keep: bool, seed: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, data in _by_key(batches):
-            made = sweep(_unpack(data), totals, keep, [seed, number, bucket])
-            yield _batch([(bucket, _pack(made), made.totals().tolist())], *_STATE[1:])
 
-    return state.select("bucket", "state").mapInArrow(run, _STATE[0])
+def _seated(types: bytes, seats: bytes) -> tuple[Bucket, list[bytes], list[tuple[int, np.ndarray]]]:
+    """A bucket, its contexts, and their places by group."""
+    words, names, each, context, counts, groups = _unpack(types)
+    tables, parents, samples = _unpack(seats)
+    names = names.split(b"\n")
+    return Bucket(words, np.repeat(np.arange(len(words)), each) * len(names) + context, counts.astype(np.int64),
+                  tables.astype(np.int64), parents.astype(np.int64), samples, len(names)), names, groups
 
 
-def _summed(state: DataFrame, contexts: int) -> np.ndarray:
-    """The buckets' totals added up; the driver gets as many numbers as one bucket has."""
-    rows = (state.select(F.posexplode("totals").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect())
-    found = np.zeros(2 * contexts + OTHERS, np.int64)
+def _changing(number: int, bucket: Bucket, groups: list[tuple[int, np.ndarray]]) -> Iterator[tuple]:
+    """The rows that each sweep makes anew."""
+    n, sums = bucket.contexts, bucket.totals()
+    customers, tables = sums[:n], sums[n:2 * n]
+    yield "seats", number, -1, _seats(bucket), [int(customers.sum()), int(tables.sum()), *sums[2 * n:].tolist()]
+    for group, at in groups:
+        yield "tables", number, group, _pack(_small(tables[at])), None
+
+
+def _merged(parts: DataFrame, groups: int) -> DataFrame:
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = key[0].as_py()
+        made, names = _merge(data for _, data in _by_key(batches))
+        dealt, customers = list(_grouped(names, groups)), made.totals()[:made.contexts]
+        yield _batch([("types", number, -1, _types(made, names, groups), None)], *_STATE[1:])
+        for row in _changing(number, made, dealt):
+            yield _batch([row], *_STATE[1:])
+        for group, at in dealt:
+            yield _batch([("names", number, group, _pack((_joined([names[k] for k in at]), _small(customers[at]))),
+                           None)], *_STATE[1:])
+
+    return parts.where("bucket >= 0").select("bucket", "pairs").groupBy("bucket").applyInArrow(merge, _STATE[0])
+
+
+def _directory(state: DataFrame) -> DataFrame:
+    """Of each group of contexts, which of them each bucket has, in the bucket's order, and all customers."""
+    def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[bytes, int] = {}
+        found, counts = {}, []
+        for bucket, _, data in _by_key(batches):
+            names, customers = _unpack(data)
+            found[bucket] = _numbered(names.split(b"\n"), numbers)
+            counts.append(customers.astype(np.int64))
+        total = np.bincount(np.concatenate(list(found.values())), np.concatenate(counts), len(numbers)).astype(np.int64)
+        yield _batch([(-1, key[0].as_py(), _pack(({b: _small(at) for b, at in found.items()}, _small(total))))],
+                     *_SUMS[1:])
+
+    return state.where("kind = 'names'").select("bucket", "grp", "data").groupBy("grp").applyInArrow(build, _SUMS[0])
+
+
+def _summed_tables(directory: DataFrame, sent: list[DataFrame], customers: bool = False) -> DataFrame:
+    """What each bucket gets back for a group's contexts: their tables, by each of ``sent``, and first, if
+    asked for, their customers."""
+    number = len(sent)
+
+    def add(key: tuple[pa.Scalar, ...], known: pa.Table, tables: pa.Table) -> pa.Table:
+        places, total = _unpack(known.column("data")[0].as_py())
+        sums = [np.zeros(len(total), np.int64) for _ in range(number)]
+        for bucket, data, which in _rows(tables, "bucket", "data", "which"):
+            sums[which][places[bucket]] += _unpack(data)
+        if customers:
+            sums.insert(0, total)
+        return _table([(b, key[0].as_py(), _pack([_small(x[at]) for x in sums])) for b, at in places.items()], _SUMS)
+
+    rows = [s.where("kind = 'tables'").select("bucket", "grp", "data", F.lit(k).alias("which"))
+            for k, s in enumerate(sent)]
+    every = rows[0]
+    for more in rows[1:]:
+        every = every.unionByName(more)
+    return directory.groupBy("grp").cogroup(every.groupBy("grp")).applyInArrow(add, _SUMS[0])
+
+
+def _placed(got: pa.Table, groups: list[tuple[int, np.ndarray]], contexts: int) -> list[np.ndarray]:
+    """The sums of ``_summed_tables`` for each context of a bucket."""
+    found = {g: _unpack(data) for kind, g, data in _rows(got, "kind", "grp", "data") if kind == "sums"}
+    out = [np.zeros(contexts, np.int64) for _ in next(iter(found.values()))]
+    for group, at in groups:
+        for total, part in zip(out, found[group]):
+            total[at] = part
+    return out
+
+
+def _only(table: pa.Table, kind: str) -> bytes:
+    return next(data for k, data in _rows(table, "kind", "data") if k == kind)
+
+
+def _received(*rows: DataFrame) -> DataFrame:
+    """(kind, bucket, grp, data) of what a bucket gets."""
+    every = [r if "kind" in r.columns else r.withColumn("kind", F.lit("sums")) for r in rows]
+    out = every[0].select("kind", "bucket", "grp", "data")
+    for more in every[1:]:
+        out = out.unionByName(more.select("kind", "bucket", "grp", "data"))
+    return out
+
+
+def _swept(types: DataFrame, state: DataFrame, sums: DataFrame, shared: np.ndarray, discounts: tuple[float, float],
+           number: int, keep: bool, seed: int) -> DataFrame:
+    def run(key: tuple[pa.Scalar, ...], fixed: pa.Table, got: pa.Table) -> pa.Table:
+        bucket, _, groups = _seated(_only(fixed, "types"), _only(got, "seats"))
+        tables, = _placed(got, groups, bucket.contexts)
+        totals = Totals(np.concatenate([np.zeros_like(tables), tables, shared[2:]]), discounts, shared[1])
+        made = sweep(bucket, totals, keep, [seed, number, key[0].as_py()])
+        return _table(list(_changing(key[0].as_py(), made, groups)), _STATE)
+
+    got = _received(state.where("kind = 'seats'"), sums)
+    return types.groupBy("bucket").cogroup(got.groupBy("bucket")).applyInArrow(run, _STATE[0])
+
+
+def _shared(state: DataFrame) -> np.ndarray:
+    """Customers, tables and ``OTHERS`` of all buckets; the driver gets as many numbers as one bucket has."""
+    rows = (state.where("kind = 'seats'").select(F.posexplode("totals").alias("at", "n"))
+            .groupBy("at").agg(F.sum("n").alias("n")).collect())
+    found = np.zeros(2 + OTHERS, np.int64)
     for row in rows:
         found[row["at"]] = row["n"]
     return found
@@ -295,33 +442,39 @@ def _summed(state: DataFrame, contexts: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Buckets with their sampled seatings, and the totals of each sample."""
+    """Buckets with their sampled seatings, the sums of their contexts, and the totals of each sample."""
 
-    state: DataFrame
-    samples: list[Totals]
-    buckets: int
+    types: DataFrame
+    seats: DataFrame
+    sums: DataFrame
+    shared: list[np.ndarray]
+    discounts: tuple[float, float]
 
 
 def train(parts: DataFrame, buckets: int, contexts: int = CONTEXTS, burn_in: int = BURN_IN, samples: int = SAMPLES,
           seed: int = 11) -> Model:
-    """Merge the training counts and run the sweeps; each one's state is written down."""
-    state = stored(_merged(parts, contexts), "seating")
-    totals, kept = Totals(_summed(state, contexts)), []
-    discounts = totals.discount, totals.parent_discount
+    """Merge the training counts and run the sweeps; each one's seating is written down. ``contexts`` is the
+    number of groups that contexts are dealt into."""
+    state = stored_by(_merged(parts, contexts), "bucket", buckets, "seating", deal=False)
+    types = state.where("kind = 'types'").select("kind", "bucket", "grp", "data")
+    directory = stored_by(_directory(state), "grp", buckets, "contexts", deal=False)
+    shared, kept = _shared(state), []
+    first = Totals(shared[2:])
+    discounts = first.discount, first.parent_discount
     for number in range(burn_in + samples):
-        state = stored(_swept(state, totals, number, number >= burn_in, seed), "seating")
-        totals = Totals(_summed(state, contexts), discounts)
+        state = stored_by(_swept(types, state, _summed_tables(directory, [state]), shared, discounts, number,
+                                 number >= burn_in, seed), "bucket", buckets, "seating", deal=False)
+        shared = _shared(state)
         if number >= burn_in:
-            kept.append(totals)
-    return Model(state, kept, buckets)
+            kept.append((state, shared))
+    return Model(types, state.where("kind = 'seats'"), _summed_tables(directory, [s for s, _ in kept], customers=True),
+                 [x for _, x in kept], discounts)
 
 
 class Scorer:
     """Base-10 log probabilities of a bucket's types and of what it doesn't know."""
 
-    def __init__(self, bucket: Bucket | None, samples: list[Totals]) -> None:
-        bucket = bucket or Bucket([], *(np.zeros(0, np.int64) for _ in range(4)),
-                                  [(np.zeros(0, np.int64),) * 2 for _ in samples])
+    def __init__(self, bucket: Bucket, samples: list[Totals]) -> None:
         self.numbers = {w: k for k, w in enumerate(bucket.words)}
         self.types, self.samples, self.contexts = bucket.types, samples, len(samples[0].customers)
         token, context = bucket.types // self.contexts, bucket.types % self.contexts
@@ -351,25 +504,27 @@ class Scorer:
 
 def score(parts: DataFrame, model: Model) -> DataFrame:
     """The result rows of all documents in ``parts``."""
-    samples = model.samples
-    tokens, words = int(samples[0].customers.sum()), samples[0].words
+    shared, discounts = model.shared, model.discounts
+    tokens, words = int(shared[0][0]), int(shared[0][2])
     names, types = ("chunk", "bucket", "data"), (pa.int64(), pa.int32(), pa.binary())
 
-    def score_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, scorer = None, None
-        for bucket, chunk, data, is_state in _by_key(batches):
-            if bucket != last:
-                last, scorer = bucket, Scorer(_unpack(data) if is_state else None, samples)
-            if is_state:
-                continue
-            listed, each, doc, context, count, train_docs = _unpack(data)
-            unknown = len(scorer.numbers)
-            token = np.repeat(np.fromiter((scorer.numbers.get(w, unknown) for w in listed), np.int64, len(listed)), each)
+    def score_bucket(key: tuple[pa.Scalar, ...], own: pa.Table, got: pa.Table) -> pa.Table:
+        bucket, contexts, groups = _seated(_only(got, "types"), _only(got, "seats"))
+        customers, *tables = _placed(got, groups, bucket.contexts)
+        scorer = Scorer(bucket, [Totals(np.concatenate([customers, t, x[2:]]), discounts, x[1])
+                                 for t, x in zip(tables, shared)])
+        numbered, unknown, rows = {w: k for k, w in enumerate(contexts)}, len(scorer.numbers), []
+        for chunk, pairs, entries in _rows(own, "chunk", "pairs", "entries"):
+            listed, before, each, context, _ = _unpack(pairs)
+            many, doc, times, docs = _unpack(entries)
+            token = np.repeat(np.array([scorer.numbers.get(w, unknown) for w in listed.split(b"\n")], np.int64), each)
+            context = _numbered(before.split(b"\n"), numbered)[context]
             seen = scorer.counts[token]
-            add = lambda values: np.bincount(doc, count * values, len(train_docs))
+            add = lambda values: np.bincount(doc, times * np.repeat(values, many), docs)
             sums = (add(seen > 0), add(np.log10((seen + 1) / (tokens + words + 1))),
-                    add(np.log10(scorer.chances(token, context.astype(np.int64)))))
-            yield _batch([(chunk, bucket, _pack((_small(sums[0].astype(np.int64)), *sums[1:])))], names, types)
+                    add(np.log10(scorer.chances(token, context))))
+            rows.append((chunk, key[0].as_py(), _pack((_small(sums[0].astype(np.int64)), *sums[1:]))))
+        return _table(rows, (None, names, types))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, docs, sums = None, [], None
@@ -381,7 +536,7 @@ def score(parts: DataFrame, model: Model) -> DataFrame:
                           (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))
 
         for chunk, bucket, data in _by_key(batches):
-            if chunk != last:  # the documents stand first, under bucket -1
+            if chunk != last:  # the documents stand first, under a bucket below 0
                 if docs:
                     yield rows()
                 last, docs = chunk, _unpack(data)
@@ -392,12 +547,10 @@ def score(parts: DataFrame, model: Model) -> DataFrame:
         if docs:
             yield rows()
 
-    rows = parts.where("bucket >= 0").select("bucket", "chunk", "data", F.lit(False).alias("is_state"))
-    states = model.state.select("bucket", F.lit(-1).cast("long").alias("chunk"), F.col("state").alias("data"),
-                                F.lit(True).alias("is_state"))
-    scored = (rows.unionByName(states).repartition("bucket").sortWithinPartitions("bucket", "chunk")
-              .mapInArrow(score_bucket, "chunk long, bucket int, data binary"))
-    documents = parts.where("bucket < 0").select("chunk", "bucket", "data")
+    got = _received(model.types, model.seats, model.sums)
+    scored = (parts.where("bucket >= 0").groupBy("bucket").cogroup(got.groupBy("bucket"))
+              .applyInArrow(score_bucket, "chunk long, bucket int, data binary"))
+    documents = parts.where("bucket < 0").select("chunk", "bucket", F.col("pairs").alias("data"))
     return (scored.unionByName(documents).repartition("chunk").sortWithinPartitions("chunk", "bucket")
             .mapInArrow(finish, RESULT))
 
@@ -415,5 +568,5 @@ def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // BUCKET_BYTES)
     contexts = contexts_for(held)
-    parts = stored(counted(docs, held_out, buckets, chunk_bytes, contexts), "token-counts")
+    parts = stored_by(counted(docs, held_out, buckets, chunk_bytes), "bucket", buckets, "token-counts")
     return score(parts, train(parts, buckets, contexts))
