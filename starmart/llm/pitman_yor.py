@@ -21,8 +21,10 @@ from __future__ import annotations
 import pickle
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +72,13 @@ def _joined(words: list[bytes]) -> bytes:
     return b"\n".join(words)
 
 
+def _numbers() -> defaultdict[bytes, int]:
+    """Numbers of words from 0; a new word gets the next."""
+    return defaultdict(count().__next__)
+
+
 def _numbered(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
-    """The words' numbers; new ones get the next."""
-    return np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
 def stored_by(df: DataFrame, key: str, files: int, label: str, deal: bool = True) -> DataFrame:
@@ -96,7 +102,7 @@ class Chunk:
     """Tokens of some documents, to be cut into counts per bucket."""
 
     def __init__(self, buckets: int) -> None:
-        self.buckets, self.numbers = buckets, {}
+        self.buckets, self.numbers = buckets, _numbers()
         self.docs: list[tuple] = []  # (doc_id, held_out, tokens)
         self.tokens: list[np.ndarray] = []
         self.bytes = 0
@@ -124,11 +130,15 @@ class Chunk:
         before = np.empty_like(flat)  # a text starts after an end
         before[1:] = flat[:-1]
         before[0] = rank[self.numbers[END]]
-        pairs, pair = np.unique(place[flat] * len(words) + before, return_inverse=True)
-        doc = np.repeat(np.arange(len(lengths)), lengths)
-        keys, times = np.unique(pair * len(lengths) + doc, return_counts=True)
-        del flat, before, pair, doc
-        pair, doc = keys // len(lengths), keys % len(lengths)
+        keys = place[flat] * len(words) + before
+        at = np.argsort(keys, kind="stable")  # so documents stay in order within a pair
+        keys, doc = keys[at], np.repeat(np.arange(len(lengths)), lengths)[at]
+        del flat, before, at
+        new = np.diff(keys, prepend=-1) != 0
+        starts = np.flatnonzero(new | (np.diff(doc, prepend=-1) != 0))
+        times = np.diff(starts, append=len(keys))
+        pairs, pair, doc = keys[new], (np.cumsum(new) - 1)[starts], doc[starts]
+        del keys, new, starts
         token, context = pairs // len(words), pairs % len(words)
         train = np.array([not held for _, held, _ in self.docs])
         learnt = np.bincount(pair, times * train[doc], len(pairs)).astype(np.int64)
@@ -139,7 +149,7 @@ class Chunk:
             used, which = np.unique(context[low:high], return_inverse=True)
             at = slice(*np.searchsorted(pair, [low, high]))
             yield (int(number),
-                   _pack((_joined([words[k] for k in order[first:last]]), _joined([words[k] for k in used]),
+                   _pack((_joined([words[k] for k in order[first:last].tolist()]), _joined([words[k] for k in used.tolist()]),
                           _small(np.bincount(token[low:high] - first, minlength=last - first)),
                           _small(which), _small(learnt[low:high]))),
                    _pack((_small(np.bincount(pair[at] - low, minlength=high - low)), _small(doc[at]),
@@ -268,8 +278,7 @@ def sweep(bucket: Bucket, totals: Totals, keep: bool, seed: list[int]) -> Bucket
 def _merge(parts: Iterator[bytes]) -> tuple[Bucket, list[bytes]]:
     """A bucket of all its parts, each type at one table, and the contexts of its tokens, sorted; contexts
     of held-out documents alone are among them."""
-    numbers: dict[bytes, int] = {}
-    found: dict[bytes, int] = {}
+    numbers, found = _numbers(), _numbers()
     keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for data in parts:
         words, names, each, context, learnt = _unpack(data)
@@ -313,23 +322,23 @@ def _grouped(names: list[bytes], groups: int) -> Iterator[tuple[int, np.ndarray]
     yield from zip(found.tolist(), np.split(order, starts[1:]))
 
 
-def _types(bucket: Bucket, names: list[bytes], groups: int) -> bytes:
+def _types(bucket: Bucket, names: list[bytes], groups: list[tuple[int, np.ndarray]]) -> bytes:
     n = bucket.contexts
     return _pack((bucket.words, _joined(names), _small(np.bincount(bucket.types // n, minlength=len(bucket.words))),
-                  _small(bucket.types % n), _small(bucket.counts), [(g, _small(at)) for g, at in _grouped(names, groups)]))
+                  _small(bucket.types % n), _small(bucket.counts), [(g, _small(at)) for g, at in groups]))
 
 
 def _seats(bucket: Bucket) -> bytes:
     return _pack((_small(bucket.tables), _small(bucket.parents), bucket.samples))
 
 
-def _seated(types: bytes, seats: bytes) -> tuple[Bucket, list[bytes], list[tuple[int, np.ndarray]]]:
-    """A bucket, its contexts, and their places by group."""
+def _seated(types: bytes, seats: bytes) -> tuple[Bucket, bytes, list[tuple[int, np.ndarray]]]:
+    """A bucket, its contexts (joined), and their places by group."""
     words, names, each, context, counts, groups = _unpack(types)
     tables, parents, samples = _unpack(seats)
-    names = names.split(b"\n")
-    return Bucket(words, np.repeat(np.arange(len(words)), each) * len(names) + context, counts.astype(np.int64),
-                  tables.astype(np.int64), parents.astype(np.int64), samples, len(names)), names, groups
+    n = names.count(b"\n") + 1
+    return Bucket(words, np.repeat(np.arange(len(words)), each) * n + context, counts.astype(np.int64),
+                  tables.astype(np.int64), parents.astype(np.int64), samples, n), names, groups
 
 
 def _changing(number: int, bucket: Bucket, groups: list[tuple[int, np.ndarray]]) -> Iterator[tuple]:
@@ -346,11 +355,11 @@ def _merged(parts: DataFrame, groups: int) -> DataFrame:
         number = key[0].as_py()
         made, names = _merge(data for _, data in _by_key(batches))
         dealt, customers = list(_grouped(names, groups)), made.totals()[:made.contexts]
-        yield _batch([("types", number, -1, _types(made, names, groups), None)], *_STATE[1:])
+        yield _batch([("types", number, -1, _types(made, names, dealt), None)], *_STATE[1:])
         for row in _changing(number, made, dealt):
             yield _batch([row], *_STATE[1:])
         for group, at in dealt:
-            yield _batch([("names", number, group, _pack((_joined([names[k] for k in at]), _small(customers[at]))),
+            yield _batch([("names", number, group, _pack((_joined([names[k] for k in at.tolist()]), _small(customers[at]))),
                            None)], *_STATE[1:])
 
     return parts.where("bucket >= 0").select("bucket", "pairs").groupBy("bucket").applyInArrow(merge, _STATE[0])
@@ -359,8 +368,7 @@ def _merged(parts: DataFrame, groups: int) -> DataFrame:
 def _directory(state: DataFrame) -> DataFrame:
     """Of each group of contexts, which of them each bucket has, in the bucket's order, and all customers."""
     def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
-        found, counts = {}, []
+        numbers, found, counts = _numbers(), {}, []
         for bucket, _, data in _by_key(batches):
             names, customers = _unpack(data)
             found[bucket] = _numbered(names.split(b"\n"), numbers)
@@ -513,11 +521,11 @@ def score(parts: DataFrame, model: Model) -> DataFrame:
         customers, *tables = _placed(got, groups, bucket.contexts)
         scorer = Scorer(bucket, [Totals(np.concatenate([customers, t, x[2:]]), discounts, x[1])
                                  for t, x in zip(tables, shared)])
-        numbered, unknown, rows = {w: k for k, w in enumerate(contexts)}, len(scorer.numbers), []
+        numbered, unknown, rows = {w: k for k, w in enumerate(contexts.split(b"\n"))}, len(scorer.numbers), []
         for chunk, pairs, entries in _rows(own, "chunk", "pairs", "entries"):
             listed, before, each, context, _ = _unpack(pairs)
             many, doc, times, docs = _unpack(entries)
-            token = np.repeat(np.array([scorer.numbers.get(w, unknown) for w in listed.split(b"\n")], np.int64), each)
+            token = np.array([scorer.numbers.get(w, unknown) for w in listed.split(b"\n")], np.int64).repeat(each)
             context = _numbered(before.split(b"\n"), numbered)[context]
             seen = scorer.counts[token]
             add = lambda values: np.bincount(doc, times * np.repeat(values, many), docs)
