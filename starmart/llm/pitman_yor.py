@@ -110,7 +110,7 @@ class Chunk:
     def add(self, doc_id, held_out: bool, text: bytes) -> None:
         words = plain_words(text.lower())
         words.append(END)
-        self.tokens.append(_numbered(words, self.numbers))
+        self.tokens.append(_numbered(words, self.numbers).astype(np.int32))
         self.docs.append((doc_id, held_out, len(words)))
         self.bytes += len(text)
 
@@ -125,14 +125,14 @@ class Chunk:
         order = np.argsort(bucket, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        flat = rank[np.concatenate(self.tokens)]
         lengths = np.array([len(t) for t in self.tokens])
+        flat, self.tokens = rank[np.concatenate(self.tokens)], []
         before = np.empty_like(flat)  # a text starts after an end
         before[1:] = flat[:-1]
         before[0] = rank[self.numbers[END]]
         keys = place[flat] * len(words) + before
         at = np.argsort(keys, kind="stable")  # so documents stay in order within a pair
-        keys, doc = keys[at], np.repeat(np.arange(len(lengths)), lengths)[at]
+        keys, doc = keys[at], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[at]
         del flat, before, at
         new = np.diff(keys, prepend=-1) != 0
         starts = np.flatnonzero(new | (np.diff(doc, prepend=-1) != 0))
@@ -492,8 +492,12 @@ class Scorer:
             sent = np.append(np.bincount(token, tables, len(bucket.words)), 0)
             parent = totals.parent(sent, np.append(parents, 0))
             self.parent.append(parent)
-            known += ((bucket.counts - totals.discount * tables + totals.spare(context) * parent[token])
-                      / (STRENGTH + totals.customers[context]))
+            chance = totals.spare(context)  # in place: a bucket has many types
+            chance *= parent[token]
+            chance -= totals.discount * tables
+            chance += bucket.counts
+            chance /= STRENGTH + totals.customers[context]
+            known += chance
         self.known = known / len(samples)
 
     def chances(self, token: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -522,7 +526,8 @@ def score(parts: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(bucket, [Totals(np.concatenate([customers, t, x[2:]]), discounts, x[1])
                                  for t, x in zip(tables, shared)])
         numbered, unknown, rows = {w: k for k, w in enumerate(contexts.split(b"\n"))}, len(scorer.numbers), []
-        for chunk, pairs, entries in _rows(own, "chunk", "pairs", "entries"):
+        for at in range(own.num_rows):
+            chunk, pairs, entries = (own.column(c)[at].as_py() for c in ("chunk", "pairs", "entries"))
             listed, before, each, context, _ = _unpack(pairs)
             many, doc, times, docs = _unpack(entries)
             token = np.array([scorer.numbers.get(w, unknown) for w in listed.split(b"\n")], np.int64).repeat(each)
