@@ -18,28 +18,34 @@ tokens is one entry per document, however often it occurs.
 
 from __future__ import annotations
 
+import ctypes
+import math
 import pickle
 import uuid
 import zlib
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import count
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import lean_batches, plain_words, text_slices
+from starmart.llm.common import lean_batches, text_slices
 from starmart.session import new_folder
 
 CONTEXTS = 64  # groups of contexts for CONTEXT_BYTES of text and less; they grow with the text's cube root
 CONTEXT_BYTES = 16 << 20
 CHUNK_BYTES = 12 << 20  # of text; a longer document is a chunk of its own
 BUCKET_BYTES = 32 << 20  # of text per bucket
+SLICE_BYTES = 4 << 20  # of words that are numbered at once; more where more are known
+BLOCK = 1 << 18  # types whose probabilities are computed at once
+LARGEST_KEY = (1 << 63) - 1
+FEW = 16  # dishes
 BURN_IN = 2
 SAMPLES = 3
 STRENGTH = 1.0
@@ -49,6 +55,9 @@ MOST_FILES = 100_000  # Spark's limit of buckets of a table
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 
+# ASCII white space becomes a line break, A-Z become a-z.
+_LINES = bytes(10 if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
 
 def _pack(value) -> bytes:
     return zstandard.compress(pickle.dumps(value, protocol=5), 3)
@@ -67,18 +76,90 @@ def _batch(rows: list[tuple], names: tuple[str, ...], types: tuple) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], list(names))
 
 
-def _joined(words: list[bytes]) -> bytes:
-    """At least one word as one value; no word holds white space."""
-    return b"\n".join(words)
+def _array(offsets: np.ndarray, data: bytes) -> pa.LargeBinaryArray:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                            [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _numbers() -> defaultdict[bytes, int]:
-    """Numbers of words from 0; a new word gets the next."""
-    return defaultdict(count().__next__)
+def _ends(lines: bytes) -> np.ndarray:
+    """Where lines end, after a 0."""
+    breaks = np.flatnonzero(np.frombuffer(lines, np.uint8) == 10)
+    ends = np.zeros(len(breaks) + 1, np.int64)
+    np.add(breaks, 1, out=ends[1:])
+    return ends
+
+
+def _listed(lines: bytes) -> pa.LargeBinaryArray:
+    """Words that have a line each, with their line breaks; no word holds white space."""
+    return _array(_ends(lines), lines)
 
 
-def _numbered(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+def _lines(words: pa.LargeBinaryArray, cuts: Iterable[int] | None = None) -> Iterator[bytes]:
+    """The lines of the words between two ``cuts`` each, or of all words."""
+    cuts = [0, len(words)] if cuts is None else list(cuts)
+    _, offsets, data = words.buffers()
+    if not len(words):
+        yield from (b"" for _ in cuts[1:])
+        return
+    at = np.frombuffer(offsets, np.int64)[words.offset:][cuts].tolist()
+    for first, last in zip(at, at[1:]):
+        yield data[first:last].to_pybytes()
+
+
+def _crcs(words: pa.LargeBinaryArray) -> np.ndarray:
+    """crc32 of the words without their line breaks."""
+    cuts = [*range(0, len(words), 1 << 16), len(words)]
+    return np.concatenate([np.fromiter(map(zlib.crc32, lines[:-1].split(b"\n")), np.int64)
+                           for lines in _lines(words, cuts)])
+
+
+class Words:
+    """Numbers of words from 0; a new word gets the next."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([], pa.large_binary())
+
+    def numbered(self, parts: Iterable[tuple[bytes, Any]], new: bool = True) -> Iterator[tuple[np.ndarray, Any]]:
+        """The numbers of each part's lines, and what comes with them. Without ``new`` words stay unknown,
+        under numbers after the last one.
+
+        Parts are numbered some at a time: at least half as many bytes as all known words have, as these are
+        hashed again for each time.
+        """
+        waiting, size = [], 0
+        for part in parts:
+            waiting.append(part)
+            size += len(part[0])
+            if size >= max(SLICE_BYTES, self.words.nbytes // 2):
+                yield from self._encoded(waiting, new)
+                waiting, size = [], 0
+        if waiting:
+            yield from self._encoded(waiting, new)
+
+    def _encoded(self, parts: list[tuple[bytes, Any]], new: bool) -> Iterator[tuple[np.ndarray, Any]]:
+        at, sizes = len(self.words), [lines.count(b"\n") for lines, _ in parts]
+        lines, others = b"".join(lines for lines, _ in parts), [rest for _, rest in parts]
+        parts.clear()
+        found = pa.concat_arrays([self.words, _listed(lines)])
+        del lines
+        found = found.dictionary_encode()
+        if new:
+            self.words = found.dictionary
+        numbers = found.indices.to_numpy()
+        del found
+        _release()
+        for size, rest in zip(sizes, others):
+            yield numbers[at:at + size], rest
+            at += size
+
+
+def _release() -> None:
+    """Give back what Arrow and C's allocator hold but don't use: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc
+        pass
 
 
 def stored_by(df: DataFrame, key: str, files: int, label: str, deal: bool = True) -> DataFrame:
@@ -102,60 +183,90 @@ class Chunk:
     """Tokens of some documents, to be cut into counts per bucket."""
 
     def __init__(self, buckets: int) -> None:
-        self.buckets, self.numbers = buckets, _numbers()
-        self.docs: list[tuple] = []  # (doc_id, held_out, tokens)
-        self.tokens: list[np.ndarray] = []
+        self.buckets = buckets
+        self.docs: list[tuple] = []  # (doc_id, held_out)
+        self.texts: list[bytes] = []
         self.bytes = 0
 
     def add(self, doc_id, held_out: bool, text: bytes) -> None:
-        words = plain_words(text.lower())
-        words.append(END)
-        self.tokens.append(_numbered(words, self.numbers).astype(np.int32))
-        self.docs.append((doc_id, held_out, len(words)))
+        self.texts.append(text.translate(_LINES))
+        self.docs.append((doc_id, held_out))
         self.bytes += len(text)
 
+    def _tokens(self) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """All tokens, an empty line for an end, and how many each document has."""
+        last = np.cumsum([len(text) + 2 for text in self.texts])
+        lines, self.texts = b"\n\n".join([*self.texts, b""]), []
+        ends = _ends(lines)
+        keep = np.diff(ends) > 1  # the other empty lines come of white space beside white space
+        keep[np.searchsorted(ends, last) - 1] = True
+        words = _array(ends, lines)
+        if not keep.all():
+            words, ends = words.filter(pa.array(keep)), ends[1:][keep]
+        else:
+            ends = ends[1:]
+        return words, np.diff(np.searchsorted(ends, last, side="right"), prepend=0)
+
     def cut(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(bucket, packed pairs of token and context, packed documents of each pair), and under -1 the
         documents themselves."""
-        yield -1, _pack(self.docs), b""
-        words = sorted(self.numbers)
-        rank = np.empty(len(words), np.int64)
-        rank[_numbered(words, self.numbers)] = np.arange(len(words))
-        bucket = np.array([zlib.crc32(w) % self.buckets for w in words], np.int64)
+        tokens, lengths = self._tokens()
+        yield -1, _pack([(*doc, n) for doc, n in zip(self.docs, lengths.tolist())]), b""
+        tokens = tokens.dictionary_encode()
+        by_word = pc.array_sort_indices(tokens.dictionary)
+        words, rank = tokens.dictionary.take(by_word), np.empty(len(by_word), np.int64)
+        rank[by_word.to_numpy()] = np.arange(len(words))
+        flat = rank[tokens.indices.to_numpy()]
+        del tokens, by_word, rank
+        bucket = _crcs(words) % self.buckets
         order = np.argsort(bucket, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        lengths = np.array([len(t) for t in self.tokens])
-        flat, self.tokens = rank[np.concatenate(self.tokens)], []
-        before = np.empty_like(flat)  # a text starts after an end
-        before[1:] = flat[:-1]
-        before[0] = rank[self.numbers[END]]
-        keys = place[flat] * len(words) + before
-        at = np.argsort(keys, kind="stable")  # so documents stay in order within a pair
-        keys, doc = keys[at], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[at]
-        del flat, before, at
-        new = np.diff(keys, prepend=-1) != 0
-        starts = np.flatnonzero(new | (np.diff(doc, prepend=-1) != 0))
-        times = np.diff(starts, append=len(keys))
-        pairs, pair, doc = keys[new], (np.cumsum(new) - 1)[starts], doc[starts]
-        del keys, new, starts
-        token, context = pairs // len(words), pairs % len(words)
-        train = np.array([not held for _, held, _ in self.docs])
+        keys = place[flat] * len(words)
+        keys += np.roll(flat, 1)  # a text starts after an end, as the last token is
+        del flat
+        key, doc, times = _counted_runs(keys, np.repeat(np.arange(len(lengths)), lengths), len(words) ** 2)
+        del keys
+        new = np.diff(key, prepend=-1) != 0
+        pairs, pair = key[new], np.cumsum(new) - 1
+        token, context = np.divmod(pairs, len(words))
+        train = np.array([not held for _, held in self.docs])
         learnt = np.bincount(pair, times * train[doc], len(pairs)).astype(np.int64)
         edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        lines = list(_lines(words.take(order), edges))
+        place = np.empty(len(words), np.int64)
+        _release()
         for number in np.flatnonzero(np.diff(edges)):
             first, last = edges[number], edges[number + 1]
             low, high = np.searchsorted(token, [first, last])
-            used, which = np.unique(context[low:high], return_inverse=True)
+            used = np.zeros(len(words), bool)
+            used[context[low:high]] = True
+            used = np.flatnonzero(used)
+            place[used] = np.arange(len(used))
             at = slice(*np.searchsorted(pair, [low, high]))
             yield (int(number),
-                   _pack((_joined([words[k] for k in order[first:last].tolist()]), _joined([words[k] for k in used.tolist()]),
+                   _pack((lines[number], next(_lines(words.take(used))),
                           _small(np.bincount(token[low:high] - first, minlength=last - first)),
-                          _small(which), _small(learnt[low:high]))),
+                          _small(place[context[low:high]]), _small(learnt[low:high]))),
                    _pack((_small(np.bincount(pair[at] - low, minlength=high - low)), _small(doc[at]),
                           _small(times[at]), len(lengths))))
 
 
+def _counted_runs(keys: np.ndarray, doc: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each different pair of a key below ``bound`` and a document, in order, and how often it occurs."""
+    docs = int(doc[-1]) + 1
+    if bound * docs <= LARGEST_KEY:  # one number for both: sorting numbers is faster than sorting places
+        both = keys * docs
+        both += doc
+        both.sort()
+        starts = np.flatnonzero(np.diff(both, prepend=-1))
+        return *np.divmod(both[starts], docs), np.diff(starts, append=len(both))
+    at = np.argsort(keys, kind="stable")  # documents stay in order within a key
+    keys, doc = keys[at], doc[at]
+    starts = np.flatnonzero((np.diff(keys, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+    return keys[starts], doc[starts], np.diff(starts, append=len(keys))
+
+
 def counted(docs: DataFrame, held_out: Column, buckets: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(bucket, chunk, pairs, entries) of all documents; the documents themselves stand under buckets below 0."""
     names, types = ("bucket", "chunk", "pairs", "entries"), (pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -196,7 +307,7 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 class Bucket:
     """Training counts and seating of a bucket's tokens: types are (token, context) pairs, sorted."""
 
-    words: list[bytes]
+    words: pa.LargeBinaryArray
     types: np.ndarray  # token * contexts + context
     counts: np.ndarray
     tables: np.ndarray  # of each type in its context's restaurant
@@ -243,20 +354,33 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.ran
 
     With n seated at t tables the next one opens a table with odds weight : n - discount * t. How many
     join tables before that follows a geometric distribution of beta-distributed chance, so each step
-    goes from one new table to the next.
+    goes from one new table to the next. The last dishes, which have thousands of tables where pairs are
+    frequent, go on as plain numbers, with the same draws.
     """
     tables = np.minimum(customers, 1)
     at = np.flatnonzero(customers > 1)
     seated = np.ones(len(at))
-    while len(at):
+    while len(at) > FEW:
         chance = rng.beta(weight[at], seated - discount * tables[at])
-        joined = np.floor(np.log1p(-rng.random(len(at))) / np.log1p(-np.clip(chance, 1e-15, 1 - 1e-15)))
+        chance = np.minimum(np.maximum(chance, 1e-15), 1 - 1e-15)
+        joined = np.floor(np.log1p(-rng.random(len(at))) / np.log1p(-chance))
         seated = seated + joined + 1
         more = seated <= customers[at]
         at, seated = at[more], seated[more]
         tables[at] += 1
         open_ = seated < customers[at]
         at, seated = at[open_], seated[open_]
+    few = list(zip(at.tolist(), seated.tolist(), tables[at].tolist(), customers[at].tolist(), weight[at].tolist()))
+    while few:
+        chances, going = [rng.beta(w, n - discount * t) for _, n, t, _, w in few], []
+        for (place, n, t, most, w), chance in zip(few, chances):
+            n += math.floor(math.log1p(-rng.random()) / math.log1p(-min(max(chance, 1e-15), 1 - 1e-15))) + 1.0
+            t += n <= most
+            if n < most:
+                going.append((place, n, t, most, w))
+            else:
+                tables[place] = t
+        few = going
     return tables
 
 
@@ -275,27 +399,38 @@ def sweep(bucket: Bucket, totals: Totals, keep: bool, seed: list[int]) -> Bucket
     return Bucket(bucket.words, bucket.types, bucket.counts, tables, parents, samples, bucket.contexts)
 
 
-def _merge(parts: Iterator[bytes]) -> tuple[Bucket, list[bytes]]:
+def _merge(parts: Iterator[bytes]) -> tuple[Bucket, pa.LargeBinaryArray]:
     """A bucket of all its parts, each type at one table, and the contexts of its tokens, sorted; contexts
     of held-out documents alone are among them."""
-    numbers, found = _numbers(), _numbers()
-    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for data in parts:
-        words, names, each, context, learnt = _unpack(data)
-        token, name = _numbered(words.split(b"\n"), numbers), _numbered(names.split(b"\n"), found)
+    def lists() -> Iterator[tuple[bytes, tuple]]:
+        for data in parts:
+            words, names, *counts = _unpack(data)
+            yield words + names, counts
+
+    found, is_context = Words(), np.zeros(0, bool)
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    for number, (each, context, learnt) in found.numbered(lists()):
+        token, name = number[:len(each)], number[len(each):]
+        if len(found.words) > len(is_context):
+            is_context = np.append(is_context, np.zeros(len(found.words) - len(is_context), bool))
+        is_context[name] = True
         use = learnt > 0
-        keys.append(np.repeat(token, each)[use] << 32 | name[context][use])
-        counts.append(learnt[use].astype(np.int64))
-    names = sorted(found)
-    place = np.empty(len(names), np.int64)
-    place[_numbered(names, found)] = np.arange(len(names))
-    keys = np.concatenate(keys)
-    types, at = np.unique((keys >> 32) * len(names) + place[keys & 0xFFFFFFFF], return_inverse=True)
-    summed = np.bincount(at, np.concatenate(counts), len(types)).astype(np.int64)
-    seen, token = np.unique(types // len(names), return_inverse=True)
-    listed = list(numbers)
-    return Bucket([listed[k] for k in seen], token * len(names) + types % len(names), summed,
-                  np.ones(len(types), np.int64), np.ones(len(seen), np.int64), [], len(names)), names
+        keys.append(np.repeat(token.astype(np.int64), each)[use] << 32 | name[context[use]])
+        counts.append(learnt[use])
+    names, place = np.flatnonzero(is_context), np.empty(len(is_context), np.int64)
+    names = names[pc.array_sort_indices(found.words.take(names)).to_numpy()]
+    place[names] = np.arange(len(names))
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    keys = (keys >> 32) * len(names) + place[keys & 0xFFFFFFFF]
+    at = np.argsort(keys)
+    keys = keys[at]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    summed, types = np.add.reduceat(counts[at], starts, dtype=np.int64), keys[starts]
+    token = types // len(names)
+    new = np.diff(token, prepend=-1) != 0
+    words = found.words.take(token[new])
+    return Bucket(words, (np.cumsum(new) - 1) * len(names) + types % len(names), summed,
+                  np.ones(len(types), np.int64), np.ones(len(words), np.int64), [], len(names)), found.words.take(names)
 
 
 # Rows of the training: of a bucket its ``types``, fixed, and its ``seats``; of a bucket and a group of
@@ -314,17 +449,17 @@ def _rows(table: pa.Table, *columns: str) -> Iterator[tuple]:
     return zip(*(table.column(c).to_pylist() for c in columns))
 
 
-def _grouped(names: list[bytes], groups: int) -> Iterator[tuple[int, np.ndarray]]:
+def _grouped(names: pa.LargeBinaryArray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
     """The places of each group's contexts."""
-    group = np.array([zlib.crc32(w) % groups for w in names], np.int64)
+    group = _crcs(names) % groups
     order = np.argsort(group, kind="stable")
     found, starts = np.unique(group[order], return_index=True)
     yield from zip(found.tolist(), np.split(order, starts[1:]))
 
 
-def _types(bucket: Bucket, names: list[bytes], groups: list[tuple[int, np.ndarray]]) -> bytes:
+def _types(bucket: Bucket, names: pa.LargeBinaryArray, groups: list[tuple[int, np.ndarray]]) -> bytes:
     n = bucket.contexts
-    return _pack((bucket.words, _joined(names), _small(np.bincount(bucket.types // n, minlength=len(bucket.words))),
+    return _pack((*_lines(bucket.words), *_lines(names), _small(np.bincount(bucket.types // n, minlength=len(bucket.words))),
                   _small(bucket.types % n), _small(bucket.counts), [(g, _small(at)) for g, at in groups]))
 
 
@@ -333,11 +468,11 @@ def _seats(bucket: Bucket) -> bytes:
 
 
 def _seated(types: bytes, seats: bytes) -> tuple[Bucket, bytes, list[tuple[int, np.ndarray]]]:
-    """A bucket, its contexts (joined), and their places by group."""
+    """A bucket, its contexts (in lines), and their places by group."""
     words, names, each, context, counts, groups = _unpack(types)
     tables, parents, samples = _unpack(seats)
-    n = names.count(b"\n") + 1
-    return Bucket(words, np.repeat(np.arange(len(words)), each) * n + context, counts.astype(np.int64),
+    n = names.count(b"\n")
+    return Bucket(_listed(words), np.repeat(np.arange(len(each)), each) * n + context, counts.astype(np.int64),
                   tables.astype(np.int64), parents.astype(np.int64), samples, n), names, groups
 
 
@@ -358,9 +493,9 @@ def _merged(parts: DataFrame, groups: int) -> DataFrame:
         yield _batch([("types", number, -1, _types(made, names, dealt), None)], *_STATE[1:])
         for row in _changing(number, made, dealt):
             yield _batch([row], *_STATE[1:])
-        for group, at in dealt:
-            yield _batch([("names", number, group, _pack((_joined([names[k] for k in at.tolist()]), _small(customers[at]))),
-                           None)], *_STATE[1:])
+        dealt_names = names.take(np.concatenate([at for _, at in dealt]))
+        for (group, at), lines in zip(dealt, _lines(dealt_names, np.cumsum([0, *(len(at) for _, at in dealt)]))):
+            yield _batch([("names", number, group, _pack((lines[:-1], _small(customers[at]))), None)], *_STATE[1:])
 
     return parts.where("bucket >= 0").select("bucket", "pairs").groupBy("bucket").applyInArrow(merge, _STATE[0])
 
@@ -368,12 +503,16 @@ def _merged(parts: DataFrame, groups: int) -> DataFrame:
 def _directory(state: DataFrame) -> DataFrame:
     """Of each group of contexts, which of them each bucket has, in the bucket's order, and all customers."""
     def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, found, counts = _numbers(), {}, []
-        for bucket, _, data in _by_key(batches):
-            names, customers = _unpack(data)
-            found[bucket] = _numbered(names.split(b"\n"), numbers)
+        def lists() -> Iterator[tuple[bytes, tuple]]:
+            for bucket, _, data in _by_key(batches):
+                names, customers = _unpack(data)
+                yield names + b"\n", (bucket, customers)
+
+        words, found, counts = Words(), {}, []
+        for number, (bucket, customers) in words.numbered(lists()):
+            found[bucket] = number
             counts.append(customers.astype(np.int64))
-        total = np.bincount(np.concatenate(list(found.values())), np.concatenate(counts), len(numbers)).astype(np.int64)
+        total = np.bincount(np.concatenate(list(found.values())), np.concatenate(counts), len(words.words)).astype(np.int64)
         yield _batch([(-1, key[0].as_py(), _pack(({b: _small(at) for b, at in found.items()}, _small(total))))],
                      *_SUMS[1:])
 
@@ -428,6 +567,7 @@ def _received(*rows: DataFrame) -> DataFrame:
 def _swept(types: DataFrame, state: DataFrame, sums: DataFrame, shared: np.ndarray, discounts: tuple[float, float],
            number: int, keep: bool, seed: int) -> DataFrame:
     def run(key: tuple[pa.Scalar, ...], fixed: pa.Table, got: pa.Table) -> pa.Table:
+        _release()
         bucket, _, groups = _seated(_only(fixed, "types"), _only(got, "seats"))
         tables, = _placed(got, groups, bucket.contexts)
         totals = Totals(np.concatenate([np.zeros_like(tables), tables, shared[2:]]), discounts, shared[1])
@@ -483,22 +623,24 @@ class Scorer:
     """Base-10 log probabilities of a bucket's types and of what it doesn't know."""
 
     def __init__(self, bucket: Bucket, samples: list[Totals]) -> None:
-        self.numbers = {w: k for k, w in enumerate(bucket.words)}
         self.types, self.samples, self.contexts = bucket.types, samples, len(samples[0].customers)
-        token, context = bucket.types // self.contexts, bucket.types % self.contexts
+        token, blocks = bucket.types // self.contexts, range(0, len(bucket.types), BLOCK)
         self.counts = np.append(np.bincount(token, bucket.counts, len(bucket.words)), 0).astype(np.int64)
         self.parent, known = [], np.zeros(len(self.types))
         for (tables, parents), totals in zip(bucket.samples, samples):
             sent = np.append(np.bincount(token, tables, len(bucket.words)), 0)
             parent = totals.parent(sent, np.append(parents, 0))
             self.parent.append(parent)
-            chance = totals.spare(context)  # in place: a bucket has many types
-            chance *= parent[token]
-            chance -= totals.discount * tables
-            chance += bucket.counts
-            chance /= STRENGTH + totals.customers[context]
-            known += chance
-        self.known = known / len(samples)
+            for at in (slice(k, k + BLOCK) for k in blocks):  # a bucket has many types
+                context = bucket.types[at] % self.contexts
+                chance = totals.spare(context)
+                chance *= parent[token[at]]
+                chance -= totals.discount * tables[at]
+                chance += bucket.counts[at]
+                chance /= STRENGTH + totals.customers[context]
+                known[at] += chance
+        known /= len(samples)
+        self.known = known
 
     def chances(self, token: np.ndarray, context: np.ndarray) -> np.ndarray:
         """The mean probability of tokens (by number; the last number is unknown) in contexts."""
@@ -521,17 +663,30 @@ def score(parts: DataFrame, model: Model) -> DataFrame:
     names, types = ("chunk", "bucket", "data"), (pa.int64(), pa.int32(), pa.binary())
 
     def score_bucket(key: tuple[pa.Scalar, ...], own: pa.Table, got: pa.Table) -> pa.Table:
+        _release()
         bucket, contexts, groups = _seated(_only(got, "types"), _only(got, "seats"))
         customers, *tables = _placed(got, groups, bucket.contexts)
+        found, rows, unknown = Words(), [], len(bucket.words)
+        (known, _), (which, _) = list(found.numbered([(next(_lines(bucket.words)), None), (contexts, None)]))
+        last = len(found.words)
+        token_of, context_of = np.full(last + 1, unknown), np.empty(last, np.int64)
+        token_of[known], context_of[which] = np.arange(len(known)), np.arange(len(which))
+        del known, which, contexts, groups
         scorer = Scorer(bucket, [Totals(np.concatenate([customers, t, x[2:]]), discounts, x[1])
                                  for t, x in zip(tables, shared)])
-        numbered, unknown, rows = {w: k for k, w in enumerate(contexts.split(b"\n"))}, len(scorer.numbers), []
-        for at in range(own.num_rows):
-            chunk, pairs, entries = (own.column(c)[at].as_py() for c in ("chunk", "pairs", "entries"))
-            listed, before, each, context, _ = _unpack(pairs)
+        del bucket, customers, tables
+        _release()
+
+        def lists() -> Iterator[tuple[bytes, tuple]]:
+            for at in range(own.num_rows):
+                listed, before, each, context, _ = _unpack(own.column("pairs")[at].as_py())
+                yield listed + before, (at, each, context)
+
+        for number, (at, each, context) in found.numbered(lists(), new=False):
+            chunk, entries = (own.column(c)[at].as_py() for c in ("chunk", "entries"))
             many, doc, times, docs = _unpack(entries)
-            token = np.array([scorer.numbers.get(w, unknown) for w in listed.split(b"\n")], np.int64).repeat(each)
-            context = _numbered(before.split(b"\n"), numbered)[context]
+            token = token_of[np.minimum(number[:len(each)], last)].repeat(each)
+            context = context_of[number[len(each):]][context]
             seen = scorer.counts[token]
             add = lambda values: np.bincount(doc, times * np.repeat(values, many), docs)
             sums = (add(seen > 0), add(np.log10((seen + 1) / (tokens + words + 1))),
